@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from ..params import Params
 from ..sources.catalog import Tables
-from . import dormancy
+from . import disputes, dormancy
 
 Plan = Callable[[Tables, Params], DataFrame]
 
@@ -21,4 +21,11 @@ QUERIES: dict[str, Plan] = {
     "gap_history": dormancy.gap_history,
     "payment_dormancy": dormancy.payment_dormancy,
     "payment_dormancy_buckets": dormancy.payment_dormancy_buckets,
+    "transaction_rollup": disputes.transaction_rollup,
+    "loss_bps_month": disputes.loss_bps_month,
+    "dispute_rate_count": disputes.dispute_rate_count,
+    "dispute_rate_amount": disputes.dispute_rate_amount,
+    "dispute_sellers": disputes.dispute_sellers,
+    "high_dispute_share": disputes.high_dispute_share,
+    "dispute_loss_split": disputes.dispute_loss_split,
 }

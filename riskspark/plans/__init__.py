@@ -12,11 +12,19 @@ from pyspark.sql import DataFrame
 
 from ..params import Params
 from ..sources.catalog import Tables
-from . import disputes, dormancy
+from . import detection, disputes, dormancy
 
 Plan = Callable[[Tables, Params], DataFrame]
 
 QUERIES: dict[str, Plan] = {
+    "tagged_events": detection.tagged_events,
+    "detector_recall_month": detection.detector_recall_month,
+    "detector_recall_year": detection.detector_recall_year,
+    "detector_precision_month": detection.detector_precision_month,
+    "detector_precision_year": detection.detector_precision_year,
+    "group_fully_locked": detection.group_fully_locked,
+    "headcount_profile": detection.headcount_profile,
+    "headcount_buckets": detection.headcount_buckets,
     "payment_gaps": dormancy.payment_gaps,
     "gap_history": dormancy.gap_history,
     "payment_dormancy": dormancy.payment_dormancy,

@@ -76,6 +76,9 @@ class Params:
     precision_cutoff: dt.date = D(2022, 7, 1)
     match_days: int = 30
 
+    # type of unit / merchant ids after extraction from balance tokens
+    unit_key_type: str = "string"
+
     # dormancy
     movement_cutoff: dt.date = D(2022, 9, 13)
     ledger_hour_shift: int = -5
@@ -136,6 +139,7 @@ class Params:
             fp_window_start=D(1996, 1, 1),
             fp_window_end=D(2000, 12, 31),
             precision_cutoff=D(2001, 7, 1),
+            unit_key_type="bigint",
             movement_cutoff=D(1999, 1, 1),
             reactivation_cohort_end=D(2001, 3, 1),
             suspect_comment_pattern="%#suspectlogin%",

@@ -29,6 +29,18 @@ QUERIES: dict[str, Plan] = {
     "gap_history": dormancy.gap_history,
     "payment_dormancy": dormancy.payment_dormancy,
     "payment_dormancy_buckets": dormancy.payment_dormancy_buckets,
+    "movement_history": dormancy.movement_history,
+    "movement_latest": dormancy.movement_latest,
+    "last_money_movement": dormancy.last_money_movement,
+    "last_activity": dormancy.last_activity,
+    "risk_segmentation": dormancy.risk_segmentation,
+    "segment_moved": dormancy.segment_moved,
+    "segment_never_moved": dormancy.segment_never_moved,
+    "segment_distribution": dormancy.segment_distribution,
+    "segment_crosstab": dormancy.segment_crosstab,
+    "excluded_units": dormancy.excluded_units,
+    "chargebacks_fx_daily": dormancy.chargebacks_fx_daily,
+    "reactivation_value": dormancy.reactivation_value,
     "transaction_rollup": disputes.transaction_rollup,
     "loss_bps_month": disputes.loss_bps_month,
     "dispute_rate_count": disputes.dispute_rate_count,

@@ -11,11 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import dormancy_bucket
-from ..functions.timefns import day_diff
+from .. import params as P
+from ..functions.predicates import active_unit
+from ..functions.scalar import dormancy_bucket, flag, ilike_any, unit_from_balance_fixed
+from ..functions.timefns import add_hours, day_diff, micros_to_ts, trunc_date, ts_lit
+from ..operators.aggs import conditional_distinct_counts
 from ..operators.temporal import with_previous
 from ..params import Params
 from ..sources.catalog import Tables
+from . import detection
 
 _USER_ATTRS = ("is_currently_frozen", "is_currently_deactivated", "merchant_token", "user_token",
                "is_deleted")
@@ -91,3 +95,244 @@ def payment_dormancy_buckets(t: Tables, p: Params) -> DataFrame:
     d = payment_dormancy(t, p)
     return (d.groupBy(dormancy_bucket("dormant_final").alias("dormancy_category"))
             .agg(F.count_distinct("user_token").alias("units")))
+
+
+# ---------------------------------------------------------------- C9 - C10
+
+def movement_history(t: Tables, p: Params) -> DataFrame:
+    """Days (ledger exits) and times (bank settlements) at which each unit
+    moved money other than by card payment, before ``p.movement_cutoff``,
+    tagged by source.  Dates are widened to timestamps (midnight)."""
+    ua = t["card_activity"]
+    bb = (ua.where(~ilike_any("activity_type", P.NON_MOVEMENT_PATTERNS)
+                   & (F.col("activity_state") == P.SETTLED_STATE)
+                   & (F.col("created_at") < ts_lit(p.movement_cutoff)))
+          .select(F.to_date("created_at").cast("timestamp_ntz").alias("latest_dt"),
+                  unit_from_balance_fixed("balance_token").cast(p.unit_key_type).alias("unit_token"))
+          .distinct()
+          .withColumn("type", F.lit("bb_exit")))
+    se = t["settlement_entry"]
+    shifted = add_hours(micros_to_ts("created_us"), p.ledger_hour_shift)
+    ledger = (se.where((shifted < ts_lit(p.movement_cutoff)) & (F.col("is_verification") == F.lit(False)))
+              .select(shifted.alias("latest_dt"),
+                      F.col("merchant_token").cast(p.unit_key_type).alias("unit_token"))
+              .distinct()
+              .withColumn("type", F.lit("ledger")))
+    return bb.unionByName(ledger)
+
+
+def movement_latest(t: Tables, p: Params) -> DataFrame:
+    """Latest non-payment money movement per unit."""
+    return (movement_history(t, p).groupBy("unit_token")
+            .agg(F.max("latest_dt").alias("latest_dt")))
+
+
+def last_money_movement(t: Tables, p: Params) -> DataFrame:
+    """Per-unit dormancy with the latest non-payment movement and the
+    later of that and the last card payment."""
+    d = payment_dormancy(t, p)
+    mm = movement_latest(t, p)
+    j = d.join(mm, d["user_token"] == mm["unit_token"], "left")
+    card = F.col("latest_card_payment_date").cast("timestamp_ntz")
+    return j.withColumn("last_money_movement_date", F.greatest(card, F.col("latest_dt")))
+
+
+# ---------------------------------------------------------------- C11
+
+def last_activity(t: Tables, p: Params) -> DataFrame:
+    """C11: latest sign of activity per merchant across logins (successful,
+    by day), web and mobile clicks, and the legacy activity table.
+
+    The source's nested per-person and per-source maxima collapse into one
+    ``max`` over the union of the sources (max is associative), which is a
+    single partially-aggregated shuffle on the merchant token.
+    """
+    logins = (t["login_event"]
+              .where(F.col("merchant_token").isNotNull() & (F.col("success") == F.lit(True)))
+              .select("merchant_token",
+                      F.to_date("recorded_at").cast("timestamp_ntz").alias("at")))
+    clicks = [t[n].where(F.col("merchant_token").isNotNull())
+              .select("merchant_token", F.col("recorded_at").alias("at"))
+              for n in ("page_click", "mobile_click")]
+    legacy = t["legacy_activity"].select("merchant_token", F.col("last_activity_at").alias("at"))
+    events = logins.unionByName(clicks[0]).unionByName(clicks[1]).unionByName(legacy)
+    return (events.groupBy(F.col("merchant_token").alias("subject_merchant_token"))
+            .agg(F.max("at").alias("last_activity_date")))
+
+
+# ---------------------------------------------------------------- C12 - C13
+
+def _merchant_max(df: DataFrame, merchant: str, at: str, name: str) -> DataFrame:
+    return df.groupBy(F.col(merchant).alias(f"{name}_merchant")).agg(F.max(at).alias(name))
+
+
+def risk_segmentation(t: Tables, p: Params) -> DataFrame:
+    """Every active unit with its three dormancy buckets (card payment,
+    any money movement, any activity), its merchant's lock status, and 0/1
+    risk flags.
+
+    The source joins every tagged login and every confirmed takeover of the
+    unit's merchant, multiplying rows; all its reports read the flags only
+    through ``count(distinct unit)``, and each flag is "some row has
+    ``t > movement``" or "some row exists", i.e. ``max(t) > movement`` or
+    ``max(t) is not null``.  So both sides are reduced to their latest time
+    per merchant first: one row per unit, the same reports.
+    """
+    df = last_money_movement(t, p)
+    me = last_activity(t, p)
+    ml = detection.group_fully_locked(t, p)
+    users = t["dim_user"].select(F.col("user_token").alias("_du_user"),
+                                 F.col("merchant_token").alias("_du_merchant"))
+    sk = detection.tagged_events(t, p).where(F.col("fp_unit_token").isNull())
+    sk = sk.join(users, sk["target_token"] == users["_du_user"], "left")
+    sk = _merchant_max(sk, "_du_merchant", "created_at", "sketchylogin_at")
+    ato = detection.confirmed_takeovers(t, p)
+    ato = ato.join(users, ato["user_token"] == users["_du_user"], "left")
+    ato = _merchant_max(ato, "_du_merchant", "earliest_confirmed_at", "ato_at")
+
+    m = F.col("merchant_token")
+    j = (df.where(active_unit())
+         .join(me, me["subject_merchant_token"] == m, "left")
+         .join(ml, ml["merchant_id"] == m, "left")
+         .join(sk, sk["sketchylogin_at_merchant"] == m, "left")
+         .join(ato, ato["ato_at_merchant"] == m, "left"))
+
+    lmm = F.col("last_money_movement_date")
+    act = F.col("last_activity_date")
+    act_gap = day_diff(lmm, act)
+    j = (j.withColumn("payment_dormancy_category", dormancy_bucket("dormancy_from_today"))
+         .withColumn("last_act_dormancy", day_diff(act, F.lit(p.as_of)))
+         .withColumn("last_act_dormancy_category", dormancy_bucket("last_act_dormancy"))
+         .withColumn("last_money_movement_dormancy", day_diff(lmm, F.lit(p.as_of)))
+         .withColumn("last_money_movement_dormancy_category",
+                     dormancy_bucket("last_money_movement_dormancy")))
+    return j.select(
+        *[c for c in j.columns if not c.endswith("_merchant") or c == "subject_merchant_token"],
+        flag(F.col("sketchylogin_at") > lmm).alias("sketchylogin_post_latest_money_movement"),
+        flag(F.col("sketchylogin_at").isNotNull()).alias("sketchylogin"),
+        flag(F.col("ato_at") > lmm).alias("ato_post_latest_money_movement"),
+        flag(F.col("ato_at").isNotNull()).alias("ato"),
+        flag(act.isNotNull()).alias("activity"),
+        flag((act > lmm) & (act_gap > p.activity_gap_short)).alias("activity_post_90_day_from_money_movement"),
+        flag((act > lmm) & (act_gap > p.activity_gap_long)).alias("activity_post_540_day_from_money_movement"),
+        flag(act > lmm).alias("activity_post_payment"),
+        flag(act.isNull()).alias("no_activity"),
+    )
+
+_MOVED_REPORT = {
+    "locked_users": "is_locked",
+    "activity_post_90_day_from_money_movement_users": "activity_post_90_day_from_money_movement",
+    "activity_post_money_movement_users": "activity_post_payment",
+    "sketchy_post_money_movement_users": "sketchylogin_post_latest_money_movement",
+    "no_activity_post_money_movement_users": "no_activity",
+    "activity_post_540_day_from_money_movement_users": "activity_post_540_day_from_money_movement",
+    "ato_post_money_movement_users": "ato_post_latest_money_movement",
+    "ato_users": "ato",
+}
+
+_NEVER_MOVED_REPORT = {
+    "locked_users": "is_locked",
+    "activity_users": "activity",
+    "sketchy_login_users": "sketchylogin",
+    "no_activity_post_money_movement_users": "no_activity",
+    "ato_users": "ato",
+}
+
+
+def _segment_report(seg: DataFrame, by: list[str], report: dict[str, str] | None = None,
+                    non_locked: bool = False) -> DataFrame:
+    conds = {name: F.col(col) == 1 for name, col in (report or {}).items()}
+    if non_locked:
+        conds["non_locked_users"] = F.col("is_locked") == 0
+    return conditional_distinct_counts(seg, by, "user_token", "all_users", conds)
+
+
+def segment_moved(t: Tables, p: Params) -> DataFrame:
+    """Units that moved money, per money-movement dormancy bucket, with
+    how many carry each risk state."""
+    seg = risk_segmentation(t, p).where(F.col("last_money_movement_date").isNotNull())
+    return (_segment_report(seg, ["last_money_movement_dormancy_category"], _MOVED_REPORT)
+            .orderBy("last_money_movement_dormancy_category"))
+
+
+def segment_never_moved(t: Tables, p: Params) -> DataFrame:
+    """The same for units that never moved money."""
+    seg = risk_segmentation(t, p).where(F.col("last_money_movement_date").isNull())
+    return _segment_report(seg, ["last_money_movement_dormancy_category"], _NEVER_MOVED_REPORT)
+
+
+def segment_distribution(t: Tables, p: Params) -> DataFrame:
+    """All units per money-movement dormancy bucket, and the unlocked."""
+    return _segment_report(risk_segmentation(t, p), ["last_money_movement_dormancy_category"],
+                           non_locked=True)
+
+
+def segment_crosstab(t: Tables, p: Params) -> DataFrame:
+    """Units per (money-movement bucket, activity bucket)."""
+    return _segment_report(risk_segmentation(t, p),
+                           ["last_money_movement_dormancy_category", "last_act_dormancy_category"],
+                           non_locked=True)
+
+
+def excluded_units(t: Tables, p: Params) -> DataFrame:
+    """Units left out of the segmentation (deleted, deactivated or
+    frozen): the complement of its filter."""
+    u = t["dim_user"].where(~active_unit() & (F.col("is_unit") == 1))
+    return u.agg(F.count_distinct("user_token").alias("excluded_units"))
+
+
+# ---------------------------------------------------------------- C14 - C15
+
+def reactivations(t: Tables, p: Params) -> DataFrame:
+    """Card-payment days that end a gap longer than ``p.reactivation_gap``
+    days, up to ``p.reactivation_cohort_end``, for units only."""
+    g = payment_gaps(t, p).where(
+        (F.col("payment_date") <= F.lit(p.reactivation_cohort_end))
+        & (F.col("difference") > p.reactivation_gap)
+        & F.col("previous_payment_date").isNotNull())
+    units = _units(t).select(F.col("user_token").alias("unit_token"))
+    return g.join(units, "unit_token", "left_semi").select("unit_token", "payment_date",
+                                                           "previous_payment_date")
+
+
+def chargebacks_fx_daily(t: Tables, p: Params) -> DataFrame:
+    """Chargebacks per (payment day, user) converted at the chargeback
+    day's rate (0 when no rate).  As in the source, a user's chargebacks are
+    counted once per reactivation of that user (its join to the cohort
+    multiplies rows), so the multiplicity is applied as a factor."""
+    cb = t["chargeback"]
+    fx = (t["fx_rate"].where(F.col("counter") == p.fx_counter_currency)
+          .select(F.col("report_date").alias("_fx_date"), F.col("base").alias("_fx_base"),
+                  "rate", "multiplier"))
+    n_react = (reactivations(t, p).groupBy(F.col("unit_token").alias("_r_user"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    j = (cb.join(fx, (fx["_fx_date"] == F.to_date(cb["chargeback_date"]))
+                 & (fx["_fx_base"] == cb["currency_code"]), "left")
+         .join(n_react, cb["user_token"] == n_react["_r_user"], "left"))
+    usd = F.coalesce(F.col("chargeback_cents") * F.col("rate") * F.col("multiplier"), F.lit(0.0))
+    times = F.coalesce(F.col("_n"), F.lit(1))
+    return (j.groupBy(F.to_date("payment_created_at").alias("payment_dt"), "user_token")
+            .agg(F.sum(usd * times).alias("chargebacks_usd")))
+
+
+def reactivation_value(t: Tables, p: Params) -> DataFrame:
+    """C14: per month of reactivation, reactivated units and the card volume
+    and chargebacks of their later payment days within 90 / 365 days and
+    overall (each reactivation counts its own later days)."""
+    r = reactivations(t, p).select(F.col("unit_token").alias("r_unit"),
+                                   F.col("payment_date").alias("r_date"))
+    days = t["daily_payment"].select(F.col("unit_token").alias("d_unit"),
+                                     F.col("payment_date").alias("d_date"), "gpv_cents")
+    later = r.join(days, (days["d_unit"] == r["r_unit"]) & (days["d_date"] > r["r_date"]), "left")
+    cb = chargebacks_fx_daily(t, p)
+    later = later.join(cb, (cb["user_token"] == later["d_unit"]) & (cb["payment_dt"] == later["d_date"]),
+                       "left")
+    short = F.date_add("r_date", p.value_horizon_short)
+    long_ = F.date_add("r_date", p.value_horizon_long)
+    return (later.groupBy(trunc_date("month", "r_date").alias("payment_month"))
+            .agg(F.count_distinct("r_unit").alias("units"),
+                 (F.sum(F.when(F.col("d_date") < short, F.col("gpv_cents"))) / 100).alias("gpv_enabled_90"),
+                 (F.sum(F.when(F.col("d_date") < long_, F.col("gpv_cents"))) / 100).alias("gpv_enabled_365"),
+                 (F.sum("gpv_cents") / 100).alias("overall_gpv_enabled"),
+                 F.sum(F.when(F.col("payment_dt") < long_, F.col("chargebacks_usd"))).alias("cb_enabled_365"),
+                 F.sum("chargebacks_usd").alias("total_cb")))

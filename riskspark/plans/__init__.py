@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from ..params import Params
 from ..sources.catalog import Tables
-from . import detection, disputes, dormancy
+from . import detection, disputes, dormancy, mart
 
 Plan = Callable[[Tables, Params], DataFrame]
 
@@ -48,4 +48,5 @@ QUERIES: dict[str, Plan] = {
     "dispute_sellers": disputes.dispute_sellers,
     "high_dispute_share": disputes.high_dispute_share,
     "dispute_loss_split": disputes.dispute_loss_split,
+    "payment_risk_mart": mart.payment_risk_mart,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from ..params import Params
 from ..sources.catalog import Tables
-from . import detection, disputes, dormancy, mart
+from . import attach, detection, disputes, dormancy, mart
 
 Plan = Callable[[Tables, Params], DataFrame]
 
@@ -49,4 +49,10 @@ QUERIES: dict[str, Plan] = {
     "high_dispute_share": disputes.high_dispute_share,
     "dispute_loss_split": disputes.dispute_loss_split,
     "payment_risk_mart": mart.payment_risk_mart,
+    "daily_qualifying_payments": attach.daily_qualifying_payments,
+    "first_online_signup": attach.first_online_signup,
+    "paid_adoption_week": attach.paid_adoption_week,
+    "risky_payments": attach.risky_payments,
+    "first_engagement": attach.first_engagement,
+    "risk_eval_attach_week": attach.risk_eval_attach_week,
 }

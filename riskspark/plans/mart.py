@@ -67,9 +67,11 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
             "business_name", "business_category", "currency_code", "amount_base", "is_refunded",
             "is_gpv", "entry_method", "auth_success", "onboard_date", "state", "offboard_date",
             "chargeback_type", "status", "chargeback_amt", "loss_amt"]
-    return (j.groupBy(*keys)
-            .agg(F.max("risk_level").alias("risk_level"),
-                 F.max(flag(F.col("_ra_token").isNotNull())).alias("alerted"),
+    # risk_level is already one value per evaluation key (all of which are
+    # grouping keys here), so it is a key rather than a string max: the
+    # final aggregate stays a hash aggregate instead of a sort.
+    return (j.groupBy(*keys, "risk_level")
+            .agg(F.max(flag(F.col("_ra_token").isNotNull())).alias("alerted"),
                  F.max(flag(F.col("_cb_token").isNotNull())).alias("chargeback"),
                  F.max(flag(F.col("chargeback_type") == "fraud")).alias("fraud_chargeback"),
                  F.max(flag(F.col("_ap_token").isNotNull())).alias("allowed")))

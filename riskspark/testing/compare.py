@@ -58,7 +58,7 @@ class Comparison:
 
 def compare(name: str, spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> Comparison:
     s = spark_df.toArrow()
-    o = con.execute(sql).to_arrow_table()
+    o = con.sql(sql).to_arrow_table()
     if not isinstance(o, pa.Table):
         o = o.read_all()
     same_cols = sorted(s.column_names) == sorted(o.column_names)

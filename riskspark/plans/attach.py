@@ -29,6 +29,10 @@ from ..sources.catalog import Tables
 def daily_qualifying_payments(t: Tables, p: Params) -> DataFrame:
     """Captured, non-voided, non-refunded online card volume per
     (unit, merchant, day, category) since ``p.payments_start``."""
+    return t.derived("daily_qualifying_payments", p, lambda: _build_daily_qualifying_payments(t, p))
+
+
+def _build_daily_qualifying_payments(t: Tables, p: Params) -> DataFrame:
     pt = t["payment"].where(
         (F.col("has_successful_capture") == 1) & (F.col("is_gpv") == 1) & (F.col("is_voided") == 0)
         & (F.col("is_refunded") == 0) & (F.col("is_card_payment") == 1)

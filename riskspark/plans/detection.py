@@ -25,6 +25,10 @@ def tagged_events(t: Tables, p: Params) -> DataFrame:
     The false-positive list only matches entries inside its date window;
     that condition stays in the join, so other entries are kept unmatched.
     """
+    return t.derived("tagged_events", p, lambda: _build_tagged_events(t, p))
+
+
+def _build_tagged_events(t: Tables, p: Params) -> DataFrame:
     log = t["audit_log"].where(
         (F.col("comment").ilike(p.suspect_comment_pattern) | (F.col("action_name") == p.suspect_action))
         & (F.to_date("created_at") <= F.lit(p.log_cutoff)))

@@ -30,6 +30,10 @@ def _rollup(t: Tables, p: Params) -> DataFrame:
     """Settled card payments per (transaction, unit, currency): largest
     absolute amount and first time; only transactions first seen in the
     KPI year."""
+    return t.derived("card_rollup", p, lambda: _build_rollup(t, p))
+
+
+def _build_rollup(t: Tables, p: Params) -> DataFrame:
     ua = _card_payments(t).where(F.col("activity_state") == P.SETTLED_STATE)
     g = (ua.groupBy("transaction_token",
                     unit_from_balance_split("balance_token").alias("unit_token"),

@@ -28,6 +28,10 @@ _USER_ATTRS = ("is_currently_frozen", "is_currently_deactivated", "merchant_toke
 def payment_gaps(t: Tables, p: Params) -> DataFrame:
     """Every day with card payments, the previous such day of the same
     unit and the number of days between them."""
+    return t.derived("payment_gaps", p, lambda: _build_payment_gaps(t, p))
+
+
+def _build_payment_gaps(t: Tables, p: Params) -> DataFrame:
     days = (t["daily_payment"].where(F.col("card_payment_count") > 0)
             .select("unit_token", "payment_date", "card_payment_count"))
     return with_previous(days, "unit_token", "payment_date", "previous_payment_date", "difference")
@@ -70,6 +74,10 @@ def payment_dormancy(t: Tables, p: Params) -> DataFrame:
     Aggregates the gaps per unit before any join, so the user attributes
     are joined once per unit instead of being carried as grouping keys.
     """
+    return t.derived("payment_dormancy", p, lambda: _build_payment_dormancy(t, p))
+
+
+def _build_payment_dormancy(t: Tables, p: Params) -> DataFrame:
     per_unit = (payment_gaps(t, p).groupBy("unit_token")
                 .agg(F.max("difference").alias("maximum_dormancy_in_between")))
     per_unit = per_unit.join(_summary(t), per_unit["unit_token"] == F.col("_s_user"), "left")
@@ -178,6 +186,10 @@ def risk_segmentation(t: Tables, p: Params) -> DataFrame:
     ``max(t) is not null``.  So both sides are reduced to their latest time
     per merchant first: one row per unit, the same reports.
     """
+    return t.derived("risk_segmentation", p, lambda: _build_risk_segmentation(t, p))
+
+
+def _build_risk_segmentation(t: Tables, p: Params) -> DataFrame:
     df = last_money_movement(t, p)
     me = last_activity(t, p)
     ml = detection.group_fully_locked(t, p)
@@ -318,21 +330,29 @@ def chargebacks_fx_daily(t: Tables, p: Params) -> DataFrame:
 def reactivation_value(t: Tables, p: Params) -> DataFrame:
     """C14: per month of reactivation, reactivated units and the card volume
     and chargebacks of their later payment days within 90 / 365 days and
-    overall (each reactivation counts its own later days)."""
+    overall (each reactivation counts its own later days).
+
+    Reactivations are few compared with payment days, so the later days are
+    found with an inner join in which the reactivations can be the broadcast
+    side; the unit counts come from the reactivations alone, which is what
+    the source's outer join contributes for reactivations without later days.
+    """
     r = reactivations(t, p).select(F.col("unit_token").alias("r_unit"),
                                    F.col("payment_date").alias("r_date"))
+    month = trunc_date("month", "r_date").alias("payment_month")
+    units = r.groupBy(month).agg(F.count_distinct("r_unit").alias("units"))
     days = t["daily_payment"].select(F.col("unit_token").alias("d_unit"),
                                      F.col("payment_date").alias("d_date"), "gpv_cents")
-    later = r.join(days, (days["d_unit"] == r["r_unit"]) & (days["d_date"] > r["r_date"]), "left")
+    later = r.join(days, (days["d_unit"] == r["r_unit"]) & (days["d_date"] > r["r_date"]))
     cb = chargebacks_fx_daily(t, p)
     later = later.join(cb, (cb["user_token"] == later["d_unit"]) & (cb["payment_dt"] == later["d_date"]),
                        "left")
     short = F.date_add("r_date", p.value_horizon_short)
     long_ = F.date_add("r_date", p.value_horizon_long)
-    return (later.groupBy(trunc_date("month", "r_date").alias("payment_month"))
-            .agg(F.count_distinct("r_unit").alias("units"),
-                 (F.sum(F.when(F.col("d_date") < short, F.col("gpv_cents"))) / 100).alias("gpv_enabled_90"),
+    sums = (later.groupBy(month)
+            .agg((F.sum(F.when(F.col("d_date") < short, F.col("gpv_cents"))) / 100).alias("gpv_enabled_90"),
                  (F.sum(F.when(F.col("d_date") < long_, F.col("gpv_cents"))) / 100).alias("gpv_enabled_365"),
                  (F.sum("gpv_cents") / 100).alias("overall_gpv_enabled"),
                  F.sum(F.when(F.col("payment_dt") < long_, F.col("chargebacks_usd"))).alias("cb_enabled_365"),
                  F.sum("chargebacks_usd").alias("total_cb")))
+    return units.join(sums, "payment_month", "left")

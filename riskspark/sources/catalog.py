@@ -30,6 +30,7 @@ class Tables:
         self.spark = spark
         self._frames: dict[str, DataFrame] = dict(frames or {})
         self._builders = dict(builders or {})
+        self._derived: dict = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -41,10 +42,34 @@ class Tables:
     def __contains__(self, name: str) -> bool:
         return name in self._frames or name in self._builders
 
+    def derived(self, name: str, key, build: Callable[[], DataFrame]) -> DataFrame:
+        """Memoised intermediate result ``name`` for parameter set ``key``.
+
+        Analyses ask for shared intermediates through this, so one plan that
+        reads an intermediate twice holds the same subtree twice (Spark then
+        reuses its shuffles), and a caller can pre-set a materialised copy
+        (see ``materialize``).
+        """
+        k = ("derived", name, key)
+        if k not in self._derived:
+            self._derived[k] = build()
+        return self._derived[k]
+
+    def materialize(self, name: str, key, build: Callable[[], DataFrame]) -> DataFrame:
+        """Compute an intermediate once and cut its lineage with a reliable
+        checkpoint in the session's checkpoint directory (shared storage on a
+        cluster, so it survives the loss of executors)."""
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        df = self.derived(name, key, build).checkpoint(eager=True)
+        self._derived[("derived", name, key)] = df
+        return df
+
     def with_tables(self, **frames: DataFrame) -> "Tables":
         """A copy of this catalog with some logical tables replaced."""
         out = Tables(self.spark, self._frames, self._builders)
         out._frames.update(frames)
+        out._derived = dict(self._derived)
         return out
 
     @classmethod

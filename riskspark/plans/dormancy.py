@@ -19,6 +19,7 @@ from ..operators.aggs import conditional_distinct_counts
 from ..operators.temporal import with_previous
 from ..params import Params
 from ..sources.catalog import Tables
+from ..streaming.activity import activity_events, latest_activity
 from . import detection
 
 _USER_ATTRS = ("is_currently_frozen", "is_currently_deactivated", "merchant_token", "user_token",
@@ -153,19 +154,11 @@ def last_activity(t: Tables, p: Params) -> DataFrame:
 
     The source's nested per-person and per-source maxima collapse into one
     ``max`` over the union of the sources (max is associative), which is a
-    single partially-aggregated shuffle on the merchant token.
+    single partially-aggregated shuffle on the merchant token.  The same
+    plan runs incrementally in ``riskspark.streaming``.
     """
-    logins = (t["login_event"]
-              .where(F.col("merchant_token").isNotNull() & (F.col("success") == F.lit(True)))
-              .select("merchant_token",
-                      F.to_date("recorded_at").cast("timestamp_ntz").alias("at")))
-    clicks = [t[n].where(F.col("merchant_token").isNotNull())
-              .select("merchant_token", F.col("recorded_at").alias("at"))
-              for n in ("page_click", "mobile_click")]
-    legacy = t["legacy_activity"].select("merchant_token", F.col("last_activity_at").alias("at"))
-    events = logins.unionByName(clicks[0]).unionByName(clicks[1]).unionByName(legacy)
-    return (events.groupBy(F.col("merchant_token").alias("subject_merchant_token"))
-            .agg(F.max("at").alias("last_activity_date")))
+    return latest_activity(activity_events(t["login_event"], t["page_click"], t["mobile_click"],
+                                           t["legacy_activity"]))
 
 
 # ---------------------------------------------------------------- C12 - C13

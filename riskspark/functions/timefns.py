@@ -25,8 +25,9 @@ def date_lit(d: dt.date) -> Column:
 
 def ts_lit(d: dt.date) -> Column:
     """Midnight of ``d`` as a zone-less timestamp: what a date-only literal
-    means when compared with a timestamp."""
-    return F.lit(dt.datetime(d.year, d.month, d.day))
+    means when compared with a timestamp.  (A date cast to ``timestamp_ntz``
+    does not depend on the session or Python time zone.)"""
+    return F.lit(d).cast("timestamp_ntz")
 
 
 def micros_to_ts(micros: str | Column) -> Column:

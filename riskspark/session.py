@@ -22,7 +22,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
-             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.session.timeZone", os.environ.get("RISKSPARK_SESSION_TZ", "UTC"))
              .config("spark.driver.memory", os.environ.get("RISKSPARK_DRIVER_MEMORY", "8g"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -56,6 +56,7 @@ ONLINE_ENTRY_METHODS = ("EXTERNAL_API", "EXTERNAL_API_ON_FILE")
 ACTIVE_ENROLLED_STATES = ("in_trial", "subscribed")
 ENDED_ENROLLED_STATES = ("trial_cancelled", "churned")
 NORMAL_RISK_LEVEL = "NORMAL"
+RISK_SEVERITY = (("HIGH", 3), ("MODERATE", 2), ("NORMAL", 1))
 INACTIVE_SEGMENT = "Inactive"
 ENGAGEMENT_APP = "dashboard"
 ENGAGEMENT_CATALOG = "page_view"
@@ -112,6 +113,13 @@ class Params:
     # payment mart
     mart_start: dt.date = D(2020, 3, 31)
 
+    # opt-in corrections of source behaviour (defaults keep the source's
+    # results): rank risk levels by severity instead of text order (Q6/Q7),
+    # and count a user's chargebacks once rather than once per reactivation
+    # of that user (Q8)
+    risk_level_by_severity: bool = False
+    dedupe_reactivation_chargebacks: bool = False
+
     # attach rates
     payments_start: dt.date = D(2020, 3, 2)
     trailing_days: int = 92

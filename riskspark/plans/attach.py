@@ -38,13 +38,17 @@ def _build_daily_qualifying_payments(t: Tables, p: Params) -> DataFrame:
         & (F.col("is_refunded") == 0) & (F.col("is_card_payment") == 1)
         & (F.col("recognized_at") >= ts_lit(p.payments_start))
         & F.col("entry_method").isin(*P.ONLINE_ENTRY_METHODS))
+    # Payments are reduced to (unit, day) before meeting the user dimension:
+    # a unit with a huge share of payments becomes a handful of rows per day
+    # before any shuffle.  Grouping again after the join keeps the source's
+    # result even if a user had several dimension rows.
+    per_day = (pt.groupBy("unit_token", F.to_date("recognized_at").alias("payment_trx_recognized_at"))
+               .agg(F.sum("amount_base_unit").alias("_cents")))
     du = t["dim_user"].where(F.col("is_unit") == 1).select(
         F.col("user_token").alias("_du_user"), "merchant_token", "business_category")
-    j = pt.join(du, pt["unit_token"] == du["_du_user"])
-    return (j.groupBy("unit_token", "merchant_token",
-                      F.to_date("recognized_at").alias("payment_trx_recognized_at"),
-                      "business_category")
-            .agg((F.sum("amount_base_unit") / 100).alias("amount_base_unit")))
+    j = per_day.join(du, per_day["unit_token"] == du["_du_user"])
+    return (j.groupBy("unit_token", "merchant_token", "payment_trx_recognized_at", "business_category")
+            .agg((F.sum("_cents") / 100).alias("amount_base_unit")))
 
 
 def first_online_signup(t: Tables, p: Params) -> DataFrame:

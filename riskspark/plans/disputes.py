@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions.predicates import (fraud_in_year, platform_borne, resolution_counts, seller_borne,
                                    valid_dispute)
-from ..functions.scalar import bps, unit_from_balance_split
+from ..functions.scalar import bps, safe_ratio, unit_from_balance_split
 from ..functions.timefns import trunc_date, year_range
 from ..params import Params
 from ..sources.catalog import Tables
@@ -122,7 +122,8 @@ def dispute_rate_amount(t: Tables, p: Params) -> DataFrame:
 
 def dispute_sellers(t: Tables, p: Params) -> DataFrame:
     """C20: per month of the KPI year, valid fraud disputes and the sellers
-    filing valid fraud, any fraud and any disputes.
+    filing valid fraud, any fraud and any disputes, and the key result
+    itself (valid disputes per seller filing them).
 
     Each side of the source's self-join is first reduced to distinct
     (token, unit) pairs: only distinct counts are read, so this is exact and
@@ -144,6 +145,9 @@ def dispute_sellers(t: Tables, p: Params) -> DataFrame:
                  F.count_distinct("vd_unit").alias("count_unique_sellers_filing_valid_fraud_disputes"),
                  F.count_distinct("fd_unit").alias("count_unique_sellers_filing_fraud_disputes"),
                  F.count_distinct("td_unit").alias("count_unique_sellers_filing_disputes"))
+            .withColumn("disputes_per_disputing_seller",
+                        safe_ratio("count_valid_fraud_disputes",
+                                   "count_unique_sellers_filing_valid_fraud_disputes"))
             .orderBy("transaction_month"))
 
 

@@ -108,31 +108,36 @@ def payment_dormancy_buckets(t: Tables, p: Params) -> DataFrame:
 
 # ---------------------------------------------------------------- C9 - C10
 
-def movement_history(t: Tables, p: Params) -> DataFrame:
-    """Days (ledger exits) and times (bank settlements) at which each unit
-    moved money other than by card payment, before ``p.movement_cutoff``,
-    tagged by source.  Dates are widened to timestamps (midnight)."""
+def _movement_parts(t: Tables, p: Params) -> tuple[DataFrame, DataFrame]:
     ua = t["card_activity"]
     bb = (ua.where(~ilike_any("activity_type", P.NON_MOVEMENT_PATTERNS)
                    & (F.col("activity_state") == P.SETTLED_STATE)
                    & (F.col("created_at") < ts_lit(p.movement_cutoff)))
           .select(F.to_date("created_at").cast("timestamp_ntz").alias("latest_dt"),
-                  unit_from_balance_fixed("balance_token").cast(p.unit_key_type).alias("unit_token"))
-          .distinct()
-          .withColumn("type", F.lit("bb_exit")))
+                  unit_from_balance_fixed("balance_token").cast(p.unit_key_type).alias("unit_token")))
     se = t["settlement_entry"]
     shifted = add_hours(micros_to_ts("created_us"), p.ledger_hour_shift)
     ledger = (se.where((shifted < ts_lit(p.movement_cutoff)) & (F.col("is_verification") == F.lit(False)))
               .select(shifted.alias("latest_dt"),
-                      F.col("merchant_token").cast(p.unit_key_type).alias("unit_token"))
-              .distinct()
-              .withColumn("type", F.lit("ledger")))
-    return bb.unionByName(ledger)
+                      F.col("merchant_token").cast(p.unit_key_type).alias("unit_token")))
+    return bb, ledger
+
+
+def movement_history(t: Tables, p: Params) -> DataFrame:
+    """Days (ledger exits) and times (bank settlements) at which each unit
+    moved money other than by card payment, before ``p.movement_cutoff``,
+    tagged by source.  Dates are widened to timestamps (midnight)."""
+    bb, ledger = _movement_parts(t, p)
+    return (bb.distinct().withColumn("type", F.lit("bb_exit"))
+            .unionByName(ledger.distinct().withColumn("type", F.lit("ledger"))))
 
 
 def movement_latest(t: Tables, p: Params) -> DataFrame:
-    """Latest non-payment money movement per unit."""
-    return (movement_history(t, p).groupBy("unit_token")
+    """Latest non-payment money movement per unit (one partially
+    aggregated shuffle; the per-source de-duplication is redundant under
+    ``max``)."""
+    bb, ledger = _movement_parts(t, p)
+    return (bb.unionByName(ledger).groupBy("unit_token")
             .agg(F.max("latest_dt").alias("latest_dt")))
 
 
@@ -311,11 +316,12 @@ def chargebacks_fx_daily(t: Tables, p: Params) -> DataFrame:
                   "rate", "multiplier"))
     n_react = (reactivations(t, p).groupBy(F.col("unit_token").alias("_r_user"))
                .agg(F.count(F.lit(1)).alias("_n")))
-    j = (cb.join(fx, (fx["_fx_date"] == F.to_date(cb["chargeback_date"]))
-                 & (fx["_fx_base"] == cb["currency_code"]), "left")
-         .join(n_react, cb["user_token"] == n_react["_r_user"], "left"))
+    j = cb.join(fx, (fx["_fx_date"] == F.to_date(cb["chargeback_date"]))
+                & (fx["_fx_base"] == cb["currency_code"]), "left")
+    if not p.dedupe_reactivation_chargebacks:
+        j = j.join(n_react, cb["user_token"] == n_react["_r_user"], "left")
     usd = F.coalesce(F.col("chargeback_cents") * F.col("rate") * F.col("multiplier"), F.lit(0.0))
-    times = F.coalesce(F.col("_n"), F.lit(1))
+    times = F.lit(1) if p.dedupe_reactivation_chargebacks else F.coalesce(F.col("_n"), F.lit(1))
     return (j.groupBy(F.to_date("payment_created_at").alias("payment_dt"), "user_token")
             .agg(F.sum(usd * times).alias("chargebacks_usd")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import params as P
 from ..functions.scalar import flag
 from ..functions.timefns import ts_lit
 from ..params import Params
@@ -23,6 +24,19 @@ def _risk_level_value() -> F.Column:
             .otherwise(lvl))
 
 
+def _max_risk_level(p: Params) -> F.Column:
+    """Highest risk level per group: by text order as in the source (NORMAL
+    sorts above HIGH), or by severity when ``p.risk_level_by_severity``."""
+    if not p.risk_level_by_severity:
+        return F.max(_risk_level_value())
+    lvl = F.col("risk_level")
+    sev = F.lit(0)
+    for name, rank in P.RISK_SEVERITY:
+        sev = F.when(lvl == name, F.lit(rank)).otherwise(sev)
+    fixed = F.when(lvl == _MISSPELT_MODERATE, F.lit("MODERATE")).otherwise(lvl)
+    return F.max_by(fixed, sev)
+
+
 def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
     """One row per (card payment of an enrolled merchant, chargeback
     state) with payment, merchant and enrolment attributes, the highest risk
@@ -44,7 +58,7 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
           .where(F.col("created_at") >= F.col("onboard_date"))
           .groupBy("payment_token", "unit_token", "merchant_token", "business_name",
                    "business_category", "onboard_date", "state", "offboard_date")
-          .agg(F.max(_risk_level_value()).alias("risk_level")))
+          .agg(_max_risk_level(p).alias("risk_level")))
     pay = (t["payment"]
            .where((F.col("is_card_payment") == 1) & (F.col("auth_success") == F.lit(True))
                   & (F.col("recognized_at") >= ts_lit(p.mart_start)) & (F.col("is_voided") == 0))

@@ -148,6 +148,8 @@ def test_reactivation_value_boundaries_and_multiplicity(spark):
     p = Params(reactivation_cohort_end=D(2005, 1, 1))
     cbs = dormancy.chargebacks_fx_daily(t, p).collect()
     assert [r.chargebacks_usd for r in cbs] == [800.0]   # counted once per reactivation
+    once = Params(reactivation_cohort_end=D(2005, 1, 1), dedupe_reactivation_chargebacks=True)
+    assert [r.chargebacks_usd for r in dormancy.chargebacks_fx_daily(t, once).collect()] == [400.0]
     rows = {r.payment_month: r for r in dormancy.reactivation_value(t, p).collect()}
     first = rows[D(2002, 1, 1)]
     assert first.units == 1
@@ -197,3 +199,31 @@ def test_engagement_short_path_gives_empty_bill(spark):
     t = Tables(spark, {"page_view": pv})
     got = {r.dashboard_bill_token for r in attach.first_engagement(t, P0).collect()}
     assert got == {"", "42"}
+
+
+def test_opt_in_corrections(spark):
+    # Q6: severity order instead of text order
+    pre = _df(spark, [(7, 1, 7, "HIGH", T(2021, 1, 2)), (7, 1, 7, "NORMAL", T(2021, 1, 2)),
+                      (7, 1, 7, "MODERTATE", T(2021, 1, 2))],
+              "payment_token bigint, unit_token bigint, bill_token bigint, risk_level string, "
+              "created_at timestamp_ntz")
+    pay = _df(spark, [(7, 1, T(2021, 1, 2), 1234, "USD", 0, 0, 1, 1, 1, True, "SWIPED")],
+              "payment_token bigint, unit_token bigint, recognized_at timestamp_ntz, "
+              "amount_base_unit bigint, currency_code string, is_voided int, is_refunded int, "
+              "is_card_payment int, is_gpv int, has_successful_capture int, auth_success boolean, "
+              "entry_method string")
+    users = _df(spark, [(1, 10, 1, 0, 0, 0, "a", "X")], USER_DDL)
+    rm = _df(spark, [(10, D(2020, 1, 1), None, "subscribed")],
+             "merchant_token bigint, onboard_date date, offboard_date date, state string")
+    cb = _df(spark, [], "payment_token bigint, user_token bigint, payment_created_at timestamp_ntz, "
+                        "chargeback_date date, currency_code string, chargeback_cents bigint, "
+                        "loss_cents bigint, type string, status string")
+    tok = "payment_token bigint"
+    t = Tables(spark, {"risk_evaluation": pre, "payment": pay, "dim_user": users, "enrolled_merchant": rm,
+                       "chargeback": cb, "risk_alert": _df(spark, [], tok),
+                       "allowed_payment": _df(spark, [], tok)})
+    base = Params(mart_start=D(2020, 1, 1))
+    [row] = mart.payment_risk_mart(t, base).collect()
+    assert row.risk_level == "NORMAL" and row.chargeback == 0
+    [row] = mart.payment_risk_mart(t, Params(mart_start=D(2020, 1, 1), risk_level_by_severity=True)).collect()
+    assert row.risk_level == "HIGH"

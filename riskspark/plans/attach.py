@@ -180,15 +180,26 @@ def risk_eval_attach_week(t: Tables, p: Params) -> DataFrame:
     active_api = api.join(engaged, (api["unit_token"] == F.col("_r_user"))
                           & (api["payment_trx_recognized_at"] == F.col("_r_date")), "left_semi")
 
-    def weekly(facts: DataFrame) -> DataFrame:
-        m = _with_online(_weekly_members(facts, t, p, cal, lo, hi, week_bounds=False), t, p)
-        return m.select(F.col("week").alias("week_start_date"),
-                        F.col("segment").alias("gpv_segment"), "is_square_online",
-                        F.col("business_category").alias("mcc"), "merchant_token")
-
+    # One pass for both counts: every qualifying payment as kind 0, the
+    # engaged ones again as kind 1; coverage runs, segment overlay and week
+    # spread run once over the union, and one aggregation counts both.
+    facts = (api.withColumn("_kind", F.lit(0))
+             .unionByName(active_api.withColumn("_kind", F.lit(1))))
+    runs = coverage_runs(facts, ["unit_token", "merchant_token", "business_category", "_kind"],
+                         "payment_trx_recognized_at", p.trailing_days)
+    pieces = label_pieces(t["user_segment"], "user_token", "segment", "effective_begin",
+                          "effective_end", P.INACTIVE_SEGMENT)
+    labelled = overlay_labels(runs.withColumnRenamed("unit_token", "user_token"), "user_token",
+                              pieces, "segment", P.INACTIVE_SEGMENT)
+    weekly = (spread_over_weeks(labelled, calendar_week_pieces(cal, extra=()), lo, hi)
+              .select(F.col("week").alias("week_start_date"), F.col("segment").alias("gpv_segment"),
+                      F.col("business_category").alias("mcc"), "merchant_token", "_kind")
+              .distinct())
+    m = _with_online(weekly, t, p)
     keys = ["week_start_date", "gpv_segment", "is_square_online", "mcc"]
-    total = (weekly(api).groupBy(*keys).agg(F.count("merchant_token").alias("total")))
-    active = (weekly(active_api).groupBy(*keys).agg(F.count("merchant_token").alias("active")))
-    out = total.join(active, keys, "left").withColumn("active", F.coalesce("active", F.lit(0)).cast("bigint"))
+    # rows are distinct per (keys, merchant, kind), so counts are distinct counts
+    out = (m.groupBy(*keys)
+           .agg(F.count(F.when(F.col("_kind") == 0, F.col("merchant_token"))).alias("total"),
+                F.count(F.when(F.col("_kind") == 1, F.col("merchant_token"))).alias("active")))
     return (out.where(F.col("total") > 0)
             .withColumn("risk_evaluation_attach_rates", safe_ratio("active", "total")))

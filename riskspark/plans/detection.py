@@ -7,6 +7,8 @@ the same user.  Merchant lock status and headcounts come from the roster.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ from ..sources.catalog import Tables
 def tagged_events(t: Tables, p: Params) -> DataFrame:
     """Audit-log entries tagged as suspect logins (by comment tag or
     action), up to the log cutoff, with the address written in the comment
-    and the matching known-false-positive entry.
+    and the matching known-false-positive entry.  (``date(t) <= cutoff`` is
+    written as ``t < cutoff + 1 day`` so the scan can prune on it.)
 
     The false-positive list only matches entries inside its date window;
     that condition stays in the join, so other entries are kept unmatched.
@@ -31,7 +34,7 @@ def tagged_events(t: Tables, p: Params) -> DataFrame:
 def _build_tagged_events(t: Tables, p: Params) -> DataFrame:
     log = t["audit_log"].where(
         (F.col("comment").ilike(p.suspect_comment_pattern) | (F.col("action_name") == p.suspect_action))
-        & (F.to_date("created_at") <= F.lit(p.log_cutoff)))
+        & (F.col("created_at") < ts_lit(p.log_cutoff + dt.timedelta(days=1))))
     fp = t["fp_login_list"].select(F.col("unit_token").alias("fp_unit_token"),
                                    F.col("ip").alias("rm_ip"))
     in_window = F.to_date("created_at").between(F.lit(p.fp_window_start), F.lit(p.fp_window_end))

@@ -193,7 +193,9 @@ def _build_risk_segmentation(t: Tables, p: Params) -> DataFrame:
     ml = detection.group_fully_locked(t, p)
     users = t["dim_user"].select(F.col("user_token").alias("_du_user"),
                                  F.col("merchant_token").alias("_du_merchant"))
-    sk = detection.tagged_events(t, p).where(F.col("fp_unit_token").isNull())
+    # latest tag per user before meeting the user dimension (max of maxima)
+    sk = (detection.tagged_events(t, p).where(F.col("fp_unit_token").isNull())
+          .groupBy("target_token").agg(F.max("created_at").alias("created_at")))
     sk = sk.join(users, sk["target_token"] == users["_du_user"], "left")
     sk = _merchant_max(sk, "_du_merchant", "created_at", "sketchylogin_at")
     ato = detection.confirmed_takeovers(t, p)

@@ -24,6 +24,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", os.environ.get("RISKSPARK_SESSION_TZ", "UTC"))
              .config("spark.driver.memory", os.environ.get("RISKSPARK_DRIVER_MEMORY", "8g"))
+             # Python call-site capture for error messages costs several JVM
+             # round trips per Column call while plans are built
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -12,6 +12,7 @@ its whole source table.  The same rules, written in DuckDB SQL, live in
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -369,11 +370,23 @@ _BUILDERS = {
 }
 
 
+_READERS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table handle, one per (session, path): later analyses reuse
+    its resolved file listing and schema instead of listing again."""
+    per_session = _READERS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
+
+
 def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Catalog of logical tables derived from ``{sf_dir}/<table>.parquet``."""
     builders = dict(_BUILDERS)
     for name in DRIVER_TABLES:
-        builders[name] = (lambda t, n=name: t.spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet"))
+        builders[name] = (lambda t, n=name: _read(t.spark, f"{sf_dir.rstrip('/')}/{n}.parquet"))
     return Tables(spark, builders=builders)
 
 

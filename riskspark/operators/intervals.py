@@ -101,6 +101,21 @@ def overlay_labels(runs: DataFrame, entity: str, pieces: DataFrame, label: str,
             .drop("_p_entity", "piece_start", "piece_end"))
 
 
+def clip(intervals: DataFrame, lo: dt.date, hi: dt.date, start: str = "cover_start",
+         end: str = "cover_end") -> DataFrame:
+    """Intersect intervals with ``[lo, hi]``; drop those outside it."""
+    return (intervals.withColumn(start, F.greatest(F.col(start), F.lit(lo)))
+            .withColumn(end, F.least(F.col(end), F.lit(hi)))
+            .where(F.col(start) <= F.col(end)))
+
+
+def pieces_within(pieces: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Label pieces that can meet ``[lo, hi]``.  Exact for overlaying runs
+    already clipped to ``[lo, hi]``: an entity's pieces cover every day, so
+    the days of ``[lo, hi]`` keep all their pieces."""
+    return pieces.where((F.col("piece_end") >= F.lit(lo)) & (F.col("piece_start") <= F.lit(hi)))
+
+
 def calendar_week_pieces(calendar: DataFrame, day: str = "report_date",
                          extra: Sequence[str] = ("week_begin", "week_end")) -> DataFrame:
     """Runs of consecutive calendar days per week (``week`` = Monday of
@@ -126,10 +141,7 @@ def spread_over_weeks(intervals: DataFrame, cal_pieces: DataFrame, lo: dt.date,
     side has at most one row per day of ``[lo, hi]``, a bound fixed by the
     parameters, so it is broadcast.
     """
-    s = F.greatest(F.col(start), F.lit(lo))
-    e = F.least(F.col(end), F.lit(hi))
-    clipped = (intervals.withColumn(start, s).withColumn(end, e)
-               .where(F.col(start) <= F.col(end)))
+    clipped = clip(intervals, lo, hi, start, end)
     weeks = clipped.withColumn("week", F.explode(F.sequence(
         F.date_trunc("week", F.col(start)).cast("date"),
         F.date_trunc("week", F.col(end)).cast("date"),

@@ -20,8 +20,8 @@ from .. import params as P
 from ..functions.scalar import bps, flag, safe_ratio
 from ..functions.timefns import ts_lit
 from ..operators.aggs import conditional_distinct_counts
-from ..operators.intervals import (calendar_week_pieces, coverage_runs, covered_days,
-                                   label_pieces, overlay_labels, spread_over_weeks)
+from ..operators.intervals import (calendar_week_pieces, clip, coverage_runs, covered_days,
+                                   label_pieces, overlay_labels, pieces_within, spread_over_weeks)
 from ..params import Params
 from ..sources.catalog import Tables
 
@@ -64,17 +64,22 @@ def _online_flags(t: Tables, p: Params) -> DataFrame:
                       F.col("online_signup_datetime").isNotNull().alias("_online"))
 
 
+def _segment_pieces(t: Tables, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Segment validity and gap pieces that can meet the report range."""
+    pieces = label_pieces(t["user_segment"], "user_token", "segment", "effective_begin",
+                          "effective_end", P.INACTIVE_SEGMENT)
+    return pieces_within(pieces, lo, hi)
+
+
 def _weekly_members(api: DataFrame, t: Tables, p: Params, cal: DataFrame,
                     lo: dt.date, hi: dt.date, week_bounds: bool = True) -> DataFrame:
     """(week, week_begin, week_end, category, segment, merchant) for every
     merchant with a payment visible on some calendar day of the week, with
     the segment of the paying unit on that day."""
-    runs = coverage_runs(api, ["unit_token", "merchant_token", "business_category"],
-                         "payment_trx_recognized_at", p.trailing_days)
-    pieces = label_pieces(t["user_segment"], "user_token", "segment", "effective_begin",
-                          "effective_end", P.INACTIVE_SEGMENT)
+    runs = clip(coverage_runs(api, ["unit_token", "merchant_token", "business_category"],
+                              "payment_trx_recognized_at", p.trailing_days), lo, hi)
     labelled = overlay_labels(runs.withColumnRenamed("unit_token", "user_token"), "user_token",
-                              pieces, "segment", P.INACTIVE_SEGMENT)
+                              _segment_pieces(t, lo, hi), "segment", P.INACTIVE_SEGMENT)
     weekly = spread_over_weeks(labelled, calendar_week_pieces(cal), lo, hi)
     bounds = ["week_begin", "week_end"] if week_bounds else []
     return weekly.select("week", *bounds, "business_category", "segment",
@@ -185,12 +190,10 @@ def risk_eval_attach_week(t: Tables, p: Params) -> DataFrame:
     # spread run once over the union, and one aggregation counts both.
     facts = (api.withColumn("_kind", F.lit(0))
              .unionByName(active_api.withColumn("_kind", F.lit(1))))
-    runs = coverage_runs(facts, ["unit_token", "merchant_token", "business_category", "_kind"],
-                         "payment_trx_recognized_at", p.trailing_days)
-    pieces = label_pieces(t["user_segment"], "user_token", "segment", "effective_begin",
-                          "effective_end", P.INACTIVE_SEGMENT)
+    runs = clip(coverage_runs(facts, ["unit_token", "merchant_token", "business_category", "_kind"],
+                              "payment_trx_recognized_at", p.trailing_days), lo, hi)
     labelled = overlay_labels(runs.withColumnRenamed("unit_token", "user_token"), "user_token",
-                              pieces, "segment", P.INACTIVE_SEGMENT)
+                              _segment_pieces(t, lo, hi), "segment", P.INACTIVE_SEGMENT)
     weekly = (spread_over_weeks(labelled, calendar_week_pieces(cal, extra=()), lo, hi)
               .select(F.col("week").alias("week_start_date"), F.col("segment").alias("gpv_segment"),
                       F.col("business_category").alias("mcc"), "merchant_token", "_kind")

@@ -5,8 +5,9 @@ import random
 
 import pytest
 
-from riskspark.operators.intervals import (calendar_week_pieces, coverage_runs, covered_days,
-                                           label_pieces, overlay_labels, spread_over_weeks)
+from riskspark.operators.intervals import (calendar_week_pieces, clip, coverage_runs, covered_days,
+                                           label_pieces, overlay_labels, pieces_within,
+                                           spread_over_weeks)
 
 D0 = dt.date(2000, 1, 3)
 LOOKBACK = 20
@@ -25,8 +26,8 @@ def _brute(facts, segments, cal_days):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_weekly_membership_matches_per_day_join(spark, seed):
+@pytest.mark.parametrize("seed,clipped", [(1, False), (2, False), (3, False), (4, True), (5, True)])
+def test_weekly_membership_matches_per_day_join(spark, seed, clipped):
     rnd = random.Random(seed)
     facts = [(u, u % 3, rnd.choice("AB"), D0 + dt.timedelta(days=rnd.randrange(0, 200)))
              for u in range(1, 7) for _ in range(rnd.randrange(0, 6))]
@@ -44,6 +45,8 @@ def test_weekly_membership_matches_per_day_join(spark, seed):
 
     runs = coverage_runs(fdf, ["unit", "merchant", "cat"], "day", LOOKBACK).withColumnRenamed("unit", "user")
     pieces = label_pieces(sdf, "user", "seg", "b", "e", "Inactive")
+    if clipped:     # restricting both sides to the calendar range first is exact
+        runs, pieces = clip(runs, lo, hi), pieces_within(pieces, lo, hi)
     labelled = overlay_labels(runs, "user", pieces, "seg", "Inactive")
     weekly = spread_over_weeks(labelled, calendar_week_pieces(cdf, extra=()), lo, hi)
     got = {(r.week, r.cat, r.seg, r.merchant)

@@ -22,7 +22,7 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v):
+def _norm(v, exact: bool = False):
     if v is None:
         return None
     if isinstance(v, bool):
@@ -31,14 +31,14 @@ def _norm(v):
         f = float(v)
         if math.isnan(f):
             return None
-        return round(f, 6)
+        return f if exact else round(f, 6)
     return v
 
 
-def _rows(tbl: pa.Table) -> list[tuple]:
+def _rows(tbl: pa.Table, exact: bool = False) -> list[tuple]:
     cols = sorted(tbl.column_names)
     data = [tbl.column(c).to_pylist() for c in cols]
-    out = [tuple(_norm(v) for v in rec) for rec in zip(*data)]
+    out = [tuple(_norm(v, exact) for v in rec) for rec in zip(*data)]
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
@@ -56,7 +56,10 @@ class Comparison:
         return self.same_columns and self.same_values and self.spark_rows == self.oracle_rows
 
 
-def compare(name: str, spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> Comparison:
+def compare(name: str, spark_df, con: duckdb.DuckDBPyConnection, sql: str,
+            exact: bool = True) -> Comparison:
+    """Row count, column names and order-insensitive values.  ``exact``
+    compares floating-point values bit for bit (no rounding)."""
     s = spark_df.toArrow()
     o = con.sql(sql).to_arrow_table()
     if not isinstance(o, pa.Table):
@@ -66,7 +69,7 @@ def compare(name: str, spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> Co
     if not same_cols:
         detail = f"spark cols {sorted(s.column_names)} vs oracle {sorted(o.column_names)}"
         return Comparison(name, s.num_rows, o.num_rows, False, False, detail)
-    rs, ro = _rows(s), _rows(o)
+    rs, ro = _rows(s, exact), _rows(o, exact)
     same = rs == ro
     if not same:
         ss, so = set(rs), set(ro)

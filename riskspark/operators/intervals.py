@@ -64,26 +64,34 @@ def label_pieces(segments: DataFrame, entity: str, label: str, begin: str, end:
 
     Output: ``entity, label, piece_start, piece_end``.  Overlapping validity
     rows are kept as they are (each is a separate match, as in a join);
-    gaps are the complement of their union.
+    gaps are the complement of their union.  One shuffle and one sort of
+    the validity rows: each row emits itself, the gap before it (from the
+    running maximum end of the rows before) and, for the entity's last row,
+    the open tail after the overall maximum end.
     """
     s = (segments.where(F.col(begin).isNotNull() & F.col(end).isNotNull()
                         & (F.col(begin) <= F.col(end)))
          .select(F.col(entity), F.coalesce(F.col(label), F.lit(default_label)).alias(label),
-                 F.col(begin).alias("piece_start"), F.col(end).alias("piece_end")))
-    w = Window.partitionBy(entity).orderBy("piece_start", "piece_end")
-    reach = F.max("piece_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    gaps_before = (s.withColumn("_reach", reach)
-                   .where(F.col("_reach").isNull() | (F.col("piece_start") > F.date_add("_reach", 1)))
-                   .select(entity, F.lit(default_label).alias(label),
-                           F.coalesce(F.date_add("_reach", 1), _min_date()).alias("piece_start"),
-                           F.date_sub("piece_start", 1).alias("piece_end"))
-                   .where(F.col("piece_start") <= F.col("piece_end")))
-    tail = (s.groupBy(entity).agg(F.max("piece_end").alias("_last"))
-            .where(F.col("_last") < _max_date())
-            .select(entity, F.lit(default_label).alias(label),
-                    F.date_add("_last", 1).alias("piece_start"),
-                    _max_date().alias("piece_end")))
-    return s.unionByName(gaps_before).unionByName(tail)
+                 F.col(begin).alias("_b"), F.col(end).alias("_e")))
+    w = Window.partitionBy(entity).orderBy("_b", "_e")
+    reach_before = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    reach_here = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    is_last = F.lead("_b").over(w).isNull()
+    s = s.select(entity, label, "_b", "_e", reach_before.alias("_rb"), reach_here.alias("_rh"),
+                 is_last.alias("_last"))
+    dflt = F.lit(default_label)
+    gap_start = F.coalesce(F.date_add("_rb", 1), _min_date())
+    pieces = F.array(
+        F.struct(F.lit(True).alias("ok"), F.col(label).alias("l"), F.col("_b").alias("s"),
+                 F.col("_e").alias("e")),
+        F.struct((F.col("_rb").isNull() | (F.col("_b") > F.date_add("_rb", 1))).alias("ok"),
+                 dflt.alias("l"), gap_start.alias("s"), F.date_sub("_b", 1).alias("e")),
+        F.struct((F.col("_last") & (F.col("_rh") < _max_date())).alias("ok"), dflt.alias("l"),
+                 F.date_add("_rh", 1).alias("s"), _max_date().alias("e")))
+    out = s.select(entity, F.inline(pieces))
+    return (out.where(F.col("ok") & (F.col("s") <= F.col("e")))
+            .select(entity, F.col("l").alias(label), F.col("s").alias("piece_start"),
+                    F.col("e").alias("piece_end")))
 
 
 def overlay_labels(runs: DataFrame, entity: str, pieces: DataFrame, label: str,

@@ -27,12 +27,45 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
              # Python call-site capture for error messages costs several JVM
              # round trips per Column call while plans are built
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+             .config("spark.sql.ansi.enabled", os.environ.get("RISKSPARK_ANSI", "true"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+# Settings these plans are designed for on a large cluster.  Applied only
+# where the platform has not set a value.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # start wide, let AQE merge small partitions to the advisory size
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # split skewed partitions of sort-merge joins (hot units / merchants)
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # broadcast only what AQE measured below this size
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # bloom-filter pre-filtering of the large side of selective joins
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> dict[str, str]:
+    """Set ``CLUSTER_DEFAULTS`` where the session has no explicit value;
+    returns what was set."""
+    applied = {}
+    for key, value in CLUSTER_DEFAULTS.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the session's checkpoint directory, setting one only when the
     session has none (local runs and tests)."""

@@ -39,16 +39,33 @@ def latest_activity(events: DataFrame) -> DataFrame:
 
 def start_last_activity(spark: SparkSession, paths: Mapping[str, str],
                         schemas: Mapping[str, StructType], checkpoint_location: str,
-                        query_name: str = "last_activity", available_now: bool = True) -> StreamingQuery:
+                        sink_path: str | None = None, query_name: str = "last_activity",
+                        available_now: bool = True) -> StreamingQuery:
     """Run C11 over parquet directories that receive new files.
 
-    Results go to an in-memory table ``query_name`` in ``complete`` mode
-    (the full per-merchant table after every batch); for a durable sink use
-    ``latest_activity(...)`` with ``foreachBatch``.
+    With ``sink_path``: ``update`` mode, and each micro-batch appends the
+    merchants whose latest activity changed to a parquet change log
+    (partitioned by batch).  A retried batch only re-appends the same
+    maxima, so ``read_last_activity`` (max per merchant over the log) stays
+    exact.  Without it, results go to an in-memory table ``query_name``
+    (tests and notebooks).
     """
     streams = [spark.readStream.schema(schemas[s]).parquet(paths[s]) for s in SOURCES]
     agg = latest_activity(activity_events(*streams))
-    w = (agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
-         .option("checkpointLocation", checkpoint_location))
+    if sink_path:
+        def append_changes(batch: DataFrame, batch_id: int) -> None:
+            (batch.withColumn("batch_id", F.lit(batch_id))
+             .write.mode("append").partitionBy("batch_id").parquet(sink_path))
+        w = agg.writeStream.outputMode("update").foreachBatch(append_changes)
+    else:
+        w = agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
+    w = w.option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def read_last_activity(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Current latest activity per merchant from the change log."""
+    return latest_activity(spark.read.parquet(sink_path)
+                           .select(F.col("subject_merchant_token").alias("merchant_token"),
+                                   F.col("last_activity_date").alias("at")))

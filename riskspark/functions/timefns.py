@@ -19,10 +19,6 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def date_lit(d: dt.date) -> Column:
-    return F.lit(d)
-
-
 def ts_lit(d: dt.date) -> Column:
     """Midnight of ``d`` as a zone-less timestamp: what a date-only literal
     means when compared with a timestamp.  (A date cast to ``timestamp_ntz``

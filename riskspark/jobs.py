@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .params import Params
 from .plans.books import BOOKS
+from .session import apply_cluster_defaults, ensure_checkpoint_dir
 from .sinks import publish, write_parquet
 from .sources.catalog import Tables
 
@@ -39,6 +40,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--output", help="write each report as parquet under this path")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
+    apply_cluster_defaults(spark)
+    ensure_checkpoint_dir(spark)
     if args.driver_data:
         from .sources.driver_adapter import driver_tables
         t, p = driver_tables(spark, args.driver_data), Params.for_driver_data()

@@ -158,7 +158,3 @@ def spread_over_weeks(intervals: DataFrame, cal_pieces: DataFrame, lo: dt.date,
     j = weeks.join(cal, "week")
     return j.where(F.greatest(F.col(start), F.col("cal_start")) <= F.least(F.col(end), F.col("cal_end"))) \
             .drop("cal_start", "cal_end")
-
-
-def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
-    return (a_start <= b_end) & (b_start <= a_end)

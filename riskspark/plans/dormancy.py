@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.predicates import active_unit
-from ..functions.scalar import dormancy_bucket, flag, ilike_any, unit_from_balance_fixed
+from ..functions.scalar import (dormancy_bucket, flag, ilike_any, minor_to_major,
+                                unit_from_balance_fixed)
 from ..functions.timefns import add_hours, day_diff, micros_to_ts, trunc_date, ts_lit
 from ..operators.aggs import conditional_distinct_counts
 from ..operators.temporal import with_previous
@@ -64,7 +65,7 @@ def gap_history(t: Tables, p: Params) -> DataFrame:
         "first_card_payment_date", "unit_token", "payment_date", "card_payment_count",
         "previous_payment_date", "difference", "is_currently_frozen", "is_currently_deactivated",
         "latest_card_payment_date",
-        (F.col("lifetime_gpv_cents") / 100).alias("lifetime_gpv"),
+        minor_to_major("lifetime_gpv_cents").alias("lifetime_gpv"),
         "merchant_token", "user_token", "is_deleted")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.scalar import flag
+from ..functions.scalar import flag, minor_to_major
 from ..functions.timefns import ts_lit
 from ..params import Params
 from ..sinks import publish
@@ -67,12 +67,12 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
                   & (F.col("recognized_at") >= ts_lit(p.mart_start)) & (F.col("is_voided") == 0))
            .select(F.col("payment_token").alias("_p_token"),
                    F.col("recognized_at").alias("payment_trx_recognized_at"), "currency_code",
-                   (F.col("amount_base_unit") / 100).alias("amount_base"), "is_refunded", "is_gpv",
+                   minor_to_major("amount_base_unit").alias("amount_base"), "is_refunded", "is_gpv",
                    "entry_method", "auth_success"))
     cb = t["chargeback"].select(F.col("payment_token").alias("_cb_token"),
                                 F.col("type").alias("chargeback_type"), "status",
-                                (F.col("chargeback_cents") / 100).alias("chargeback_amt"),
-                                (F.col("loss_cents") / 100).alias("loss_amt"))
+                                minor_to_major("chargeback_cents").alias("chargeback_amt"),
+                                minor_to_major("loss_cents").alias("loss_amt"))
     alerts = t["risk_alert"].select(F.col("payment_token").alias("_ra_token")).distinct()
     allowed = t["allowed_payment"].select(F.col("payment_token").alias("_ap_token")).distinct()
     tok = F.col("payment_token")

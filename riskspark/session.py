@@ -14,6 +14,11 @@ from pyspark.sql import SparkSession
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "riskspark") -> SparkSession:
+    """Local session for tests and the benchmark.  It is the only place a
+    checkpoint directory is chosen here: a fresh scratch folder, unless
+    ``RISKSPARK_CHECKPOINT_DIR`` names one."""
+    ckpt = os.environ.get("RISKSPARK_CHECKPOINT_DIR") or tempfile.mkdtemp(
+        prefix="riskspark-ckpt-", dir="/tmp")
     spark = (SparkSession.builder
              .master(f"local[{cpus}]")
              .appName(app_name)
@@ -28,6 +33,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
              # round trips per Column call while plans are built
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.ansi.enabled", os.environ.get("RISKSPARK_ANSI", "true"))
+             .config("spark.checkpoint.dir", ckpt)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -66,14 +72,13 @@ def apply_cluster_defaults(spark: SparkSession) -> dict[str, str]:
     return applied
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the session's checkpoint directory, setting one only when the
-    session has none (local runs and tests)."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint directory (``spark.checkpoint.dir``), which
+    on a cluster must be shared storage set by the platform.  Never invents
+    one: a job that materialises intermediates fails early without it."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="riskspark-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not current:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
+                           "(local_session() sets a scratch folder for tests)")
+    spark.sparkContext.setCheckpointDir(current)
+    return current

@@ -14,3 +14,16 @@ def test_publish_switches_view_and_drops_old_versions(spark):
     assert len(versions) == 1
     spark.sql(f"DROP VIEW IF EXISTS {name}")
     spark.sql(f"DROP TABLE IF EXISTS {versions[0]}")
+
+
+def test_publish_payment_risk_mart(spark):
+    import __spark_entry__ as E
+    from riskspark.plans.mart import publish_payment_risk_mart
+    from riskspark.sources.driver_adapter import driver_tables
+    t = driver_tables(spark, "/root/testdata/sf0.001")
+    view = publish_payment_risk_mart(t, E.PARAMS, "rs_test_mart")
+    assert view.count() == E.queries()["payment_risk_mart"](spark, "/root/testdata/sf0.001").count()
+    for r in spark.sql("SHOW TABLES").collect():
+        if r.tableName.startswith("rs_test_mart__v"):
+            spark.sql(f"DROP TABLE {r.tableName}")
+    spark.sql("DROP VIEW IF EXISTS rs_test_mart")

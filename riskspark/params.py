@@ -62,6 +62,19 @@ ENGAGEMENT_APP = "dashboard"
 ENGAGEMENT_CATALOG = "page_view"
 ENGAGEMENT_DESCRIPTION_PATTERN = "Transactions: Show%"
 BILL_PATH_SEPARATOR = "/"
+
+# Payment attributes the risk mart carries as grouping keys, in
+# the source's order (neutral names).  Minor-unit money columns are carried
+# divided by 100 under the mapped name; the tip is carried both ways.
+MART_PAYMENT_ATTRIBUTES = (
+    "auth_intent_created_at", "country_code", "pan_token", "currency_code",
+    "amount_base_unit", "auth_intent_amount", "tip_amount_base_unit", "decline_reasons",
+    "is_refunded", "pan_masked", "is_gpv", "bin_country", "bin_prepaid_status", "card_brand",
+    "entry_method", "auth_success", "auth_avs_status", "auth_cvv_status",
+)
+MART_MONEY_COLUMNS = {"amount_base_unit": "amount_base", "auth_intent_amount": "auth_amount",
+                      "tip_amount_base_unit": "tip_amount"}
+MART_MONEY_KEPT_RAW = ("tip_amount_base_unit",)
 BILL_PATH_PART = 5
 
 
@@ -110,8 +123,11 @@ class Params:
     dispute_share_threshold: float = 0.5
     seller_dispute_delay_days: int = 90
 
-    # payment mart
+    # payment mart: start of the authorisation time window, the column it
+    # applies to, and the payment attributes present in the payment table
     mart_start: dt.date = D(2020, 3, 31)
+    mart_auth_time: str = "auth_intent_created_at"
+    mart_payment_attributes: tuple[str, ...] = MART_PAYMENT_ATTRIBUTES
 
     # opt-in corrections of source behaviour (defaults keep the source's
     # results): rank risk levels by severity instead of text order (Q6/Q7),
@@ -160,6 +176,9 @@ class Params:
             seller_liable_reasons=("CHIP",),
             seller_dispute_delay_days=150,
             mart_start=D(1997, 3, 31),
+            mart_auth_time="recognized_at",
+            mart_payment_attributes=("currency_code", "amount_base_unit", "is_refunded", "is_gpv",
+                                     "entry_method", "auth_success"),
             payments_start=D(1998, 3, 2),
             engagement_report_start=D(1999, 1, 1),
             engagement_activity_start=D(1998, 3, 1),

@@ -41,7 +41,8 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
     """One row per (card payment of an enrolled merchant, chargeback
     state) with payment, merchant and enrolment attributes, the highest risk
     level (string order, as in the source) and alert / chargeback / allow
-    flags.
+    flags.  With the default ``p.mart_payment_attributes`` the grain is the
+    source's 32 keys; tables lacking some attributes pass a shorter list.
 
     Evaluations are reduced per payment and merchant before meeting the
     payment fact; alert and allow lists are reduced to one flag per payment
@@ -62,13 +63,18 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
           .groupBy("payment_token", "unit_token", "merchant_token", "business_name",
                    "business_category", "onboard_date", "state", "offboard_date")
           .agg(_max_risk_level(p).alias("risk_level")))
+    attrs = []
+    for a in p.mart_payment_attributes:
+        if a in P.MART_MONEY_COLUMNS:
+            attrs.append(minor_to_major(a).alias(P.MART_MONEY_COLUMNS[a]))
+        if a not in P.MART_MONEY_COLUMNS or a in P.MART_MONEY_KEPT_RAW:
+            attrs.append(F.col(a))
     pay = (t["payment"]
            .where((F.col("is_card_payment") == 1) & (F.col("auth_success") == F.lit(True))
-                  & (F.col("recognized_at") >= ts_lit(p.mart_start)) & (F.col("is_voided") == 0))
+                  & (F.col(p.mart_auth_time) >= ts_lit(p.mart_start)) & (F.col("is_voided") == 0))
            .select(F.col("payment_token").alias("_p_token"),
-                   F.col("recognized_at").alias("payment_trx_recognized_at"), "currency_code",
-                   minor_to_major("amount_base_unit").alias("amount_base"), "is_refunded", "is_gpv",
-                   "entry_method", "auth_success"))
+                   F.col("recognized_at").alias("payment_trx_recognized_at"), *attrs))
+    pay_keys = [c for c in pay.columns if c != "_p_token"]
     cb = t["chargeback"].select(F.col("payment_token").alias("_cb_token"),
                                 F.col("type").alias("chargeback_type"), "status",
                                 minor_to_major("chargeback_cents").alias("chargeback_amt"),
@@ -80,9 +86,8 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
          .join(cb, tok == F.col("_cb_token"), "left")
          .join(alerts, tok == F.col("_ra_token"), "left")
          .join(allowed, tok == F.col("_ap_token"), "left"))
-    keys = ["payment_token", "payment_trx_recognized_at", "unit_token", "merchant_token",
-            "business_name", "business_category", "currency_code", "amount_base", "is_refunded",
-            "is_gpv", "entry_method", "auth_success", "onboard_date", "state", "offboard_date",
+    keys = ["payment_token", "unit_token", "merchant_token", "business_name", "business_category",
+            *pay_keys, "onboard_date", "state", "offboard_date",
             "chargeback_type", "status", "chargeback_amt", "loss_amt"]
     # risk_level is already one value per evaluation key (all of which are
     # grouping keys here), so it is a key rather than a string max: the

@@ -12,6 +12,9 @@ from riskspark.sources.catalog import Tables
 D = dt.date
 T = dt.datetime
 P0 = Params()
+# the fixtures' payment table has the driver-data columns only
+MART = dict(mart_auth_time="recognized_at",
+            mart_payment_attributes=Params.for_driver_data().mart_payment_attributes)
 
 
 def _df(spark, rows, ddl):
@@ -124,7 +127,7 @@ def test_mart_risk_level_is_string_max(spark):
     t = Tables(spark, {"risk_evaluation": pre, "payment": pay, "dim_user": users, "enrolled_merchant": rm,
                        "chargeback": cb, "risk_alert": _df(spark, [(7,)], tok),
                        "allowed_payment": _df(spark, [(8,)], tok)})
-    [row] = mart.payment_risk_mart(t, Params(mart_start=D(2020, 1, 1))).collect()
+    [row] = mart.payment_risk_mart(t, Params(mart_start=D(2020, 1, 1), **MART)).collect()
     assert row.risk_level == "NORMAL"
     assert (row.alerted, row.chargeback, row.fraud_chargeback, row.allowed) == (1, 1, 1, 0)
     assert row.amount_base == 12.34 and row.loss_amt == 1.0
@@ -222,8 +225,42 @@ def test_opt_in_corrections(spark):
     t = Tables(spark, {"risk_evaluation": pre, "payment": pay, "dim_user": users, "enrolled_merchant": rm,
                        "chargeback": cb, "risk_alert": _df(spark, [], tok),
                        "allowed_payment": _df(spark, [], tok)})
-    base = Params(mart_start=D(2020, 1, 1))
+    base = Params(mart_start=D(2020, 1, 1), **MART)
     [row] = mart.payment_risk_mart(t, base).collect()
     assert row.risk_level == "NORMAL" and row.chargeback == 0
-    [row] = mart.payment_risk_mart(t, Params(mart_start=D(2020, 1, 1), risk_level_by_severity=True)).collect()
+    [row] = mart.payment_risk_mart(t, Params(mart_start=D(2020, 1, 1), risk_level_by_severity=True,
+                                             **MART)).collect()
     assert row.risk_level == "HIGH"
+
+
+def test_mart_default_grain_has_the_source_keys(spark):
+    import riskspark.params as PP
+    cols = ", ".join(f"{c} {'bigint' if c in PP.MART_MONEY_COLUMNS else 'string'}"
+                     for c in PP.MART_PAYMENT_ATTRIBUTES if c not in ("auth_intent_created_at", "auth_success"))
+    ddl = (f"payment_token bigint, unit_token bigint, recognized_at timestamp_ntz, "
+           f"auth_intent_created_at timestamp_ntz, auth_success boolean, is_card_payment int, "
+           f"is_voided int, {cols}")
+    schema = spark.createDataFrame([], ddl).schema
+    vals = {"payment_token": 7, "unit_token": 1, "recognized_at": T(2021, 1, 2),
+            "auth_intent_created_at": T(2021, 1, 2), "auth_success": True, "is_card_payment": 1,
+            "is_voided": 0}
+    row = tuple(vals.get(f.name, 100 if f.dataType.simpleString() == "bigint" else "x")
+                for f in schema.fields)
+    pay = spark.createDataFrame([row], schema)
+    pre = _df(spark, [(7, 1, 7, "HIGH", T(2021, 1, 2))],
+              "payment_token bigint, unit_token bigint, bill_token bigint, risk_level string, "
+              "created_at timestamp_ntz")
+    t = Tables(spark, {"risk_evaluation": pre, "payment": pay,
+                       "dim_user": _df(spark, [(1, 10, 1, 0, 0, 0, "a", "X")], USER_DDL),
+                       "enrolled_merchant": _df(spark, [(10, D(2020, 1, 1), None, "subscribed")],
+                                                "merchant_token bigint, onboard_date date, "
+                                                "offboard_date date, state string"),
+                       "chargeback": _df(spark, [], "payment_token bigint, type string, status string, "
+                                                    "chargeback_cents bigint, loss_cents bigint"),
+                       "risk_alert": _df(spark, [], "payment_token bigint"),
+                       "allowed_payment": _df(spark, [], "payment_token bigint")})
+    out = mart.payment_risk_mart(t, Params(mart_start=D(2020, 3, 31)))
+    flags = {"risk_level", "alerted", "chargeback", "fraud_chargeback", "allowed"}
+    assert len([c for c in out.columns if c not in flags]) == 32
+    [r] = out.collect()
+    assert (r.amount_base, r.tip_amount, r.tip_amount_base_unit) == (1.0, 1.0, 100)

@@ -93,7 +93,10 @@ class Params:
     # type of unit / merchant ids after extraction from balance tokens
     unit_key_type: str = "string"
 
-    # dormancy
+    # dormancy: profile columns of the user dimension carried through the
+    # gap history (C7) when the dimension has them
+    user_profile_columns: tuple[str, ...] = (
+        "user_created_at_date", "currently_frozen_at_date", "currently_deactivated_at_date")
     movement_cutoff: dt.date = D(2022, 9, 13)
     ledger_hour_shift: int = -5
     activity_gap_short: int = 90
@@ -164,6 +167,7 @@ class Params:
             fp_window_end=D(2000, 12, 31),
             precision_cutoff=D(2001, 7, 1),
             unit_key_type="bigint",
+            user_profile_columns=(),
             movement_cutoff=D(1999, 1, 1),
             reactivation_cohort_end=D(2001, 3, 1),
             suspect_comment_pattern="%#suspectlogin%",

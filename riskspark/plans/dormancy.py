@@ -59,14 +59,14 @@ def gap_history(t: Tables, p: Params) -> DataFrame:
     """
     gaps = payment_gaps(t, p)
     with_summary = gaps.join(_summary(t), gaps["unit_token"] == F.col("_s_user"), "left")
-    units = _units(t).select(*_USER_ATTRS)
+    units = _units(t).select(*_USER_ATTRS, *p.user_profile_columns)
     joined = units.join(with_summary, units["user_token"] == with_summary["unit_token"], "left")
     return joined.select(
         "first_card_payment_date", "unit_token", "payment_date", "card_payment_count",
         "previous_payment_date", "difference", "is_currently_frozen", "is_currently_deactivated",
         "latest_card_payment_date",
         minor_to_major("lifetime_gpv_cents").alias("lifetime_gpv"),
-        "merchant_token", "user_token", "is_deleted")
+        "merchant_token", "user_token", "is_deleted", *p.user_profile_columns)
 
 
 def payment_dormancy(t: Tables, p: Params) -> DataFrame:

@@ -38,7 +38,7 @@ def test_gap_history_keeps_units_without_positive_days(spark):
     fake = _df(spark, [(2,)], "unit_token bigint")
     t = Tables(spark, {"dim_user": users, "daily_payment": daily, "lifetime_payment": life,
                        "fake_unit": fake})
-    p = Params(as_of=D(2020, 2, 1))
+    p = Params(as_of=D(2020, 2, 1), user_profile_columns=())
     hist = {(r.user_token, r.payment_date): r for r in dormancy.gap_history(t, p).collect()}
     assert set(hist) == {(1, D(2020, 1, 1)), (1, D(2020, 1, 11)), (2, None)}
     assert hist[(1, D(2020, 1, 11))].difference == 10

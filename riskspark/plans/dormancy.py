@@ -8,7 +8,7 @@ back by reactivated units.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -334,27 +334,40 @@ def reactivation_value(t: Tables, p: Params) -> DataFrame:
     and chargebacks of their later payment days within 90 / 365 days and
     overall (each reactivation counts its own later days).
 
-    Reactivations are few compared with payment days, so the later days are
-    found with an inner join in which the reactivations can be the broadcast
-    side; the unit counts come from the reactivations alone, which is what
-    the source's outer join contributes for reactivations without later days.
+    The source joins every reactivation to every later payment day of its
+    unit.  Here each payment day of a reactivated unit carries forward range
+    sums over its own later days (window frames on the day number: days
+    +1..+90, +1..+365, +1..end), read off at the reactivation day: no pairs
+    are emitted, and only units that reactivated are sorted.
     """
-    r = reactivations(t, p).select(F.col("unit_token").alias("r_unit"),
-                                   F.col("payment_date").alias("r_date"))
-    month = trunc_date("month", "r_date").alias("payment_month")
-    units = r.groupBy(month).agg(F.count_distinct("r_unit").alias("units"))
-    days = t["daily_payment"].select(F.col("unit_token").alias("d_unit"),
-                                     F.col("payment_date").alias("d_date"), "gpv_cents")
-    later = r.join(days, (days["d_unit"] == r["r_unit"]) & (days["d_date"] > r["r_date"]))
-    cb = chargebacks_fx_daily(t, p)
-    later = later.join(cb, (cb["user_token"] == later["d_unit"]) & (cb["payment_dt"] == later["d_date"]),
-                       "left")
-    short = F.date_add("r_date", p.value_horizon_short)
-    long_ = F.date_add("r_date", p.value_horizon_long)
-    sums = (later.groupBy(month)
-            .agg((F.sum(F.when(F.col("d_date") < short, F.col("gpv_cents"))) / 100).alias("gpv_enabled_90"),
-                 (F.sum(F.when(F.col("d_date") < long_, F.col("gpv_cents"))) / 100).alias("gpv_enabled_365"),
-                 (F.sum("gpv_cents") / 100).alias("overall_gpv_enabled"),
-                 F.sum(F.when(F.col("payment_dt") < long_, F.col("chargebacks_usd"))).alias("cb_enabled_365"),
-                 F.sum("chargebacks_usd").alias("total_cb")))
+    r = reactivations(t, p).select("unit_token", "payment_date")
+    month = trunc_date("month", "payment_date").alias("payment_month")
+    units = r.groupBy(month).agg(F.count_distinct("unit_token").alias("units"))
+
+    cb = chargebacks_fx_daily(t, p).select(F.col("user_token").alias("_cb_user"),
+                                           F.col("payment_dt").alias("_cb_day"), "chargebacks_usd")
+    days = (t["daily_payment"].select("unit_token", "payment_date", "gpv_cents")
+            .join(r.select("unit_token").distinct(), "unit_token", "left_semi"))
+    days = days.join(cb, (F.col("_cb_user") == F.col("unit_token"))
+                     & (F.col("_cb_day") == F.col("payment_date")), "left")
+    w = Window.partitionBy("unit_token").orderBy(F.unix_date("payment_date"))
+    short = w.rangeBetween(1, p.value_horizon_short - 1)
+    long_ = w.rangeBetween(1, p.value_horizon_long - 1)
+    rest = w.rangeBetween(1, Window.unboundedFollowing)
+    ahead = (days.select(
+        "unit_token", "payment_date",
+        F.sum("gpv_cents").over(short).alias("_g_short"),
+        F.sum("gpv_cents").over(long_).alias("_g_long"),
+        F.sum("gpv_cents").over(rest).alias("_g_all"),
+        F.sum("chargebacks_usd").over(long_).alias("_cb_long"),
+        F.sum("chargebacks_usd").over(rest).alias("_cb_all"))
+        # a day listed twice carries the same frame values twice
+        .dropDuplicates(["unit_token", "payment_date"]))
+    per_r = r.join(ahead, ["unit_token", "payment_date"])
+    sums = (per_r.groupBy(month)
+            .agg((F.sum("_g_short") / 100).alias("gpv_enabled_90"),
+                 (F.sum("_g_long") / 100).alias("gpv_enabled_365"),
+                 (F.sum("_g_all") / 100).alias("overall_gpv_enabled"),
+                 F.sum("_cb_long").alias("cb_enabled_365"),
+                 F.sum("_cb_all").alias("total_cb")))
     return units.join(sums, "payment_month", "left")

@@ -8,11 +8,17 @@ operators answer the same question per calendar week without that join:
 1. ``coverage_runs``: per member key, merge the facts' visibility intervals
    into maximal runs of covered days (window functions over the member's
    facts, which are at day grain, so a key's rows are bounded by days).
-2. ``overlay_labels``: cut the runs by the validity intervals of a
+2. ``clip`` runs and label pieces to the report range, then
+   ``overlay_labels``: cut the runs by the validity intervals of a
    slowly-changing attribute (with the uncovered gaps labelled by a
-   default), an equi-join on the entity plus an overlap test.
-3. ``spread_over_weeks``: split each labelled interval into the calendar
-   weeks it meets, an equi-join on the week against the calendar's days.
+   default), an equi-join on the entity plus an overlap test.  Per entity
+   the candidate pairs are (runs in range) x (pieces in range): at most one
+   run per ``lookback`` days and one piece per day of the range, bounded by
+   the range, not by the data volume.  (Both sides can also be split by
+   week and joined on (entity, week); that bounds each key to one week but
+   multiplies rows, and measured slower.)
+3. ``spread_over_weeks``: ``split_by_week`` and ``on_calendar``, an
+   equi-join on the week against the (broadcast) calendar.
 
 A member counts for (week, label) exactly when some calendar day of that
 week lies in one of its runs while the label is valid, which is what the
@@ -94,19 +100,46 @@ def label_pieces(segments: DataFrame, entity: str, label: str, begin: str, end:
                     F.col("e").alias("piece_end")))
 
 
-def overlay_labels(runs: DataFrame, entity: str, pieces: DataFrame, label: str,
+def overlay_labels(runs: DataFrame, keys: str | Sequence[str], pieces: DataFrame, label: str,
                    default_label: str, start: str = "cover_start", end: str = "cover_end") -> DataFrame:
-    """Cut each run by the label pieces of its entity; entities without any
-    piece keep their whole run under ``default_label``."""
-    p = pieces.withColumnRenamed(entity, "_p_entity")
-    cond = ((F.col(entity) == F.col("_p_entity"))
-            & (F.col("piece_start") <= F.col(end)) & (F.col("piece_end") >= F.col(start)))
+    """Cut each run by the label pieces with the same ``keys`` (the entity,
+    and optionally a week both sides were split by); runs with no piece keep
+    their whole interval under ``default_label``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    p = pieces
+    for k in keys:
+        p = p.withColumnRenamed(k, f"_p_{k}")
+    cond = ((F.col("piece_start") <= F.col(end)) & (F.col("piece_end") >= F.col(start)))
+    for k in keys:
+        cond = (F.col(k) == F.col(f"_p_{k}")) & cond
     j = runs.join(p, cond, "left")
-    matched = F.col("_p_entity").isNotNull()
+    matched = F.col(f"_p_{keys[0]}").isNotNull()
     return (j.withColumn(label, F.when(matched, F.col(label)).otherwise(F.lit(default_label)))
             .withColumn(start, F.when(matched, F.greatest(start, "piece_start")).otherwise(F.col(start)))
             .withColumn(end, F.when(matched, F.least(end, "piece_end")).otherwise(F.col(end)))
-            .drop("_p_entity", "piece_start", "piece_end"))
+            .drop(*[f"_p_{k}" for k in keys], "piece_start", "piece_end"))
+
+
+def split_by_week(intervals: DataFrame, start: str = "cover_start",
+                  end: str = "cover_end") -> DataFrame:
+    """One row per (interval, Monday-based week it meets), cut to that week.
+    Bounded by the weeks an interval spans; clip first to bound that."""
+    weeks = F.explode(F.sequence(F.date_trunc("week", F.col(start)).cast("date"),
+                                 F.date_trunc("week", F.col(end)).cast("date"),
+                                 F.expr("INTERVAL 7 DAYS")))
+    out = intervals.withColumn("week", weeks)
+    return (out.withColumn(start, F.greatest(F.col(start), F.col("week")))
+            .withColumn(end, F.least(F.col(end), F.date_add("week", 6))))
+
+
+def on_calendar(weekly: DataFrame, cal_pieces: DataFrame, start: str = "cover_start",
+                end: str = "cover_end") -> DataFrame:
+    """Keep (interval, week) rows that meet a calendar day of their week.
+    The calendar side has at most one row per day of the parameter-fixed
+    report range, so it is broadcast."""
+    j = weekly.join(F.broadcast(cal_pieces), "week")
+    return (j.where(F.greatest(F.col(start), F.col("cal_start")) <= F.least(F.col(end), F.col("cal_end")))
+            .drop("cal_start", "cal_end"))
 
 
 def clip(intervals: DataFrame, lo: dt.date, hi: dt.date, start: str = "cover_start",
@@ -142,19 +175,8 @@ def calendar_week_pieces(calendar: DataFrame, day: str = "report_date",
 def spread_over_weeks(intervals: DataFrame, cal_pieces: DataFrame, lo: dt.date, hi: dt.date,
                       start: str = "cover_start", end: str = "cover_end") -> DataFrame:
     """Rows (interval, week) for every calendar week in which the interval
-    meets a calendar day.
-
-    Intervals are first clipped to ``[lo, hi]``, a superset of the calendar
-    selection, so the explode is bounded by the calendar span.  The calendar
-    side has at most one row per day of ``[lo, hi]``, a bound fixed by the
-    parameters, so it is broadcast.
-    """
-    clipped = clip(intervals, lo, hi, start, end)
-    weeks = clipped.withColumn("week", F.explode(F.sequence(
-        F.date_trunc("week", F.col(start)).cast("date"),
-        F.date_trunc("week", F.col(end)).cast("date"),
-        F.expr("INTERVAL 7 DAYS"))))
-    cal = F.broadcast(cal_pieces)
-    j = weeks.join(cal, "week")
-    return j.where(F.greatest(F.col(start), F.col("cal_start")) <= F.least(F.col(end), F.col("cal_end"))) \
-            .drop("cal_start", "cal_end")
+    meets a calendar day: clip to ``[lo, hi]`` (a superset of the calendar
+    selection, so the split is bounded by the calendar span), split by week,
+    keep the weeks that meet the calendar."""
+    return on_calendar(split_by_week(clip(intervals, lo, hi, start, end), start, end),
+                       cal_pieces, start, end)

@@ -6,8 +6,8 @@ import random
 import pytest
 
 from riskspark.operators.intervals import (calendar_week_pieces, clip, coverage_runs, covered_days,
-                                           label_pieces, overlay_labels, pieces_within,
-                                           spread_over_weeks)
+                                           label_pieces, on_calendar, overlay_labels, pieces_within,
+                                           split_by_week, spread_over_weeks)
 
 D0 = dt.date(2000, 1, 3)
 LOOKBACK = 20
@@ -26,8 +26,9 @@ def _brute(facts, segments, cal_days):
     return out
 
 
-@pytest.mark.parametrize("seed,clipped", [(1, False), (2, False), (3, False), (4, True), (5, True)])
-def test_weekly_membership_matches_per_day_join(spark, seed, clipped):
+@pytest.mark.parametrize("seed,mode", [(1, "plain"), (2, "plain"), (3, "clipped"), (4, "clipped"),
+                                       (5, "weekly"), (6, "weekly"), (7, "weekly")])
+def test_weekly_membership_matches_per_day_join(spark, seed, mode):
     rnd = random.Random(seed)
     facts = [(u, u % 3, rnd.choice("AB"), D0 + dt.timedelta(days=rnd.randrange(0, 200)))
              for u in range(1, 7) for _ in range(rnd.randrange(0, 6))]
@@ -45,10 +46,16 @@ def test_weekly_membership_matches_per_day_join(spark, seed, clipped):
 
     runs = coverage_runs(fdf, ["unit", "merchant", "cat"], "day", LOOKBACK).withColumnRenamed("unit", "user")
     pieces = label_pieces(sdf, "user", "seg", "b", "e", "Inactive")
-    if clipped:     # restricting both sides to the calendar range first is exact
-        runs, pieces = clip(runs, lo, hi), pieces_within(pieces, lo, hi)
-    labelled = overlay_labels(runs, "user", pieces, "seg", "Inactive")
-    weekly = spread_over_weeks(labelled, calendar_week_pieces(cdf, extra=()), lo, hi)
+    cal = calendar_week_pieces(cdf, extra=())
+    if mode == "weekly":    # both sides clipped and split by week, joined per (user, week)
+        runs = split_by_week(clip(runs, lo, hi))
+        pieces = split_by_week(clip(pieces, lo, hi, "piece_start", "piece_end"), "piece_start", "piece_end")
+        weekly = on_calendar(overlay_labels(runs, ["user", "week"], pieces, "seg", "Inactive"), cal)
+    else:
+        if mode == "clipped":   # restricting both sides to the calendar range first is exact
+            runs, pieces = clip(runs, lo, hi), pieces_within(pieces, lo, hi)
+        labelled = overlay_labels(runs, "user", pieces, "seg", "Inactive")
+        weekly = spread_over_weeks(labelled, cal, lo, hi)
     got = {(r.week, r.cat, r.seg, r.merchant)
            for r in weekly.select("week", "cat", "seg", "merchant").distinct().collect()}
     want = {(w, c, s if s is not None else "Inactive", m) for (w, c, s, m) in _brute(facts, segments, cal_days)}

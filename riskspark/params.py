@@ -107,11 +107,13 @@ class Params:
     value_horizon_long: int = 366
     fx_counter_currency: str = "USD"
 
-    # tagged audit-log entries
+    # tagged audit-log entries (fixed values of the source: its comment tag
+    # and watch-list action)
     suspect_comment_pattern: str = "%#sketchylogin%"
     suspect_action: str = "Ato::Watchlist"
 
-    # dispute key results and their allow-lists (fixed values of the source)
+    # dispute key results; the allow-lists and resolution names below are
+    # fixed values of the source, stated as it writes them
     kpi_year: int = 2021
     fraud_reason: str = "FRAUD_OR_UNAUTHORIZED"
     valid_final_resolutions: tuple[str, ...] = (

@@ -88,7 +88,7 @@ def _weekly_members(api: DataFrame, t: Tables, p: Params, cal: DataFrame,
 
 def _with_online(df: DataFrame, t: Tables, p: Params) -> DataFrame:
     j = df.join(_online_flags(t, p), df["merchant_token"] == F.col("_som_merchant"), "left")
-    return j.withColumn("is_square_online", flag(F.col("_online") == F.lit(True))) \
+    return j.withColumn("is_online_store", flag(F.col("_online") == F.lit(True))) \
             .drop("_som_merchant", "_online")
 
 
@@ -114,7 +114,7 @@ def paid_adoption_week(t: Tables, p: Params) -> DataFrame:
                       & F.col("offboard_date").between(
                           F.date_sub("week_begin", p.churn_lookback_days), F.col("week_end")))))
     rows = j.select(F.col("week").alias("week_start_date"),
-                    F.col("business_category").alias("mcc"), "is_square_online",
+                    F.col("business_category").alias("mcc"), "is_online_store",
                     F.col("segment").alias("gpv_segment"), "merchant_token",
                     enrolled.alias("_enrolled"))
 
@@ -125,18 +125,18 @@ def paid_adoption_week(t: Tables, p: Params) -> DataFrame:
                  .select(F.date_trunc("week", "report_date").cast("date").alias("week_start_date"))
                  .distinct()
                  .select("week_start_date", F.lit(None).cast("string").alias("mcc"),
-                         F.lit(0).alias("is_square_online"),
+                         F.lit(0).alias("is_online_store"),
                          F.lit(P.INACTIVE_SEGMENT).alias("gpv_segment"),
                          F.lit(None).cast(api.schema["merchant_token"].dataType).alias("merchant_token"),
                          F.lit(False).alias("_enrolled")))
     counts = conditional_distinct_counts(
-        rows.unionByName(uncovered), ["week_start_date", "mcc", "is_square_online", "gpv_segment"],
-        "merchant_token", "total_merchants", {"rm_enrolled": F.col("_enrolled")})
+        rows.unionByName(uncovered), ["week_start_date", "mcc", "is_online_store", "gpv_segment"],
+        "merchant_token", "total_merchants", {"enrolled_merchants": F.col("_enrolled")})
     return counts.select(
-        "week_start_date", "mcc", "is_square_online", "gpv_segment", "rm_enrolled",
+        "week_start_date", "mcc", "is_online_store", "gpv_segment", "enrolled_merchants",
         "total_merchants",
-        safe_ratio("rm_enrolled", "total_merchants").alias("paid_product_adoption_rate"),
-        bps("rm_enrolled", "total_merchants").alias("paid_product_adoption_rate_in_bps"))
+        safe_ratio("enrolled_merchants", "total_merchants").alias("paid_product_adoption_rate"),
+        bps("enrolled_merchants", "total_merchants").alias("paid_product_adoption_rate_in_bps"))
 
 
 def risky_payments(t: Tables, p: Params) -> DataFrame:
@@ -199,7 +199,7 @@ def risk_eval_attach_week(t: Tables, p: Params) -> DataFrame:
                       F.col("business_category").alias("mcc"), "merchant_token", "_kind")
               .distinct())
     m = _with_online(weekly, t, p)
-    keys = ["week_start_date", "gpv_segment", "is_square_online", "mcc"]
+    keys = ["week_start_date", "gpv_segment", "is_online_store", "mcc"]
     # rows are distinct per (keys, merchant, kind), so counts are distinct counts
     out = (m.groupBy(*keys)
            .agg(F.count(F.when(F.col("_kind") == 0, F.col("merchant_token"))).alias("total"),

@@ -36,12 +36,12 @@ def _build_tagged_events(t: Tables, p: Params) -> DataFrame:
         (F.col("comment").ilike(p.suspect_comment_pattern) | (F.col("action_name") == p.suspect_action))
         & (F.col("created_at") < ts_lit(p.log_cutoff + dt.timedelta(days=1))))
     fp = t["fp_login_list"].select(F.col("unit_token").alias("fp_unit_token"),
-                                   F.col("ip").alias("rm_ip"))
+                                   F.col("ip").alias("fp_ip"))
     in_window = F.to_date("created_at").between(F.lit(p.fp_window_start), F.lit(p.fp_window_end))
     j = log.join(fp, (F.col("target_token") == F.col("fp_unit_token")) & in_window, "left")
     ip = after_marker("comment")
     return j.select("target_token", "created_at", "comment", "fp_unit_token",
-                    ip.alias("ip"), token_before(ip).alias("ip_cleaned"), "rm_ip")
+                    ip.alias("ip"), token_before(ip).alias("ip_cleaned"), "fp_ip")
 
 
 def confirmed_takeovers(t: Tables, p: Params) -> DataFrame:
@@ -59,7 +59,7 @@ def _recall(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
     j = ato.join(sk, cond, "left")
     return (j.groupBy(trunc_date(unit, "earliest_confirmed_at").alias(name))
             .agg(F.count_distinct("user_token").alias("confirmed_ato"),
-                 F.count_distinct("target_token").alias("sketchylogin_sellers"))
+                 F.count_distinct("target_token").alias("tagged_sellers"))
             .orderBy(F.col(name).desc()))
 
 
@@ -82,18 +82,18 @@ def _precision(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
             & within_days(sk["created_at"], ato["earliest_confirmed_at"], p.match_days))
     j = sk.join(ato, cond, "left")
     return (j.groupBy(trunc_date(unit, "created_at").alias(name))
-            .agg(F.count_distinct("target_token").alias("sketchylogin_ato"),
+            .agg(F.count_distinct("target_token").alias("tagged_users"),
                  F.count_distinct("user_token").alias("confirmed_ato")))
 
 
 def detector_precision_month(t: Tables, p: Params) -> DataFrame:
     """Tagged users per month and how many of them were confirmed
     takeovers within ``match_days`` of the tag."""
-    return _precision(t, p, "month", "sketchylogin_month")
+    return _precision(t, p, "month", "tagged_month")
 
 
 def detector_precision_year(t: Tables, p: Params) -> DataFrame:
-    return _precision(t, p, "year", "sketchylogin_year")
+    return _precision(t, p, "year", "tagged_year")
 
 
 def _person_flags(t: Tables) -> DataFrame:

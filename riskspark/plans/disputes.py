@@ -74,7 +74,7 @@ def loss_bps_month(t: Tables, p: Params) -> DataFrame:
     amount = F.col("loss_cents") / 100
     spend_amt = F.col("spend_cents") / 100
     return (j.select("transaction_month", amount.alias("dispute_amount"), spend_amt.alias("spend"),
-                     bps(amount, spend_amt).alias("sq_loss_bps"))
+                     bps(amount, spend_amt).alias("loss_bps"))
             .orderBy("transaction_month"))
 
 
@@ -87,16 +87,16 @@ def dispute_rate_count(t: Tables, p: Params) -> DataFrame:
     transaction, by month, in basis points (full outer join on token)."""
     vd = _valid_disputes(t, p).select(F.col("transaction_token").alias("vd_token"),
                                      "transaction_date").distinct()
-    sqt = transaction_rollup(t, p).select(F.col("transaction_token").alias("sq_token"),
+    sqt = transaction_rollup(t, p).select(F.col("transaction_token").alias("card_token"),
                                           F.col("created_at").alias("ua_time")).distinct()
-    j = vd.join(sqt, vd["vd_token"] == sqt["sq_token"], "full")
+    j = vd.join(sqt, vd["vd_token"] == sqt["card_token"], "full")
     month = trunc_date("month", F.coalesce(F.col("ua_time"), F.col("transaction_date")))
     g = (j.groupBy(month.alias("transaction_month"))
-         .agg(F.count_distinct("sq_token").alias("count_sq_card_transactions"),
-              F.count_distinct("vd_token").alias("count_sq_card_disputes")))
+         .agg(F.count_distinct("card_token").alias("count_card_transactions"),
+              F.count_distinct("vd_token").alias("count_card_disputes")))
     return (g.where(F.year("transaction_month") == p.kpi_year)
             .withColumn("bps_dispute_count",
-                        bps("count_sq_card_disputes", "count_sq_card_transactions"))
+                        bps("count_card_disputes", "count_card_transactions"))
             .orderBy("transaction_month"))
 
 

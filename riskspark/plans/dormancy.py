@@ -198,7 +198,7 @@ def _build_risk_segmentation(t: Tables, p: Params) -> DataFrame:
     sk = (detection.tagged_events(t, p).where(F.col("fp_unit_token").isNull())
           .groupBy("target_token").agg(F.max("created_at").alias("created_at")))
     sk = sk.join(users, sk["target_token"] == users["_du_user"], "left")
-    sk = _merchant_max(sk, "_du_merchant", "created_at", "sketchylogin_at")
+    sk = _merchant_max(sk, "_du_merchant", "created_at", "tagged_at")
     ato = detection.confirmed_takeovers(t, p)
     ato = ato.join(users, ato["user_token"] == users["_du_user"], "left")
     ato = _merchant_max(ato, "_du_merchant", "earliest_confirmed_at", "ato_at")
@@ -207,7 +207,7 @@ def _build_risk_segmentation(t: Tables, p: Params) -> DataFrame:
     j = (df.where(active_unit())
          .join(me, me["subject_merchant_token"] == m, "left")
          .join(ml, ml["merchant_id"] == m, "left")
-         .join(sk, sk["sketchylogin_at_merchant"] == m, "left")
+         .join(sk, sk["tagged_at_merchant"] == m, "left")
          .join(ato, ato["ato_at_merchant"] == m, "left"))
 
     lmm = F.col("last_money_movement_date")
@@ -221,8 +221,8 @@ def _build_risk_segmentation(t: Tables, p: Params) -> DataFrame:
                      dormancy_bucket("last_money_movement_dormancy")))
     return j.select(
         *[c for c in j.columns if not c.endswith("_merchant") or c == "subject_merchant_token"],
-        flag(F.col("sketchylogin_at") > lmm).alias("sketchylogin_post_latest_money_movement"),
-        flag(F.col("sketchylogin_at").isNotNull()).alias("sketchylogin"),
+        flag(F.col("tagged_at") > lmm).alias("tagged_post_latest_money_movement"),
+        flag(F.col("tagged_at").isNotNull()).alias("tagged_login"),
         flag(F.col("ato_at") > lmm).alias("ato_post_latest_money_movement"),
         flag(F.col("ato_at").isNotNull()).alias("ato"),
         flag(act.isNotNull()).alias("activity"),
@@ -236,7 +236,7 @@ _MOVED_REPORT = {
     "locked_users": "is_locked",
     "activity_post_90_day_from_money_movement_users": "activity_post_90_day_from_money_movement",
     "activity_post_money_movement_users": "activity_post_payment",
-    "sketchy_post_money_movement_users": "sketchylogin_post_latest_money_movement",
+    "tagged_post_money_movement_users": "tagged_post_latest_money_movement",
     "no_activity_post_money_movement_users": "no_activity",
     "activity_post_540_day_from_money_movement_users": "activity_post_540_day_from_money_movement",
     "ato_post_money_movement_users": "ato_post_latest_money_movement",
@@ -246,7 +246,7 @@ _MOVED_REPORT = {
 _NEVER_MOVED_REPORT = {
     "locked_users": "is_locked",
     "activity_users": "activity",
-    "sketchy_login_users": "sketchylogin",
+    "tagged_login_users": "tagged_login",
     "no_activity_post_money_movement_users": "no_activity",
     "ato_users": "ato",
 }

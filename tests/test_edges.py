@@ -77,17 +77,17 @@ def test_recall_day_window_depends_on_time_of_day(spark):
     p = Params(fp_window_start=D(2000, 1, 1), fp_window_end=D(2000, 12, 31), log_cutoff=D(2001, 1, 1))
     # tagged on 2000-03-01; confirmed 30 days later at midnight -> matched
     rec = detection.detector_recall_year(_detection_tables(spark, T(2000, 3, 31)), p).collect()
-    assert rec[0].sketchylogin_sellers == 1 and rec[0].confirmed_ato == 2
+    assert rec[0].tagged_sellers == 1 and rec[0].confirmed_ato == 2
     # confirmed at noon: the lower bound is 2000-03-01 12:00, the tag day misses
     rec = detection.detector_recall_year(_detection_tables(spark, T(2000, 3, 31, 12)), p).collect()
-    assert rec[0].sketchylogin_sellers == 0
+    assert rec[0].tagged_sellers == 0
 
 
 def test_precision_drops_false_positive_rows(spark):
     p = Params(fp_window_start=D(2000, 1, 1), fp_window_end=D(2000, 12, 31), log_cutoff=D(2001, 1, 1),
                precision_cutoff=D(2001, 1, 1))
     rows = detection.detector_precision_year(_detection_tables(spark, T(2000, 3, 31)), p).collect()
-    got = {r.sketchylogin_year.year: (r.sketchylogin_ato, r.confirmed_ato) for r in rows}
+    got = {r.tagged_year.year: (r.tagged_users, r.confirmed_ato) for r in rows}
     # user 2's 2000 entry is a known false positive and is removed (WHERE);
     # its 1999 entry stays but has no confirmation within 30 days
     assert got == {2000: (1, 1), 1999: (1, 0)}
@@ -184,7 +184,7 @@ def test_adoption_uncovered_week_has_null_rate(spark):
     rows = attach.paid_adoption_week(t, p).collect()
     by = {(r.week_start_date, r.gpv_segment, r.mcc): r for r in rows}
     large = by[(D(2000, 1, 3), "Large", "X")]
-    assert (large.rm_enrolled, large.total_merchants, large.paid_product_adoption_rate) == (1, 1, 1.0)
+    assert (large.enrolled_merchants, large.total_merchants, large.paid_product_adoption_rate) == (1, 1, 1.0)
     # after 2000-01-31 the segment ends: the unit is 'Inactive' until its
     # payment leaves the window (92 days after 2000-01-03 is 2000-04-04)
     assert by[(D(2000, 4, 3), "Inactive", "X")].total_merchants == 1

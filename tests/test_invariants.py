@@ -31,9 +31,9 @@ def test_segmentation_partitions_units(q, spark):
 
 def test_detection_matched_at_most_total(q):
     for name in ("detector_recall_month", "detector_recall_year"):
-        assert q(name).where("sketchylogin_sellers > confirmed_ato").count() == 0
+        assert q(name).where("tagged_sellers > confirmed_ato").count() == 0
     for name in ("detector_precision_month", "detector_precision_year"):
-        assert q(name).where("confirmed_ato > sketchylogin_ato").count() == 0
+        assert q(name).where("confirmed_ato > tagged_users").count() == 0
     assert _sum(q("detector_recall_month"), "confirmed_ato") == _sum(q("detector_recall_year"), "confirmed_ato")
 
 
@@ -44,7 +44,7 @@ def test_headcount_buckets_cover_merchants(q):
 
 
 def test_attach_rates_bounded(q):
-    assert q("paid_adoption_week").where("rm_enrolled > total_merchants").count() == 0
+    assert q("paid_adoption_week").where("enrolled_merchants > total_merchants").count() == 0
     assert q("risk_eval_attach_week").where("active > total or total = 0").count() == 0
 
 

@@ -20,8 +20,8 @@ from ..operators.aggs import conditional_distinct_counts
 from ..operators.temporal import with_previous
 from ..params import Params
 from ..sources.catalog import Tables
-from ..streaming.activity import activity_events, latest_activity
 from . import detection
+from .activity import activity_events, latest_activity
 
 _USER_ATTRS = ("is_currently_frozen", "is_currently_deactivated", "merchant_token", "user_token",
                "is_deleted")

@@ -34,7 +34,7 @@ def dormancy_book(t: Tables, p: Params) -> dict[str, DataFrame]:
 
 
 def dispute_book(t: Tables, p: Params) -> dict[str, DataFrame]:
-    t.materialize("card_rollup", p, lambda: disputes._build_rollup(t, p))
+    t.materialize("card_ledger", None, lambda: disputes._build_card_ledger(t))
     names = ["transaction_rollup", "loss_bps_month", "dispute_rate_count", "dispute_rate_amount",
              "dispute_sellers", "high_dispute_share", "dispute_loss_split"]
     return {n: getattr(disputes, n)(t, p) for n in names}

@@ -1,10 +1,12 @@
 """Card-dispute key results.
 
-Two inputs: the card activity ledger and the dispute table.  The ledger is
-reduced once per transaction token before any join, so every dispute join is
-one-to-one on the token; where the source joins a (token, currency) rollup
-and therefore counts a dispute once per currency of its transaction, the
-reduction carries that multiplicity explicitly and the sums stay exact.
+Two inputs: the card activity ledger and the dispute table.  The settled
+ledger is reduced once per (transaction, unit, currency) for spend; for the
+amount lookup, only the disputed transactions' ledger rows are reduced per
+token, so every dispute join is one-to-one on the token.  Where the source
+joins a (token, currency) rollup and therefore counts a dispute once per
+currency of its transaction, the reduction carries that multiplicity
+explicitly and the sums stay exact.
 Money is summed in integer cents and divided by 100 once.
 """
 
@@ -22,8 +24,22 @@ from ..params import Params
 from ..sources.catalog import Tables
 
 
-def _card_payments(t: Tables) -> DataFrame:
-    return t["card_activity"].where(F.col("activity_type").ilike(P.CARD_PAYMENT_PATTERN))
+def card_ledger(t: Tables, p: Params) -> DataFrame:
+    """Settled card payments per (transaction, unit, currency): largest
+    absolute amount and first time, before the key-result year filter.
+    Partially aggregated before its shuffle; the book materialises it once
+    for all the key results that read the rollup."""
+    return t.derived("card_ledger", None, lambda: _build_card_ledger(t))
+
+
+def _build_card_ledger(t: Tables) -> DataFrame:
+    ua = t["card_activity"].where(F.col("activity_type").ilike(P.CARD_PAYMENT_PATTERN)
+                                  & (F.col("activity_state") == P.SETTLED_STATE))
+    return (ua.groupBy("transaction_token",
+                       unit_from_balance_split("balance_token").alias("unit_token"),
+                       "currency_code")
+            .agg(F.max(F.abs("amount_cents")).alias("settled_cents"),
+                 F.min("created_at").alias("settled_first_at")))
 
 
 def _rollup(t: Tables, p: Params) -> DataFrame:
@@ -34,27 +50,31 @@ def _rollup(t: Tables, p: Params) -> DataFrame:
 
 
 def _build_rollup(t: Tables, p: Params) -> DataFrame:
-    ua = _card_payments(t).where(F.col("activity_state") == P.SETTLED_STATE)
-    g = (ua.groupBy("transaction_token",
-                    unit_from_balance_split("balance_token").alias("unit_token"),
-                    "currency_code")
-         .agg(F.max(F.abs("amount_cents")).alias("amount_cents"),
-              F.min("created_at").alias("created_at")))
-    return (g.where(year_range("created_at", p.kpi_year))
+    g = card_ledger(t, p)
+    return (g.where(year_range("settled_first_at", p.kpi_year))
             .select("transaction_token", "unit_token", "currency_code",
-                    (F.col("amount_cents") / 100).alias("amount"), "created_at",
-                    "amount_cents"))
+                    (F.col("settled_cents") / 100).alias("amount"),
+                    F.col("settled_first_at").alias("created_at"),
+                    F.col("settled_cents").alias("amount_cents")))
 
 
 def transaction_rollup(t: Tables, p: Params) -> DataFrame:
+    """Settled card payments per (transaction, unit, currency), first
+    seen in the KPI year, with the largest absolute amount and first time."""
     return _rollup(t, p).drop("amount_cents")
 
 
-def _token_amounts(t: Tables) -> DataFrame:
-    """Card payments (any state) per token: number of currencies and the sum
-    over currencies of the largest absolute amount.  Equivalent, for sums,
-    to joining the (token, currency) rollup row by row."""
-    per_cur = (_card_payments(t).groupBy("transaction_token", "currency_code")
+def _token_amounts(t: Tables, disputes: DataFrame) -> DataFrame:
+    """Card payments (any state) of the disputed tokens: number of currencies
+    and the sum over currencies of the largest absolute amount per token.
+    Equivalent, for sums, to the source's row-by-row join of a (token,
+    currency) rollup.  The ledger is first semi-joined to the disputed
+    tokens (a small set: AQE broadcasts it or Spark bloom-filters the scan),
+    so only their rows are aggregated, never the whole ledger."""
+    tokens = disputes.select("transaction_token").distinct()
+    ua = (t["card_activity"].where(F.col("activity_type").ilike(P.CARD_PAYMENT_PATTERN))
+          .join(tokens, "transaction_token", "left_semi"))
+    per_cur = (ua.groupBy("transaction_token", "currency_code")
                .agg(F.max(F.abs("amount_cents")).alias("cents")))
     return (per_cur.groupBy("transaction_token")
             .agg(F.count(F.lit(1)).alias("n_currencies"), F.sum("cents").alias("ua_cents")))
@@ -64,7 +84,7 @@ def loss_bps_month(t: Tables, p: Params) -> DataFrame:
     """C17: platform-borne fraud dispute amount over settled card spend,
     per month, in basis points.  Months missing on either side drop out."""
     d = t["dispute"].where(valid_dispute(p))
-    d = d.join(_token_amounts(t), "transaction_token", "left")
+    d = d.join(_token_amounts(t, d), "transaction_token", "left")
     losses = (d.groupBy(trunc_date("month", "transaction_date").alias("transaction_month"))
               .agg(F.sum(F.when(platform_borne(p), F.col("ua_cents"))).alias("loss_cents")))
     spend = (_rollup(t, p)
@@ -182,7 +202,7 @@ def dispute_loss_split(t: Tables, p: Params) -> DataFrame:
     source's (unused) ledger join does to the sums.
     """
     d = t["dispute"].where(fraud_in_year(p))
-    mult = (_token_amounts(t).select("transaction_token", "n_currencies"))
+    mult = _token_amounts(t, d).select("transaction_token", "n_currencies")
     d = d.join(mult, "transaction_token", "left")
     w = F.col("dispute_cents") * F.coalesce(F.col("n_currencies"), F.lit(1))
     valid = resolution_counts(p)

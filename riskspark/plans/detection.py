@@ -51,8 +51,10 @@ def confirmed_takeovers(t: Tables, p: Params) -> DataFrame:
 
 def _recall(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
     ato = confirmed_takeovers(t, p).select("user_token", "earliest_confirmed_at")
-    # only the tagged day matters for the match, so one row per (user, day)
+    # Only tags of confirmed users can match (semi-join to that small set
+    # first), and only the tagged day matters, so one row per (user, day).
     sk = (tagged_events(t, p).where(F.col("fp_unit_token").isNull())
+          .join(ato.select(F.col("user_token").alias("target_token")), "target_token", "left_semi")
           .select("target_token", F.to_date("created_at").alias("created_day")).distinct())
     cond = ((sk["target_token"] == ato["user_token"])
             & within_days(ato["earliest_confirmed_at"], sk["created_day"], p.match_days))

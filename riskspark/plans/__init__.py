@@ -17,7 +17,7 @@ from . import attach, detection, disputes, dormancy, mart
 Plan = Callable[[Tables, Params], DataFrame]
 
 QUERIES: dict[str, Plan] = {
-    "tagged_events": detection.tagged_events,
+    "tagged_event_extract": detection.tagged_events,
     "detector_recall_month": detection.detector_recall_month,
     "detector_recall_year": detection.detector_recall_year,
     "detector_precision_month": detection.detector_precision_month,

@@ -17,10 +17,11 @@ from . import attach, detection, disputes, dormancy, mart
 
 def detection_book(t: Tables, p: Params) -> dict[str, DataFrame]:
     t.materialize("tagged_events", p, lambda: detection._build_tagged_events(t, p))
-    names = ["tagged_events", "detector_recall_month", "detector_recall_year",
+    names = ["tagged_event_extract", "detector_recall_month", "detector_recall_year",
              "detector_precision_month", "detector_precision_year", "group_fully_locked",
              "headcount_profile", "headcount_buckets"]
-    return {n: getattr(detection, n)(t, p) for n in names}
+    fns = {"tagged_event_extract": detection.tagged_events}
+    return {n: fns.get(n, getattr(detection, n, None))(t, p) for n in names}
 
 
 def dormancy_book(t: Tables, p: Params) -> dict[str, DataFrame]:

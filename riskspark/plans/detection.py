@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import after_marker, flag, headcount_bucket, token_before
+from ..operators.aggs import conditional_distinct_counts
 from ..functions.timefns import trunc_date, ts_lit
 from ..operators.temporal import within_days
 from ..params import Params
@@ -58,10 +59,11 @@ def _recall(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
           .select("target_token", F.to_date("created_at").alias("created_day")).distinct())
     cond = ((sk["target_token"] == ato["user_token"])
             & within_days(ato["earliest_confirmed_at"], sk["created_day"], p.match_days))
-    j = ato.join(sk, cond, "left")
-    return (j.groupBy(trunc_date(unit, "earliest_confirmed_at").alias(name))
-            .agg(F.count_distinct("user_token").alias("confirmed_ato"),
-                 F.count_distinct("target_token").alias("tagged_sellers"))
+    j = ato.join(sk, cond, "left").withColumn(name, trunc_date(unit, "earliest_confirmed_at"))
+    # a matched tag has target_token == user_token, so both distinct counts
+    # are counts of users: one key, one flag, no Expand
+    return (conditional_distinct_counts(j, [name], "user_token", "confirmed_ato",
+                                        {"tagged_sellers": F.col("target_token").isNotNull()})
             .orderBy(F.col(name).desc()))
 
 
@@ -82,10 +84,10 @@ def _precision(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
     ato = confirmed_takeovers(t, p).select("user_token", "earliest_confirmed_at")
     cond = ((sk["target_token"] == ato["user_token"])
             & within_days(sk["created_at"], ato["earliest_confirmed_at"], p.match_days))
-    j = sk.join(ato, cond, "left")
-    return (j.groupBy(trunc_date(unit, "created_at").alias(name))
-            .agg(F.count_distinct("target_token").alias("tagged_users"),
-                 F.count_distinct("user_token").alias("confirmed_ato")))
+    j = sk.join(ato, cond, "left").withColumn(name, trunc_date(unit, "created_at"))
+    # a matched confirmation has user_token == target_token (see recall)
+    return conditional_distinct_counts(j, [name], "target_token", "tagged_users",
+                                       {"confirmed_ato": F.col("user_token").isNotNull()})
 
 
 def detector_precision_month(t: Tables, p: Params) -> DataFrame:

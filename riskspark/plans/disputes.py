@@ -20,6 +20,7 @@ from ..functions.predicates import (fraud_in_year, platform_borne, resolution_co
                                    valid_dispute)
 from ..functions.scalar import bps, safe_ratio, unit_from_balance_split
 from ..functions.timefns import trunc_date, year_range
+from ..operators.aggs import conditional_distinct_counts
 from ..params import Params
 from ..sources.catalog import Tables
 
@@ -111,9 +112,13 @@ def dispute_rate_count(t: Tables, p: Params) -> DataFrame:
                                           F.col("created_at").alias("ua_time")).distinct()
     j = vd.join(sqt, vd["vd_token"] == sqt["card_token"], "full")
     month = trunc_date("month", F.coalesce(F.col("ua_time"), F.col("transaction_date")))
-    g = (j.groupBy(month.alias("transaction_month"))
-         .agg(F.count_distinct("card_token").alias("count_card_transactions"),
-              F.count_distinct("vd_token").alias("count_card_disputes")))
+    # both sides of a matched row carry the same token: count one key with
+    # a flag per side instead of two distinct aggregates (no Expand)
+    j = j.select(month.alias("transaction_month"),
+                 F.coalesce("card_token", "vd_token").alias("_token"), "card_token", "vd_token")
+    g = conditional_distinct_counts(j, ["transaction_month"], "_token", None,
+                                    {"count_card_transactions": F.col("card_token").isNotNull(),
+                                     "count_card_disputes": F.col("vd_token").isNotNull()})
     return (g.where(F.year("transaction_month") == p.kpi_year)
             .withColumn("bps_dispute_count",
                         bps("count_card_disputes", "count_card_transactions"))

@@ -17,7 +17,9 @@ def with_previous(df: DataFrame, key: str, order: str, prev_name: str,
     The input should be at (key, day) grain, which bounds a key's rows by
     the number of days it spans rather than by data volume.
     """
-    w = Window.partitionBy(key).orderBy(order)
+    # NULL days sort last, as in the source's warehouse (Spark's default
+    # would put them first and change the lag of the rows around them)
+    w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
     out = df.withColumn(prev_name, F.lag(order, 1).over(w))
     if gap_name:
         out = out.withColumn(gap_name, day_diff(prev_name, order))

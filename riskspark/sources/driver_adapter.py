@@ -47,8 +47,13 @@ def _div3(x) -> F.Column:
     return F.floor(x / 3).cast("bigint")
 
 
+def _text(*parts) -> F.Column:
+    """String concatenation that skips NULL parts (the recipes' ``concat``)."""
+    return F.concat_ws("", *parts)
+
+
 def _pad_token(x) -> F.Column:
-    return F.lpad(x.cast("string"), TOKEN_WIDTH, "0")
+    return F.lpad(_text(x.cast("string")), TOKEN_WIDTH, "0")
 
 
 def _shifted_events(t: Tables) -> DataFrame:
@@ -77,8 +82,8 @@ def _dim_user(t):
 
 def _audit_log(t):
     e = t["_evt"].where(_c("event_type").isin("error", "view"))
-    note = F.concat(F.lit("note IP 10.0."), _c("user_id").cast("string"), F.lit("."),
-                    (_c("event_id") % 250).cast("string"), F.lit(" #SuspectLogin x"))
+    note = _text(F.lit("note IP 10.0."), _c("user_id").cast("string"), F.lit("."),
+                 (_c("event_id") % 250).cast("string"), F.lit(" #SuspectLogin x"))
     return e.select(
         _c("user_id").alias("target_token"),
         _c("rec").alias("created_at"),
@@ -91,7 +96,7 @@ def _audit_log(t):
 def _fp_login_list(t):
     return (t["events"].where(_c("user_id") % 10 == 3)
             .select(_c("user_id").alias("unit_token"),
-                    F.concat(F.lit("10.0."), _c("user_id").cast("string"), F.lit(".0")).alias("ip"))
+                    _text(F.lit("10.0."), _c("user_id").cast("string"), F.lit(".0")).alias("ip"))
             .distinct())
 
 
@@ -150,7 +155,7 @@ def _card_activity(t):
     lo = t["_line_orders"]
     return lo.select(
         (_c("l_orderkey") * 2 + _c("l_linenumber") % 2).alias("transaction_token"),
-        F.concat(F.lit(BALANCE_PREFIX), _pad_token(_c("o_custkey"))).alias("balance_token"),
+        _text(F.lit(BALANCE_PREFIX), _pad_token(_c("o_custkey"))).alias("balance_token"),
         F.when(_c("l_suppkey") % 5 == 0, "CAD").otherwise("USD").alias("currency_code"),
         (-_cents(_c("l_extendedprice"))).alias("amount_cents"),
         F.when(_c("l_linenumber") % 7 == 4, "ATM_CHARGEBACK")
@@ -310,7 +315,7 @@ def _dim_date(t):
 
 
 def _user_segment(t):
-    w = Window.partitionBy("unit_token").orderBy("payment_date")
+    w = Window.partitionBy("unit_token").orderBy(F.col("payment_date").asc_nulls_last())
     s = t["daily_payment"].select(
         _c("unit_token").alias("user_token"),
         F.when(_c("gpv_cents") > LARGE_SEGMENT_CENTS, "Large").otherwise("Small").alias("segment"),
@@ -327,7 +332,7 @@ def _page_view(t):
     eid = _c("event_id")
     return e.select(
         F.when(eid % 40 == 0, "/home")
-        .otherwise(F.concat(F.lit("/dashboard/sales/transactions/"), eid.cast("string")))
+        .otherwise(_text(F.lit("/dashboard/sales/transactions/"), eid.cast("string")))
         .alias("webpage_path"),
         _div3(_c("user_id")).alias("merchant_token"),
         F.when(eid % 5 == 0, "pos").otherwise("dashboard").alias("app_name"),

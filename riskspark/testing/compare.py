@@ -15,9 +15,9 @@ from ..sources.driver_adapter import DRIVER_TABLES
 EXTRA_DRIVER_TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def duck_connection(sf_dir: str, tables=None) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in DRIVER_TABLES + EXTRA_DRIVER_TABLES:
+    for name in tables or (DRIVER_TABLES + EXTRA_DRIVER_TABLES):
         con.execute(f"create view {name} as select * from read_parquet('{sf_dir}/{name}.parquet')")
     return con
 

@@ -84,7 +84,10 @@ def _build_payment_dormancy(t: Tables, p: Params) -> DataFrame:
                 .agg(F.max("difference").alias("maximum_dormancy_in_between")))
     per_unit = per_unit.join(_summary(t), per_unit["unit_token"] == F.col("_s_user"), "left")
     fake = t["fake_unit"].select(F.col("unit_token").alias("fa_user")).distinct()
-    units = _units(t).select(*_USER_ATTRS)
+    # the source groups by the unit's attributes, so identical duplicate
+    # dimension rows count once; deduplicating within the user partitioning
+    # costs no extra shuffle before the join on the user
+    units = _units(t).select(*_USER_ATTRS).repartition("user_token").dropDuplicates()
     df = (units.join(per_unit, units["user_token"] == per_unit["unit_token"], "left")
           .join(fake, F.col("user_token") == F.col("fa_user"), "left"))
     today = day_diff("latest_card_payment_date", F.lit(p.as_of))
@@ -303,9 +306,11 @@ def reactivations(t: Tables, p: Params) -> DataFrame:
         (F.col("payment_date") <= F.lit(p.reactivation_cohort_end))
         & (F.col("difference") > p.reactivation_gap)
         & F.col("previous_payment_date").isNotNull())
+    # an inner join, not a semi-join: like the source's gap history, a unit
+    # listed twice in the user dimension has its reactivations twice
     units = _units(t).select(F.col("user_token").alias("unit_token"))
-    return g.join(units, "unit_token", "left_semi").select("unit_token", "payment_date",
-                                                           "previous_payment_date")
+    return g.join(units, "unit_token").select("unit_token", "payment_date",
+                                              "previous_payment_date")
 
 
 def chargebacks_fx_daily(t: Tables, p: Params) -> DataFrame:

@@ -21,7 +21,10 @@ def _days(rng, n, start: dt.date, span_days: int) -> list:
     return [base + dt.timedelta(days=int(d)) for d in rng.integers(0, span_days, n)]
 
 
-def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate: float = 0.03) -> None:
+def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate: float = 0.03,
+                        duplicate_customers: float = 0.0) -> None:
+    """``duplicate_customers`` repeats that share of customer rows verbatim
+    (a dimension with duplicate keys)."""
     rng = np.random.default_rng(seed)
     nc = n_customers
     no, nl, ne = nc * 10, nc * 40, nc * 8
@@ -34,6 +37,9 @@ def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate:
         "c_mktsegment": _nullify([str(x) for x in rng.choice(["BUILDING", "MACHINERY", "HOUSEHOLD"], nc)],
                                  rng, null_rate),
     })
+    if duplicate_customers:
+        dup = [i for i in range(nc) if rng.random() < duplicate_customers]
+        customer = pa.concat_tables([customer, customer.take(dup)])
     okeys = list(range(1, no + 1))
     orders = pa.table({
         "o_orderkey": pa.array(okeys, pa.int64()),

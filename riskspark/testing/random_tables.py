@@ -22,9 +22,9 @@ def _days(rng, n, start: dt.date, span_days: int) -> list:
 
 
 def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate: float = 0.03,
-                        duplicate_customers: float = 0.0) -> None:
-    """``duplicate_customers`` repeats that share of customer rows verbatim
-    (a dimension with duplicate keys)."""
+                        duplicate_customers: float = 0.0, duplicate_orders: float = 0.0) -> None:
+    """``duplicate_customers`` / ``duplicate_orders`` repeat that share of
+    customer / order rows verbatim (keys listed twice)."""
     rng = np.random.default_rng(seed)
     nc = n_customers
     no, nl, ne = nc * 10, nc * 40, nc * 8
@@ -52,6 +52,9 @@ def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate:
         "o_orderpriority": _nullify([str(x) for x in rng.choice(
             ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], no)], rng, null_rate),
     })
+    if duplicate_orders:
+        dup = [i for i in range(no) if rng.random() < duplicate_orders]
+        orders = pa.concat_tables([orders, orders.take(dup)])
     lok = [int(x) for x in rng.integers(1, no + 1, nl)]
     lineitem = pa.table({
         "l_orderkey": pa.array(lok, pa.int64()),

@@ -1,5 +1,5 @@
 """Differential test on random tables with the driver's schemas, NULLs in
-keys, dates and statuses, and some customers listed twice (the driver's
+keys, dates and statuses, and some customers and orders listed twice (the driver's
 tables have neither): every registered query must still equal its DuckDB
 oracle exactly."""
 
@@ -15,7 +15,7 @@ from riskspark.testing.random_tables import write_random_tables
 @pytest.fixture(scope="module")
 def random_dir():
     d = tempfile.mkdtemp(prefix="rs-rand-", dir="/tmp")
-    write_random_tables(d, seed=11, null_rate=0.15, duplicate_customers=0.05)
+    write_random_tables(d, seed=11, null_rate=0.15, duplicate_customers=0.05, duplicate_orders=0.05)
     return d
 
 

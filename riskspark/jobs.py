@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     if args.driver_data:
         from .sources.driver_adapter import driver_tables
-        t, p = driver_tables(spark, args.driver_data), Params.for_driver_data()
+        t, p = driver_tables(spark, args.driver_data, fresh=True), Params.for_driver_data()
     else:
         from .sources.catalog import LOGICAL_TABLES
         t, p = Tables.from_names(spark, {n: n for n in LOGICAL_TABLES}), Params()

@@ -387,12 +387,23 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return per_session[path]
 
 
-def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Catalog of logical tables derived from ``{sf_dir}/<table>.parquet``."""
-    builders = dict(_BUILDERS)
-    for name in DRIVER_TABLES:
-        builders[name] = (lambda t, n=name: _read(t.spark, f"{sf_dir.rstrip('/')}/{n}.parquet"))
-    return Tables(spark, builders=builders)
+_CATALOGS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Tables]]" = weakref.WeakKeyDictionary()
+
+
+def driver_tables(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Tables:
+    """Catalog of logical tables derived from ``{sf_dir}/<table>.parquet``.
+
+    One catalog per (session, directory), so analyses run one after another
+    share their logical plans (the shared intermediates are planned once);
+    nothing is cached as data.  ``fresh`` builds a new catalog."""
+    key = sf_dir.rstrip("/")
+    per_session = _CATALOGS.setdefault(spark, {})
+    if fresh or key not in per_session:
+        builders = dict(_BUILDERS)
+        for name in DRIVER_TABLES:
+            builders[name] = (lambda t, n=name: _read(t.spark, f"{key}/{n}.parquet"))
+        per_session[key] = Tables(spark, builders=builders)
+    return per_session[key]
 
 
 __all__ = ["driver_tables", "DRIVER_TABLES", "micros_to_ts"]

@@ -13,7 +13,7 @@ def _rows(df):
 
 
 def test_books_match_single_queries(spark):
-    t = driver_tables(spark, SF_SMALL)
+    t = driver_tables(spark, SF_SMALL, fresh=True)
     qs = E.queries()
     seen = set()
     for book in BOOKS.values():

@@ -12,7 +12,7 @@ from .conftest import SF_SMALL
 def test_run_book_publishes_and_writes(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS rs_jobs_test")
     out = tempfile.mkdtemp(prefix="rs-jobs-", dir="/tmp")
-    reports = run_book(driver_tables(spark, SF_SMALL), E.PARAMS, "disputes",
+    reports = run_book(driver_tables(spark, SF_SMALL, fresh=True), E.PARAMS, "disputes",
                        database="rs_jobs_test", base_path=out)
     for name in reports:
         want = E.queries()[name](spark, SF_SMALL).count()

@@ -20,7 +20,7 @@ def test_publish_payment_risk_mart(spark):
     import __spark_entry__ as E
     from riskspark.plans.mart import publish_payment_risk_mart
     from riskspark.sources.driver_adapter import driver_tables
-    t = driver_tables(spark, "/root/testdata/sf0.001")
+    t = driver_tables(spark, "/root/testdata/sf0.001", fresh=True)
     view = publish_payment_risk_mart(t, E.PARAMS, "rs_test_mart")
     assert view.count() == E.queries()["payment_risk_mart"](spark, "/root/testdata/sf0.001").count()
     for r in spark.sql("SHOW TABLES").collect():

@@ -30,10 +30,11 @@ def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate:
     no, nl, ne = nc * 10, nc * 40, nc * 8
     cust = list(range(1, nc + 1))
     customer = pa.table({
-        "c_custkey": pa.array(cust, pa.int64()),
+        "c_custkey": pa.array(_nullify(cust, rng, null_rate / 3), pa.int64()),
         "c_name": [f"Customer#{k:09d}" for k in cust],
         "c_nationkey": pa.array(_nullify([int(x) for x in rng.integers(0, 25, nc)], rng, null_rate), pa.int32()),
-        "c_acctbal": pa.array([float(round(x, 2)) for x in rng.uniform(-999, 9999, nc)], pa.float64()),
+        "c_acctbal": pa.array(_nullify([float(round(x, 2)) for x in rng.uniform(-999, 9999, nc)], rng,
+                                       null_rate), pa.float64()),
         "c_mktsegment": _nullify([str(x) for x in rng.choice(["BUILDING", "MACHINERY", "HOUSEHOLD"], nc)],
                                  rng, null_rate),
     })
@@ -42,11 +43,12 @@ def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate:
         customer = pa.concat_tables([customer, customer.take(dup)])
     okeys = list(range(1, no + 1))
     orders = pa.table({
-        "o_orderkey": pa.array(okeys, pa.int64()),
+        "o_orderkey": pa.array(_nullify(okeys, rng, null_rate / 3), pa.int64()),
         "o_custkey": pa.array(_nullify([int(x) for x in rng.integers(1, nc + 1, no)], rng, null_rate),
                               pa.int64()),
         "o_orderstatus": _nullify([str(x) for x in rng.choice(["F", "O", "P"], no)], rng, null_rate),
-        "o_totalprice": pa.array([float(round(x, 2)) for x in rng.uniform(900, 400000, no)], pa.float64()),
+        "o_totalprice": pa.array(_nullify([float(round(x, 2)) for x in rng.uniform(900, 400000, no)], rng,
+                                          null_rate), pa.float64()),
         "o_orderdate": pa.array(_nullify(_days(rng, no, dt.date(1995, 1, 1), 2400), rng, null_rate),
                                 pa.timestamp("us")),
         "o_orderpriority": _nullify([str(x) for x in rng.choice(
@@ -57,14 +59,21 @@ def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate:
         orders = pa.concat_tables([orders, orders.take(dup)])
     lok = [int(x) for x in rng.integers(1, no + 1, nl)]
     lineitem = pa.table({
-        "l_orderkey": pa.array(lok, pa.int64()),
-        "l_partkey": pa.array([int(x) for x in rng.integers(1, 2000, nl)], pa.int64()),
-        "l_suppkey": pa.array([int(x) for x in rng.integers(1, 100, nl)], pa.int64()),
-        "l_linenumber": pa.array([int(x) for x in rng.integers(1, 8, nl)], pa.int32()),
-        "l_quantity": pa.array([float(x) for x in rng.integers(1, 51, nl)], pa.float64()),
-        "l_extendedprice": pa.array([float(round(x, 2)) for x in rng.uniform(900, 100000, nl)], pa.float64()),
-        "l_discount": pa.array([float(x) / 100 for x in rng.integers(0, 11, nl)], pa.float64()),
-        "l_tax": pa.array([float(x) / 100 for x in rng.integers(0, 9, nl)], pa.float64()),
+        "l_orderkey": pa.array(_nullify(lok, rng, null_rate / 3), pa.int64()),
+        "l_partkey": pa.array(_nullify([int(x) for x in rng.integers(1, 2000, nl)], rng, null_rate),
+                              pa.int64()),
+        "l_suppkey": pa.array(_nullify([int(x) for x in rng.integers(1, 100, nl)], rng, null_rate),
+                              pa.int64()),
+        "l_linenumber": pa.array(_nullify([int(x) for x in rng.integers(1, 8, nl)], rng, null_rate),
+                                 pa.int32()),
+        "l_quantity": pa.array(_nullify([float(x) for x in rng.integers(1, 51, nl)], rng, null_rate),
+                               pa.float64()),
+        "l_extendedprice": pa.array(_nullify([float(round(x, 2)) for x in rng.uniform(900, 100000, nl)],
+                                             rng, null_rate), pa.float64()),
+        "l_discount": pa.array(_nullify([float(x) / 100 for x in rng.integers(0, 11, nl)], rng, null_rate),
+                               pa.float64()),
+        "l_tax": pa.array(_nullify([float(x) / 100 for x in rng.integers(0, 9, nl)], rng, null_rate),
+                          pa.float64()),
         "l_returnflag": _nullify([str(x) for x in rng.choice(["A", "N", "R"], nl)], rng, null_rate),
         "l_linestatus": _nullify([str(x) for x in rng.choice(["F", "O"], nl)], rng, null_rate),
         "l_shipdate": pa.array(_nullify(_days(rng, nl, dt.date(1995, 1, 2), 2500), rng, null_rate),
@@ -75,7 +84,7 @@ def write_random_tables(path: str, seed: int, n_customers: int = 240, null_rate:
            for s, u in zip(rng.integers(0, 30 * 86400, ne), rng.integers(0, 10**6, ne))]
     users = max(30, nc // 10)
     events = pa.table({
-        "event_id": pa.array(list(range(ne)), pa.int64()),
+        "event_id": pa.array(_nullify(list(range(ne)), rng, null_rate / 3), pa.int64()),
         "ts": pa.array(_nullify(ets, rng, null_rate), pa.timestamp("us")),
         "user_id": pa.array(_nullify([int(x) for x in rng.integers(0, users, ne)], rng, null_rate),
                             pa.int64()),

@@ -1,9 +1,10 @@
 """Batch jobs: compute a book of reports and persist every report.
 
-``python -m riskspark.jobs --book dormancy --catalog parquet --source <dir>
---database reports`` is the spark-submit form of running one source
-worksheet end to end.  Tables are published with ``sinks.publish`` (new
-version, then an atomic view switch) or written as parquet under a base path.
+``spark-submit -m riskspark.jobs --book dormancy --database reports`` runs one
+source worksheet end to end over the metastore tables named like the logical
+tables (``--driver-data <dir>`` reads the synthetic test tables instead).
+Reports are published with ``sinks.publish`` (new version, then an atomic
+view switch) and/or written as parquet under ``--output``.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Batch jobs: compute a book of reports and persist every report.
 
-``spark-submit -m riskspark.jobs --book dormancy --database reports`` runs one
+``python -m riskspark.jobs --book dormancy --database reports`` runs one
 source worksheet end to end over the metastore tables named like the logical
 tables (``--driver-data <dir>`` reads the synthetic test tables instead).
 Reports are published with ``sinks.publish`` (new version, then an atomic

@@ -18,6 +18,7 @@ Plan = Callable[[Tables, Params], DataFrame]
 
 QUERIES: dict[str, Plan] = {
     "tagged_event_extract": detection.tagged_events,
+    "confirmed_takeovers": detection.confirmed_takeovers,
     "detector_recall_month": detection.detector_recall_month,
     "detector_recall_year": detection.detector_recall_year,
     "detector_precision_month": detection.detector_precision_month,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Plan] = {
     "movement_history": dormancy.movement_history,
     "movement_latest": dormancy.movement_latest,
     "last_money_movement": dormancy.last_money_movement,
+    "last_app_activity": dormancy.last_app_activity,
     "last_activity": dormancy.last_activity,
     "risk_segmentation": dormancy.risk_segmentation,
     "segment_moved": dormancy.segment_moved,

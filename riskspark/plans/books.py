@@ -17,7 +17,7 @@ from . import attach, detection, disputes, dormancy, mart
 
 def detection_book(t: Tables, p: Params) -> dict[str, DataFrame]:
     t.materialize("tagged_events", p, lambda: detection._build_tagged_events(t, p))
-    names = ["tagged_event_extract", "detector_recall_month", "detector_recall_year",
+    names = ["tagged_event_extract", "confirmed_takeovers", "detector_recall_month", "detector_recall_year",
              "detector_precision_month", "detector_precision_year", "group_fully_locked",
              "headcount_profile", "headcount_buckets"]
     fns = {"tagged_event_extract": detection.tagged_events}
@@ -28,7 +28,8 @@ def dormancy_book(t: Tables, p: Params) -> dict[str, DataFrame]:
     t.materialize("payment_gaps", p, lambda: dormancy._build_payment_gaps(t, p))
     t.materialize("risk_segmentation", p, lambda: dormancy._build_risk_segmentation(t, p))
     names = ["payment_gaps", "gap_history", "payment_dormancy", "payment_dormancy_buckets",
-             "movement_history", "movement_latest", "last_money_movement", "last_activity",
+             "movement_history", "movement_latest", "last_money_movement", "last_app_activity",
+             "last_activity",
              "risk_segmentation", "segment_moved", "segment_never_moved", "segment_distribution",
              "segment_crosstab", "excluded_units", "chargebacks_fx_daily", "reactivation_value"]
     return {n: getattr(dormancy, n)(t, p) for n in names}

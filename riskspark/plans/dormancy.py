@@ -170,6 +170,13 @@ def last_activity(t: Tables, p: Params) -> DataFrame:
                                            t["legacy_activity"]))
 
 
+def last_app_activity(t: Tables, p: Params) -> DataFrame:
+    """C11, first stage: latest login or click per merchant, before the
+    legacy activity source is added (published on its own by the source)."""
+    return latest_activity(activity_events(t["login_event"], t["page_click"], t["mobile_click"],
+                                           None))
+
+
 # ---------------------------------------------------------------- C12 - C13
 
 def _merchant_max(df: DataFrame, merchant: str, at: str, name: str) -> DataFrame:

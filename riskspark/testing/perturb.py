@@ -1,7 +1,10 @@
 """Perturbed logical tables: the driver-data tables with situations the
 synthetic mapping never produces (overlapping segment validity, several
 enrolment rows per merchant, calendar holes, users listed twice with
-different attributes, duplicate list and rate rows).  Used to test every
+different attributes, duplicate list and rate rows, disputes repeated under
+other units and statuses, ledger rows of one token under other units and
+currencies, evaluations without a level, chargebacks without a rate,
+signups without a token).  Used to test every
 plan against the oracle on the logical tables directly."""
 
 from __future__ import annotations
@@ -37,6 +40,25 @@ def perturbed_tables(src: Tables) -> dict[str, DataFrame]:
                                      .withColumn("locked_at", F.lit(None).cast("date")))
     for n in ("risk_alert", "allowed_payment"):
         t[n] = t[n].unionByName(t[n].where(F.col("payment_token") % 2 == 0))
+    d = t["dispute"]
+    t["dispute"] = d.unionByName(
+        d.where(F.col("transaction_token") % 9 == 0)
+        .withColumn("unit_token", F.concat(F.col("unit_token"), F.lit("x")))
+        .withColumn("status", F.lit("WON")).withColumn("final_resolution", F.lit(None).cast("string")))
+    ca = t["card_activity"]
+    t["card_activity"] = ca.unionByName(
+        ca.where(F.col("transaction_token") % 11 == 0)
+        .withColumn("balance_token", F.concat(F.lit("b-0123456789abc-c-"), F.lit("9999999999999")))
+        .withColumn("currency_code", F.lit("EUR")))
+    ev = t["risk_evaluation"]
+    t["risk_evaluation"] = ev.unionByName(
+        ev.where(F.col("payment_token") % 13 == 0).withColumn("risk_level", F.lit(None).cast("string")))
+    cb = t["chargeback"]
+    t["chargeback"] = cb.unionByName(
+        cb.where(F.col("payment_token") % 5 == 0).withColumn("currency_code", F.lit("EUR")))
+    ms = t["merchant_signup"]
+    t["merchant_signup"] = ms.unionByName(
+        ms.where(F.col("token") % 10 == 0).withColumn("token", F.lit(None).cast("bigint")))
     fx = t["fx_rate"]
     t["fx_rate"] = fx.unionByName(fx.where(F.dayofmonth("report_date") == 5)
                                   .withColumn("rate", F.col("rate") * 2))

@@ -309,6 +309,10 @@ def excluded_units(t: Tables, p: Params) -> DataFrame:
 def reactivations(t: Tables, p: Params) -> DataFrame:
     """Card-payment days that end a gap longer than ``p.reactivation_gap``
     days, up to ``p.reactivation_cohort_end``, for units only."""
+    return t.derived("reactivations", p, lambda: _build_reactivations(t, p))
+
+
+def _build_reactivations(t: Tables, p: Params) -> DataFrame:
     g = payment_gaps(t, p).where(
         (F.col("payment_date") <= F.lit(p.reactivation_cohort_end))
         & (F.col("difference") > p.reactivation_gap)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import decimal
 import math
 from dataclasses import dataclass
 
 import duckdb
-import decimal
-
 import pyarrow as pa
 
 from ..sources.driver_adapter import DRIVER_TABLES
@@ -50,16 +49,18 @@ class Comparison:
     same_columns: bool
     same_values: bool
     detail: str = ""
+    same_types: bool = True
 
     @property
     def ok(self) -> bool:
-        return self.same_columns and self.same_values and self.spark_rows == self.oracle_rows
+        return (self.same_columns and self.same_types and self.same_values
+                and self.spark_rows == self.oracle_rows)
 
 
 def compare(name: str, spark_df, con: duckdb.DuckDBPyConnection, sql: str,
             exact: bool = True) -> Comparison:
-    """Row count, column names and order-insensitive values.  ``exact``
-    compares floating-point values bit for bit (no rounding)."""
+    """Row count, column names, Arrow column types and order-insensitive
+    values.  ``exact`` compares floating-point values bit for bit."""
     s = spark_df.toArrow()
     o = con.sql(sql).to_arrow_table()
     if not isinstance(o, pa.Table):
@@ -74,10 +75,9 @@ def compare(name: str, spark_df, con: duckdb.DuckDBPyConnection, sql: str,
     if not same:
         ss, so = set(rs), set(ro)
         detail = f"only spark: {list(ss - so)[:3]} only oracle: {list(so - ss)[:3]}"
-    if same:
-        st = {f.name: str(f.type) for f in s.schema}
-        ot = {f.name: str(f.type) for f in o.schema}
-        diff = {k: (st[k], ot[k]) for k in st if st[k] != ot[k]}
-        if diff:
-            detail = f"types differ: {diff}"
-    return Comparison(name, s.num_rows, o.num_rows, True, same, detail)
+    st = {f.name: str(f.type) for f in s.schema}
+    ot = {f.name: str(f.type) for f in o.schema}
+    diff = {k: (st[k], ot[k]) for k in st if st[k] != ot[k]}
+    if diff:
+        detail = (detail + " " if detail else "") + f"types differ: {diff}"
+    return Comparison(name, s.num_rows, o.num_rows, True, same, detail, same_types=not diff)

@@ -81,5 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
                            "(local_session() sets a scratch folder for tests)")
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # Spark Connect: no SparkContext; the server applies the setting
+        pass
     return current

@@ -71,19 +71,20 @@ def _segment_pieces(t: Tables, lo: dt.date, hi: dt.date) -> DataFrame:
     return pieces_within(pieces, lo, hi)
 
 
-def _weekly_members(api: DataFrame, t: Tables, p: Params, cal: DataFrame,
-                    lo: dt.date, hi: dt.date, week_bounds: bool = True) -> DataFrame:
-    """(week, week_begin, week_end, category, segment, merchant) for every
-    merchant with a payment visible on some calendar day of the week, with
-    the segment of the paying unit on that day."""
-    runs = clip(coverage_runs(api, ["unit_token", "merchant_token", "business_category"],
-                              "payment_trx_recognized_at", p.trailing_days), lo, hi)
+def _weekly_members(facts: DataFrame, t: Tables, p: Params, cal: DataFrame, lo: dt.date,
+                    hi: dt.date, week_bounds: bool = True,
+                    extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """(week, [week_begin, week_end], category, segment, merchant, *extra_keys)
+    for every merchant with a payment visible on some calendar day of the
+    week, with the segment of the paying unit on that day."""
+    keys = ["unit_token", "merchant_token", "business_category", *extra_keys]
+    runs = clip(coverage_runs(facts, keys, "payment_trx_recognized_at", p.trailing_days), lo, hi)
     labelled = overlay_labels(runs.withColumnRenamed("unit_token", "user_token"), "user_token",
                               _segment_pieces(t, lo, hi), "segment", P.INACTIVE_SEGMENT)
-    weekly = spread_over_weeks(labelled, calendar_week_pieces(cal), lo, hi)
     bounds = ["week_begin", "week_end"] if week_bounds else []
-    return weekly.select("week", *bounds, "business_category", "segment",
-                         "merchant_token").distinct()
+    weekly = spread_over_weeks(labelled, calendar_week_pieces(cal, extra=bounds), lo, hi)
+    return weekly.select("week", *bounds, "business_category", "segment", "merchant_token",
+                         *extra_keys).distinct()
 
 
 def _with_online(df: DataFrame, t: Tables, p: Params) -> DataFrame:
@@ -193,14 +194,9 @@ def risk_eval_attach_week(t: Tables, p: Params) -> DataFrame:
     # spread run once over the union, and one aggregation counts both.
     facts = (api.withColumn("_kind", F.lit(0))
              .unionByName(active_api.withColumn("_kind", F.lit(1))))
-    runs = clip(coverage_runs(facts, ["unit_token", "merchant_token", "business_category", "_kind"],
-                              "payment_trx_recognized_at", p.trailing_days), lo, hi)
-    labelled = overlay_labels(runs.withColumnRenamed("unit_token", "user_token"), "user_token",
-                              _segment_pieces(t, lo, hi), "segment", P.INACTIVE_SEGMENT)
-    weekly = (spread_over_weeks(labelled, calendar_week_pieces(cal, extra=()), lo, hi)
+    weekly = (_weekly_members(facts, t, p, cal, lo, hi, week_bounds=False, extra_keys=("_kind",))
               .select(F.col("week").alias("week_start_date"), F.col("segment").alias("gpv_segment"),
-                      F.col("business_category").alias("mcc"), "merchant_token", "_kind")
-              .distinct())
+                      F.col("business_category").alias("mcc"), "merchant_token", "_kind"))
     m = _with_online(weekly, t, p)
     keys = ["week_start_date", "gpv_segment", "is_online_store", "mcc"]
     # rows are distinct per (keys, merchant, kind), so counts are distinct counts

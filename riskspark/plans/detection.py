@@ -27,7 +27,8 @@ def tagged_events(t: Tables, p: Params) -> DataFrame:
     written as ``t < cutoff + 1 day`` so the scan can prune on it.)
 
     The false-positive list only matches entries inside its date window;
-    that condition stays in the join, so other entries are kept unmatched.
+    other entries are kept, unmatched (the source's condition sits in the
+    join, not in a filter).
     """
     return t.derived("tagged_events", p, lambda: _build_tagged_events(t, p))
 
@@ -38,8 +39,17 @@ def _build_tagged_events(t: Tables, p: Params) -> DataFrame:
         & (F.col("created_at") < ts_lit(p.log_cutoff + dt.timedelta(days=1))))
     fp = t["fp_login_list"].select(F.col("unit_token").alias("fp_unit_token"),
                                    F.col("ip").alias("fp_ip"))
-    in_window = F.to_date("created_at").between(F.lit(p.fp_window_start), F.lit(p.fp_window_end))
-    j = log.join(fp, (F.col("target_token") == F.col("fp_unit_token")) & in_window, "left")
+    in_window = F.coalesce(
+        F.to_date("created_at").between(F.lit(p.fp_window_start), F.lit(p.fp_window_end)),
+        F.lit(False))
+    # Only entries inside the window can match the list: join just those and
+    # pass the rest through unmatched, so the (long) history outside the
+    # window is never shuffled for the join.
+    inside = log.where(in_window).join(fp, F.col("target_token") == F.col("fp_unit_token"), "left")
+    outside = log.where(~in_window).select(
+        "*", F.lit(None).cast(fp.schema["fp_unit_token"].dataType).alias("fp_unit_token"),
+        F.lit(None).cast("string").alias("fp_ip"))
+    j = inside.unionByName(outside)
     ip = after_marker("comment")
     return j.select("target_token", "created_at", "comment", "fp_unit_token",
                     ip.alias("ip"), token_before(ip).alias("ip_cleaned"), "fp_ip")

@@ -15,10 +15,13 @@ from pyspark.sql import SparkSession
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "riskspark") -> SparkSession:
     """Local session for tests and the benchmark.  It is the only place a
-    checkpoint directory is chosen here: a fresh scratch folder, unless
-    ``RISKSPARK_CHECKPOINT_DIR`` names one."""
+    checkpoint directory (and a warehouse folder) is chosen here: fresh
+    scratch folders, unless ``RISKSPARK_CHECKPOINT_DIR`` names one."""
     ckpt = os.environ.get("RISKSPARK_CHECKPOINT_DIR") or tempfile.mkdtemp(
         prefix="riskspark-ckpt-", dir="/tmp")
+    # a fresh warehouse per local session: tables made by tests never meet
+    # leftovers of an earlier (interrupted) run
+    warehouse = tempfile.mkdtemp(prefix="riskspark-warehouse-", dir="/tmp")
     spark = (SparkSession.builder
              .master(f"local[{cpus}]")
              .appName(app_name)
@@ -35,6 +38,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.ansi.enabled", os.environ.get("RISKSPARK_ANSI", "true"))
              .config("spark.checkpoint.dir", ckpt)
+             .config("spark.sql.warehouse.dir", warehouse)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -27,8 +27,9 @@ DORMANCY_LADDER: tuple[tuple[int, str], ...] = (
 )
 DORMANCY_TOP_LABEL = "6. 4+ year"
 
-# Headcount ladder: exactly one person is its own bucket; the rest are
-# "< edge" buckets (a headcount of 0 falls into "< 5", as in the source).
+# Headcount ladder.  Exactly one person is its own bucket; the
+# rest are "< edge" buckets (a headcount of 0 falls into "< 5", as in the
+# source).
 HEADCOUNT_ONE_LABEL = "1. 1"
 HEADCOUNT_LADDER: tuple[tuple[int, str], ...] = (
     (5, "2. <5"),
@@ -62,6 +63,7 @@ ENGAGEMENT_APP = "dashboard"
 ENGAGEMENT_CATALOG = "page_view"
 ENGAGEMENT_DESCRIPTION_PATTERN = "Transactions: Show%"
 BILL_PATH_SEPARATOR = "/"
+BILL_PATH_PART = 5
 
 # Payment attributes the risk mart carries as grouping keys, in
 # the source's order (neutral names).  Minor-unit money columns are carried
@@ -75,7 +77,6 @@ MART_PAYMENT_ATTRIBUTES = (
 MART_MONEY_COLUMNS = {"amount_base_unit": "amount_base", "auth_intent_amount": "auth_amount",
                       "tip_amount_base_unit": "tip_amount"}
 MART_MONEY_KEPT_RAW = ("tip_amount_base_unit",)
-BILL_PATH_PART = 5
 
 
 @dataclasses.dataclass(frozen=True)

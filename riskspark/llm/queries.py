@@ -9,9 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskspark.llm.exact_dedup import exact_dedup
 from riskspark.llm.mixing import pareto_mix
+from riskspark.llm.packing import pack_documents
+from riskspark.llm.tokens import count_tokens
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,14 +34,25 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_token_counts": op5_token_counts,
     "op7_source_mix": op7_source_mix,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

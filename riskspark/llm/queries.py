@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.exact_dedup import exact_dedup
+from riskspark.llm.language import identify_languages
 from riskspark.llm.mixing import pareto_mix
 from riskspark.llm.packing import pack_documents
+from riskspark.llm.quality import score_quality
 from riskspark.llm.tokens import count_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +31,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -48,11 +55,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

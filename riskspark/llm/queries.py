@@ -17,6 +17,9 @@ from riskspark.llm.mixing import pareto_mix
 from riskspark.llm.packing import pack_documents
 from riskspark.llm.quality import score_quality
 from riskspark.llm.tokens import count_tokens
+from riskspark.llm.topk import top_k
+from riskspark.llm.toxicity import toxic_documents
+from riskspark.llm.warc import archive_pages
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -41,11 +44,20 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -59,13 +71,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_exact_topk": op4_exact_topk,
     "op5_token_counts": op5_token_counts,
+    "op6_warc": op6_warc,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity_chain": op10_toxicity_chain,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -77,6 +96,21 @@ g as (select norm, max(doc_id) as keep_id, count(*) as group_size from t group b
 select t.doc_id, g.keep_id, cast(g.group_size as bigint) as group_size,
        t.doc_id = g.keep_id as kept, sha256(t.norm) as text_sha256
 from t join g on t.norm = g.norm""",
+    "op4_exact_topk": """
+with v as (
+  select vec_id, row_number() over (order by vec_id) as rid, embedding from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+w as (
+  select rid, vec_id, unnest(range(len(embedding))) as j,
+         cast(floor(64 * cast(unnest(embedding) as double)) as bigint) as w from v),
+p as (
+  select q.rid as qrid, q.vec_id as query_id, c.rid, c.vec_id, cast(sum(q.w * c.w) as bigint) as score
+  from w q join w c on q.j = c.j and q.rid <> c.rid
+  where q.vec_id % 20 = 0 group by all),
+r as (
+  select *, cast(row_number() over (partition by qrid order by score desc, vec_id, rid) as integer) as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 20""",
     "op7_source_mix": r"""
 with d as (
   select doc_id, source,

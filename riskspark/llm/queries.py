@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskspark.llm.exact_dedup import exact_dedup
 from riskspark.llm.language import identify_languages
 from riskspark.llm.mixing import pareto_mix
+from riskspark.llm.ngram_join import similar_documents
 from riskspark.llm.packing import pack_documents
 from riskspark.llm.quality import score_quality
 from riskspark.llm.tokens import count_tokens
@@ -34,6 +35,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "class_links")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "lang_pred", "score")
@@ -76,6 +82,7 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_exact_topk": op4_exact_topk,

@@ -139,3 +139,13 @@ def batch_slices(starts: np.ndarray, most_bytes: int):
         end = min(n, max(end, row + 1))
         yield row, end
         row = end
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``big`` joined to ``small`` (a stage of a few numbers a row): its rows
+    are counted, and up to BROADCAST_ROWS of them are broadcast, so that the
+    texts in ``big`` stay where they are; beyond, Spark shuffles as it sees fit."""
+    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, key, how)

@@ -54,7 +54,7 @@ from riskspark.llm.components import connected_components
 from riskspark.llm.shared import (batch_slices, hash_words, join_checked, lower_bytes, mix64, split_words, stage,
                                   text_bytes)
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BAND_RATIO = 4
 SEGMENT_SLACK = 1.5  # segments of a band, times H + 1: the surplus may be skipped
 COMMON_SHARE = 0.001  # of all documents that hold a shingle, for it to be common

@@ -34,7 +34,7 @@ from riskspark.llm.shared import batch_slices, hash_words, lower_bytes, mix64, s
 STATISTICS = ["log_words", "word_length", "upper", "digit", "symbol", "stop", "space", "wide", "pipe",
               "distinct_words", "top_word", "repeats_previous", "distinct_pairs", "line_length", "repeated_lines",
               "lines_end_open", "capital_words", "symbol_words"]
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def _class(chars: str) -> np.ndarray:

@@ -39,7 +39,7 @@ from riskspark.llm.language import _prepare
 from riskspark.llm.shared import batch_slices, mix64, stage, text_bytes
 
 PREFIXES = (4, 5, 6)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _FILTER_BITS = 20
 
 

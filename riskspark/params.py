@@ -170,8 +170,7 @@ class Params:
             fp_window_end=D(2000, 12, 31),
             precision_cutoff=D(2001, 7, 1),
             unit_key_type="bigint",
-            user_profile_columns=(),
-            movement_cutoff=D(1999, 1, 1),
+            movement_cutoff=D(2002, 1, 1),
             reactivation_cohort_end=D(2001, 3, 1),
             suspect_comment_pattern="%#suspectlogin%",
             suspect_action="Watchlist",
@@ -183,9 +182,6 @@ class Params:
             seller_liable_reasons=("CHIP",),
             seller_dispute_delay_days=150,
             mart_start=D(1997, 3, 31),
-            mart_auth_time="recognized_at",
-            mart_payment_attributes=("currency_code", "amount_base_unit", "is_refunded", "is_gpv",
-                                     "entry_method", "auth_success"),
             payments_start=D(1998, 3, 2),
             engagement_report_start=D(1999, 1, 1),
             engagement_activity_start=D(1998, 3, 1),

@@ -99,12 +99,10 @@ def paid_adoption_week(t: Tables, p: Params) -> DataFrame:
     an ended one that ended within ``churn_lookback_days`` of the week)."""
     first_week = p.payments_start + dt.timedelta(days=p.adoption_first_week_offset_days)
     last_week = p.as_of - dt.timedelta(days=p.as_of.weekday())
-    lo = first_week - dt.timedelta(days=7)
-    hi = last_week + dt.timedelta(days=13)
-    # A day lies in its own week, so the week filter implies the day range;
-    # stating it bounds the (broadcast) calendar by the parameters.
-    cal = t["dim_date"].where(F.col("week_begin").between(F.lit(first_week), F.lit(last_week))
-                              & F.col("report_date").between(F.lit(lo), F.lit(hi)))
+    cal = t["dim_date"].where(F.col("week_begin").between(F.lit(first_week), F.lit(last_week)))
+    # the days those weeks hold, whatever the calendar says a week is
+    days = cal.agg(F.min("report_date"), F.max("report_date")).first()
+    lo, hi = days[0] or first_week, days[1] or first_week
     api = daily_qualifying_payments(t, p)
     members = _with_online(_weekly_members(api, t, p, cal, lo, hi), t, p)
 

@@ -39,14 +39,14 @@ def _build_tagged_events(t: Tables, p: Params) -> DataFrame:
         & (F.col("created_at") < ts_lit(p.log_cutoff + dt.timedelta(days=1))))
     fp = t["fp_login_list"].select(F.col("unit_token").alias("fp_unit_token"),
                                    F.col("ip").alias("fp_ip"))
-    in_window = F.coalesce(
-        F.to_date("created_at").between(F.lit(p.fp_window_start), F.lit(p.fp_window_end)),
-        F.lit(False))
     # Only entries inside the window can match the list: join just those and
     # pass the rest through unmatched, so the (long) history outside the
-    # window is never shuffled for the join.
-    inside = log.where(in_window).join(fp, F.col("target_token") == F.col("fp_unit_token"), "left")
-    outside = log.where(~in_window).select(
+    # window is never shuffled for the join.  Both tests are ranges of the raw
+    # column, so each branch's scan skips what the other reads.
+    at, start, end = (F.col("created_at"), ts_lit(p.fp_window_start),
+                      ts_lit(p.fp_window_end + dt.timedelta(days=1)))
+    inside = log.where((at >= start) & (at < end)).join(fp, F.col("target_token") == F.col("fp_unit_token"), "left")
+    outside = log.where((at < start) | (at >= end)).select(
         "*", F.lit(None).cast(fp.schema["fp_unit_token"].dataType).alias("fp_unit_token"),
         F.lit(None).cast("string").alias("fp_ip"))
     j = inside.unionByName(outside)
@@ -88,9 +88,15 @@ def detector_recall_year(t: Tables, p: Params) -> DataFrame:
 
 
 def _precision(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
+    # Against a confirmation's day, bounds of +/- n days depend on the tag's
+    # day and on whether it is at midnight, not on its time.  So a user has at
+    # most two rows a day here, however often tagged, and a hot user stays
+    # small in the join and in the aggregation that reuses its partitioning.
+    day = F.to_date("created_at").cast("timestamp_ntz")
+    late = (F.col("created_at") > day).cast("int")
     sk = (tagged_events(t, p)
           .where(F.col("fp_unit_token").isNull() & (F.col("created_at") < ts_lit(p.precision_cutoff)))
-          .select("target_token", "created_at"))
+          .select("target_token", (day + F.make_dt_interval(F.lit(0), late)).alias("created_at")).distinct())
     ato = confirmed_takeovers(t, p).select("user_token", "earliest_confirmed_at")
     cond = ((sk["target_token"] == ato["user_token"])
             & within_days(sk["created_at"], ato["earliest_confirmed_at"], p.match_days))

@@ -150,29 +150,33 @@ def dispute_sellers(t: Tables, p: Params) -> DataFrame:
     filing valid fraud, any fraud and any disputes, and the key result
     itself (valid disputes per seller filing them).
 
-    Each side of the source's self-join is first reduced to distinct
-    (token, unit) pairs: only distinct counts are read, so this is exact and
-    bounds the join fan-out by the units per token.
+    Only distinct counts are read, so each side of the source's self-join is
+    first reduced to distinct (token, unit) pairs, and each count to its own
+    small set of (month, key) pairs, counted plainly and joined by month.
     """
     d = t["dispute"]
-    in_year = year_range("transaction_date", p.kpi_year)
-    td = (d.where(in_year)
-          .select(trunc_date("month", "transaction_date").alias("transaction_month"),
-                  "transaction_token", F.col("unit_token").alias("td_unit")).distinct())
-    fd = (d.where(fraud_in_year(p))
-          .select("transaction_token", F.col("unit_token").alias("fd_unit")).distinct())
-    vd = (d.where(valid_dispute(p))
-          .select("transaction_token", F.col("transaction_token").alias("vd_token"),
-                  F.col("unit_token").alias("vd_unit")).distinct())
-    j = td.join(fd, "transaction_token", "left").join(vd, "transaction_token", "left")
-    return (j.groupBy("transaction_month")
-            .agg(F.count_distinct("vd_token").alias("count_valid_fraud_disputes"),
-                 F.count_distinct("vd_unit").alias("count_unique_sellers_filing_valid_fraud_disputes"),
-                 F.count_distinct("fd_unit").alias("count_unique_sellers_filing_fraud_disputes"),
-                 F.count_distinct("td_unit").alias("count_unique_sellers_filing_disputes"))
-            .withColumn("disputes_per_disputing_seller",
-                        safe_ratio("count_valid_fraud_disputes",
-                                   "count_unique_sellers_filing_valid_fraud_disputes"))
+    month = trunc_date("month", "transaction_date").alias("transaction_month")
+    td = d.where(year_range("transaction_date", p.kpi_year)).select(month, "transaction_token", "unit_token")
+    tokens = td.select("transaction_month", "transaction_token").distinct()
+    fd = d.where(fraud_in_year(p)).select("transaction_token", "unit_token").distinct()
+    vd = d.where(valid_dispute(p)).select("transaction_token", "unit_token").distinct()
+
+    def counted(pairs: DataFrame, key: str, name: str) -> DataFrame:
+        return (pairs.select("transaction_month", key).distinct()
+                .groupBy("transaction_month").agg(F.count(key).alias(name)))
+
+    out = counted(td, "unit_token", "count_unique_sellers_filing_disputes")
+    valid = tokens.join(vd, "transaction_token")
+    for part, key, name in (
+            (valid, "transaction_token", "count_valid_fraud_disputes"),
+            (valid, "unit_token", "count_unique_sellers_filing_valid_fraud_disputes"),
+            (tokens.join(fd, "transaction_token"), "unit_token", "count_unique_sellers_filing_fraud_disputes")):
+        out = (out.join(counted(part, key, name), "transaction_month", "left")
+               .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint"))))
+    sellers = "count_unique_sellers_filing_valid_fraud_disputes"
+    return (out.select("transaction_month", "count_valid_fraud_disputes", sellers,
+                       "count_unique_sellers_filing_fraud_disputes", "count_unique_sellers_filing_disputes",
+                       safe_ratio("count_valid_fraud_disputes", sellers).alias("disputes_per_disputing_seller"))
             .orderBy("transaction_month"))
 
 

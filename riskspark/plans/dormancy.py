@@ -8,6 +8,8 @@ back by reactivated units.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,7 +123,10 @@ def _movement_parts(t: Tables, p: Params) -> tuple[DataFrame, DataFrame]:
                   unit_from_balance_fixed("balance_token").cast(p.unit_key_type).alias("unit_token")))
     se = t["settlement_entry"]
     shifted = add_hours(micros_to_ts("created_us"), p.ledger_hour_shift)
-    ledger = (se.where((shifted < ts_lit(p.movement_cutoff)) & (F.col("is_verification") == F.lit(False)))
+    # the cutoff is shifted instead of the column, so that the scan sees it
+    days = (p.movement_cutoff - dt.date(1970, 1, 1)).days
+    cutoff_us = (days * 24 - p.ledger_hour_shift) * 3_600_000_000
+    ledger = (se.where((F.col("created_us") < cutoff_us) & (F.col("is_verification") == F.lit(False)))
               .select(shifted.alias("latest_dt"),
                       F.col("merchant_token").cast(p.unit_key_type).alias("unit_token")))
     return bb, ledger
@@ -324,25 +329,34 @@ def _build_reactivations(t: Tables, p: Params) -> DataFrame:
                                               "previous_payment_date")
 
 
+def _chargeback_usd(t: Tables, p: Params) -> DataFrame:
+    """Chargebacks per (payment day, user) converted at the chargeback day's
+    rate (0 when no rate).  Cents are summed per (user, both days, currency)
+    before any join, so a user with very many chargebacks is a few rows."""
+    cb = (t["chargeback"].groupBy("user_token", F.to_date("payment_created_at").alias("payment_dt"),
+                                  F.to_date("chargeback_date").alias("_day"), "currency_code")
+          .agg(F.sum("chargeback_cents").alias("_cents")))
+    fx = (t["fx_rate"].where(F.col("counter") == p.fx_counter_currency)
+          .select(F.col("report_date").alias("_fx_date"), F.col("base").alias("_fx_base"),
+                  "rate", "multiplier"))
+    j = cb.join(fx, (F.col("_fx_date") == F.col("_day")) & (F.col("_fx_base") == F.col("currency_code")), "left")
+    usd = F.coalesce(F.col("_cents") * F.col("rate") * F.col("multiplier"), F.lit(0.0))
+    return j.groupBy("payment_dt", "user_token").agg(F.sum(usd).alias("chargebacks_usd"))
+
+
 def chargebacks_fx_daily(t: Tables, p: Params) -> DataFrame:
     """Chargebacks per (payment day, user) converted at the chargeback
     day's rate (0 when no rate).  As in the source, a user's chargebacks are
     counted once per reactivation of that user (its join to the cohort
     multiplies rows), so the multiplicity is applied as a factor."""
-    cb = t["chargeback"]
-    fx = (t["fx_rate"].where(F.col("counter") == p.fx_counter_currency)
-          .select(F.col("report_date").alias("_fx_date"), F.col("base").alias("_fx_base"),
-                  "rate", "multiplier"))
+    cb = _chargeback_usd(t, p)
+    if p.dedupe_reactivation_chargebacks:
+        return cb
     n_react = (reactivations(t, p).groupBy(F.col("unit_token").alias("_r_user"))
                .agg(F.count(F.lit(1)).alias("_n")))
-    j = cb.join(fx, (fx["_fx_date"] == F.to_date(cb["chargeback_date"]))
-                & (fx["_fx_base"] == cb["currency_code"]), "left")
-    if not p.dedupe_reactivation_chargebacks:
-        j = j.join(n_react, cb["user_token"] == n_react["_r_user"], "left")
-    usd = F.coalesce(F.col("chargeback_cents") * F.col("rate") * F.col("multiplier"), F.lit(0.0))
-    times = F.lit(1) if p.dedupe_reactivation_chargebacks else F.coalesce(F.col("_n"), F.lit(1))
-    return (j.groupBy(F.to_date("payment_created_at").alias("payment_dt"), "user_token")
-            .agg(F.sum(usd * times).alias("chargebacks_usd")))
+    j = cb.join(n_react, cb["user_token"] == n_react["_r_user"], "left")
+    return j.select("payment_dt", "user_token",
+                    (F.col("chargebacks_usd") * F.coalesce(F.col("_n"), F.lit(1))).alias("chargebacks_usd"))
 
 
 def reactivation_value(t: Tables, p: Params) -> DataFrame:
@@ -351,39 +365,47 @@ def reactivation_value(t: Tables, p: Params) -> DataFrame:
     overall (each reactivation counts its own later days).
 
     The source joins every reactivation to every later payment day of its
-    unit.  Here each payment day of a reactivated unit carries forward range
-    sums over its own later days (window frames on the day number: days
-    +1..+90, +1..+365, +1..end), read off at the reactivation day: no pairs
-    are emitted, and only units that reactivated are sorted.
+    unit.  Here one pass over each unit's payment days gives every day its
+    gap to the previous card-payment day and the sums over its own later days
+    (days +1..+90, +1..+365, +1..end; the days are ordered latest first, so
+    the open frame only grows).  The reactivation days are then kept and meet
+    the user dimension; a unit's chargebacks are multiplied by its number of
+    reactivations at the end (see ``chargebacks_fx_daily``).
     """
-    r = reactivations(t, p).select("unit_token", "payment_date")
-    month = trunc_date("month", "payment_date").alias("payment_month")
-    units = r.groupBy(month).agg(F.count_distinct("unit_token").alias("units"))
-
-    cb = chargebacks_fx_daily(t, p).select(F.col("user_token").alias("_cb_user"),
-                                           F.col("payment_dt").alias("_cb_day"), "chargebacks_usd")
-    days = (t["daily_payment"].select("unit_token", "payment_date", "gpv_cents")
-            .join(r.select("unit_token").distinct(), "unit_token", "left_semi"))
+    cb = _chargeback_usd(t, p).select(F.col("user_token").alias("_cb_user"),
+                                      F.col("payment_dt").alias("_cb_day"), "chargebacks_usd")
+    days = t["daily_payment"].select("unit_token", "payment_date", "gpv_cents", "card_payment_count")
     days = days.join(cb, (F.col("_cb_user") == F.col("unit_token"))
                      & (F.col("_cb_day") == F.col("payment_date")), "left")
-    w = Window.partitionBy("unit_token").orderBy(F.unix_date("payment_date"))
-    short = w.rangeBetween(1, p.value_horizon_short - 1)
-    long_ = w.rangeBetween(1, p.value_horizon_long - 1)
-    rest = w.rangeBetween(1, Window.unboundedFollowing)
-    ahead = (days.select(
-        "unit_token", "payment_date",
-        F.sum("gpv_cents").over(short).alias("_g_short"),
-        F.sum("gpv_cents").over(long_).alias("_g_long"),
-        F.sum("gpv_cents").over(rest).alias("_g_all"),
-        F.sum("chargebacks_usd").over(long_).alias("_cb_long"),
+    unit = Window.partitionBy("unit_token")
+    latest_first = unit.orderBy((-F.unix_date("payment_date")).asc_nulls_first())
+    near = latest_first.rangeBetween(1 - p.value_horizon_short, -1)
+    year = latest_first.rangeBetween(1 - p.value_horizon_long, -1)
+    rest = latest_first.rangeBetween(Window.unboundedPreceding, -1)
+    positive = F.col("card_payment_count") > 0
+    # the previous card-payment day: the first positive one among the rows
+    # that follow (earlier days); a day listed twice is its own predecessor
+    earlier = latest_first.rowsBetween(1, Window.unboundedFollowing)
+    previous = F.first(F.when(positive, F.col("payment_date")), ignorenulls=True).over(earlier)
+    ahead = days.select(
+        "unit_token", "payment_date", positive.alias("_positive"), previous.alias("_previous"),
+        F.sum("gpv_cents").over(near).alias("_g_short"), F.sum("gpv_cents").over(year).alias("_g_long"),
+        F.sum("gpv_cents").over(rest).alias("_g_all"), F.sum("chargebacks_usd").over(year).alias("_cb_long"),
         F.sum("chargebacks_usd").over(rest).alias("_cb_all"))
-        # a day listed twice carries the same frame values twice
-        .dropDuplicates(["unit_token", "payment_date"]))
-    per_r = r.join(ahead, ["unit_token", "payment_date"])
-    sums = (per_r.groupBy(month)
-            .agg((F.sum("_g_short") / 100).alias("gpv_enabled_90"),
+    r = ahead.where(F.col("_positive") & (F.col("payment_date") <= F.lit(p.reactivation_cohort_end))
+                    & (day_diff("_previous", "payment_date") > p.reactivation_gap))
+    # an inner join, not a semi-join: see _build_reactivations
+    r = r.join(_units(t).select(F.col("user_token").alias("unit_token")), "unit_token")
+    times = F.lit(1) if p.dedupe_reactivation_chargebacks else F.count(F.lit(1)).over(unit)
+    r = r.withColumn("_n", times)
+    per_unit = (r.groupBy(trunc_date("month", "payment_date").alias("payment_month"), "unit_token")
+                .agg(F.sum("_g_short").alias("_g_short"), F.sum("_g_long").alias("_g_long"),
+                     F.sum("_g_all").alias("_g_all"), F.sum(F.col("_cb_long") * F.col("_n")).alias("_cb_long"),
+                     F.sum(F.col("_cb_all") * F.col("_n")).alias("_cb_all")))
+    return (per_unit.groupBy("payment_month")
+            .agg(F.count("unit_token").alias("units"),
+                 (F.sum("_g_short") / 100).alias("gpv_enabled_90"),
                  (F.sum("_g_long") / 100).alias("gpv_enabled_365"),
                  (F.sum("_g_all") / 100).alias("overall_gpv_enabled"),
                  F.sum("_cb_long").alias("cb_enabled_365"),
                  F.sum("_cb_all").alias("total_cb")))
-    return units.join(sums, "payment_month", "left")

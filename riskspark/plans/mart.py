@@ -60,6 +60,10 @@ def payment_risk_mart(t: Tables, p: Params) -> DataFrame:
     enrolled_units = du.join(rm, F.col("merchant_token") == F.col("_rm_merchant"))
     ev = (pre.join(enrolled_units, pre["unit_token"] == enrolled_units["_du_user"])
           .where(F.col("created_at") >= F.col("onboard_date"))
+          # dealt by payment here rather than by the join's unit: the join of
+          # a unit with very many evaluations can be split, and the joins and
+          # the grouping that follow reuse this partitioning
+          .repartition("payment_token")
           .groupBy("payment_token", "unit_token", "merchant_token", "business_name",
                    "business_category", "onboard_date", "state", "offboard_date")
           .agg(_max_risk_level(p).alias("risk_level")))

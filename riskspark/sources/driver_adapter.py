@@ -26,11 +26,12 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 # Fixed values of the synthetic mapping.
 BALANCE_PREFIX = "b-0123456789abc-c-"
 TOKEN_WIDTH = 13
-CALENDAR_START = dt.date(1999, 1, 4)
-CALENDAR_END = dt.date(1999, 12, 26)
+CALENDAR_END = dt.date(2002, 1, 1)  # as_of of Params.for_driver_data(); starts in the week of the first order
 OPEN_END = dt.date(2100, 1, 1)
 LOCK_DATE = dt.date(2000, 1, 1)
 ONBOARD_BASE = dt.date(1996, 1, 1)
+USER_BASE = dt.date(1993, 1, 1)
+FROZEN_BASE = dt.date(2001, 1, 1)
 OFFBOARD_BASE = dt.date(1998, 10, 1)
 LARGE_SEGMENT_CENTS = 25_000_000
 
@@ -77,6 +78,11 @@ def _dim_user(t):
         .alias("is_currently_deactivated"),
         _c("c_name").alias("business_name"),
         _c("c_mktsegment").alias("business_category"),
+        F.date_add(F.lit(USER_BASE), (k % 700).cast("int")).alias("user_created_at_date"),
+        F.when(_c("c_acctbal") < -500, F.date_add(F.lit(FROZEN_BASE), (k % 300).cast("int")))
+        .alias("currently_frozen_at_date"),
+        F.when(_c("c_nationkey") == 4, F.date_add(F.lit(FROZEN_BASE), (k % 200).cast("int")))
+        .alias("currently_deactivated_at_date"),
     )
 
 
@@ -107,7 +113,7 @@ def _ato_merchant(t):
 
 
 def _employee(t):
-    m = _c("l_partkey") % 500
+    m = F.floor(_c("l_partkey") / 4).cast("bigint")  # grows with the parts, and keeps rosters wide
     person = m * 100 + _c("l_orderkey") % (1 + m % 70)
     return (t["lineitem"]
             .select(m.alias("merchant_id"), person.alias("person_id"))
@@ -275,6 +281,18 @@ def _payment(t):
         (k % 43 != 0).alias("auth_success"),
         F.when(k % 3 == 0, "EXTERNAL_API").when(k % 3 == 1, "EXTERNAL_API_ON_FILE")
         .otherwise("SWIPED").alias("entry_method"),
+        (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (k % 50).cast("int"))).alias("auth_intent_created_at"),
+        (_cents(_c("o_totalprice")) + k % 5 * 100).alias("auth_intent_amount"),
+        F.when(k % 4 == 0, "CA").otherwise("US").alias("country_code"),
+        F.when(k % 17 != 0, _text(F.lit("pan-"), (_c("o_custkey") * 7 + k % 3).cast("string"))).alias("pan_token"),
+        _text(F.lit("****"), F.lpad((k % 10000).cast("string"), 4, "0")).alias("pan_masked"),
+        F.when(k % 6 == 0, k % 900).alias("tip_amount_base_unit"),
+        F.when(k % 13 == 0, "insufficient_funds").when(k % 13 == 1, "do_not_honor").alias("decline_reasons"),
+        F.when(k % 9 == 0, "MX").when(k % 9 == 1, None).otherwise("US").alias("bin_country"),
+        F.when(k % 8 == 0, "PREPAID").otherwise("NOT_PREPAID").alias("bin_prepaid_status"),
+        F.when(k % 3 == 0, "VISA").when(k % 3 == 1, "MASTERCARD").otherwise("AMEX").alias("card_brand"),
+        F.when(k % 7 == 0, "AVS_REJECTED").when(k % 7 == 1, None).otherwise("AVS_ACCEPTED").alias("auth_avs_status"),
+        F.when(k % 12 == 0, "CVV_REJECTED").otherwise("CVV_ACCEPTED").alias("auth_cvv_status"),
     )
 
 
@@ -308,8 +326,8 @@ def _merchant_signup(t):
 
 
 def _dim_date(t):
-    days = t.spark.range(1).select(
-        F.explode(F.sequence(F.lit(CALENDAR_START), F.lit(CALENDAR_END))).alias("report_date"))
+    first = t["orders"].agg(F.date_trunc("week", F.min("o_orderdate")).cast("date").alias("first"))
+    days = first.select(F.explode(F.sequence("first", F.lit(CALENDAR_END))).alias("report_date"))
     wb = F.date_trunc("week", _c("report_date")).cast("date")
     return days.select("report_date", wb.alias("week_begin"), F.date_add(wb, 6).alias("week_end"))
 

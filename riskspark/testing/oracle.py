@@ -1,8 +1,8 @@
 """DuckDB versions of the driver-data adapter, used as an independent oracle.
 
 ``RECIPES`` mirrors ``riskspark.sources.driver_adapter`` rule for rule, as
-DuckDB SQL over the driver's tables.  ``with_recipes(sql)`` prepends, as CTEs,
-exactly the logical tables a query mentions (and what they depend on), so
+DuckDB SQL over the driver's tables.  ``compose(sql, relations)`` prepends, as
+CTEs, exactly the relations a query names (and what they depend on), so
 every oracle query is one self-contained statement.
 """
 
@@ -20,17 +20,20 @@ RECIPES: dict[str, str] = {
   cast(case when c_custkey % 13 = 0 then 1 when c_custkey % 13 = 1 then null else 0 end as integer) as is_deleted,
   cast(case when c_acctbal < -500 then 1 else 0 end as integer) as is_currently_frozen,
   cast(case when c_nationkey = 3 then null when c_nationkey = 4 then 1 else 0 end as integer) as is_currently_deactivated,
-  c_name as business_name, c_mktsegment as business_category from customer""",
+  c_name as business_name, c_mktsegment as business_category,
+  (date '1993-01-01' + cast(c_custkey % 700 as integer)) as user_created_at_date,
+  case when c_acctbal < -500 then (date '2001-01-01' + cast(c_custkey % 300 as integer)) end as currently_frozen_at_date,
+  case when c_nationkey = 4 then (date '2001-01-01' + cast(c_custkey % 200 as integer)) end as currently_deactivated_at_date
+  from customer""",
     "audit_log": """select user_id as target_token, rec as created_at,
   case when event_type = 'error' and event_id % 3 <> 0 then concat('note IP 10.0.', user_id, '.', event_id % 250, ' #SuspectLogin x') else 'plain note' end as comment,
   case when event_id % 11 = 0 then 'Watchlist' else 'Other' end as action_name
   from evt where event_type in ('error', 'view')""",
     "fp_login_list": "select distinct user_id as unit_token, concat('10.0.', user_id, '.0') as ip from events where user_id % 10 = 3",
     "ato_merchant": "select user_id as user_token, min(rec) as earliest_confirmed_at from evt where event_type = 'signup' and user_id % 4 = 0 group by user_id",
-    "employee": """select distinct l_partkey % 500 as merchant_id,
-  (l_partkey % 500) * 100 + l_orderkey % (1 + l_partkey % 500 % 70) as person_id,
-  ((l_partkey % 500) * 100 + l_orderkey % (1 + l_partkey % 500 % 70)) % 3 <> 0 as is_active,
-  ((l_partkey % 500) * 100 + l_orderkey % (1 + l_partkey % 500 % 70)) % 5 = 0 as is_authorized_user from lineitem""",
+    "employee": """select distinct merchant_id, person_id, person_id % 3 <> 0 as is_active, person_id % 5 = 0 as is_authorized_user
+  from (select m as merchant_id, m * 100 + l_orderkey % (1 + m % 70) as person_id
+        from (select cast(floor(l_partkey / 4) as bigint) as m, l_orderkey from lineitem) x) y""",
     "credential": "select person_id as person_token, case when merchant_id % 8 = 0 or person_id % 2 = 0 then date '2000-01-01' end as locked_at from employee",
     "daily_payment": """select o_custkey as unit_token, cast(o_orderdate as date) as payment_date,
   count(case when o_orderstatus = 'F' then 1 end) as card_payment_count,
@@ -82,7 +85,20 @@ RECIPES: dict[str, str] = {
   cast(case when o_orderkey % 31 = 0 then 0 else 1 end as integer) as is_gpv,
   cast(case when o_orderkey % 37 = 0 then 0 else 1 end as integer) as has_successful_capture,
   o_orderkey % 43 <> 0 as auth_success,
-  case o_orderkey % 3 when 0 then 'EXTERNAL_API' when 1 then 'EXTERNAL_API_ON_FILE' else 'SWIPED' end as entry_method from orders""",
+  case o_orderkey % 3 when 0 then 'EXTERNAL_API' when 1 then 'EXTERNAL_API_ON_FILE' else 'SWIPED' end as entry_method,
+  o_orderdate - to_hours(cast(o_orderkey % 50 as integer)) as auth_intent_created_at,
+  cast(round(o_totalprice * 100) as bigint) + o_orderkey % 5 * 100 as auth_intent_amount,
+  case when o_orderkey % 4 = 0 then 'CA' else 'US' end as country_code,
+  case when o_orderkey % 17 <> 0 then concat('pan-', o_custkey * 7 + o_orderkey % 3) end as pan_token,
+  concat('****', lpad(concat('', o_orderkey % 10000), 4, '0')) as pan_masked,
+  case when o_orderkey % 6 = 0 then o_orderkey % 900 end as tip_amount_base_unit,
+  case o_orderkey % 13 when 0 then 'insufficient_funds' when 1 then 'do_not_honor' end as decline_reasons,
+  case when o_orderkey % 9 = 0 then 'MX' when o_orderkey % 9 = 1 then null else 'US' end as bin_country,
+  case when o_orderkey % 8 = 0 then 'PREPAID' else 'NOT_PREPAID' end as bin_prepaid_status,
+  case when o_orderkey % 3 = 0 then 'VISA' when o_orderkey % 3 = 1 then 'MASTERCARD' else 'AMEX' end as card_brand,
+  case when o_orderkey % 7 = 0 then 'AVS_REJECTED' when o_orderkey % 7 = 1 then null else 'AVS_ACCEPTED' end as auth_avs_status,
+  case when o_orderkey % 12 = 0 then 'CVV_REJECTED' else 'CVV_ACCEPTED' end as auth_cvv_status
+  from orders""",
     "enrolled_merchant": """select merchant_token, (date '1996-01-01' + cast(merchant_token * 5 % 1000 as integer)) as onboard_date,
   case when cast(floor(merchant_token / 4) as bigint) % 4 >= 2 then (date '1998-10-01' + cast(merchant_token % 400 as integer)) end as offboard_date,
   case cast(floor(merchant_token / 4) as bigint) % 4 when 0 then 'in_trial' when 1 then 'subscribed' when 2 then 'trial_cancelled' else 'churned' end as state
@@ -93,7 +109,7 @@ RECIPES: dict[str, str] = {
   case when cast(floor(o_custkey / 3) as bigint) % 3 <> 0 then o_orderdate end as initially_enrolled_at from orders""",
     "dim_date": """select report_date, cast(date_trunc('week', report_date) as date) as week_begin,
   (cast(date_trunc('week', report_date) as date) + cast(6 as integer)) as week_end
-  from (select cast(unnest(generate_series(date '1999-01-04', date '1999-12-26', interval 1 day)) as date) as report_date) s""",
+  from (select cast(unnest(generate_series(cast(date_trunc('week', (select min(o_orderdate) from orders)) as date), date '2002-01-01', interval 1 day)) as date) as report_date) s""",
     "user_segment": """select user_token, segment, effective_begin, coalesce((nxt + cast(-1 as integer)), date '2100-01-01') as effective_end
   from (select unit_token as user_token, case when gpv_cents > 25000000 then 'Large' else 'Small' end as segment,
   payment_date as effective_begin, lead(payment_date) over (partition by unit_token order by payment_date) as nxt,
@@ -104,25 +120,19 @@ RECIPES: dict[str, str] = {
   rec as recorded_at from evt where event_type = 'view'""",
 }
 
-_NAMES = list(RECIPES)
 
+def compose(sql: str, relations: dict[str, str]) -> str:
+    """Prefix ``sql`` with the relations it names, and those they name, as
+    CTEs in the order of ``relations`` (a relation may name earlier ones)."""
+    def named(text: str) -> set[str]:
+        return {n for n in relations if re.search(rf"\b{n}\b", text)}
 
-def _refs(sql: str) -> set[str]:
-    return {n for n in _NAMES if re.search(rf"\b{n}\b", sql)}
-
-
-def with_recipes(sql: str) -> str:
-    """Prefix ``sql`` with the recipe CTEs it needs (transitively)."""
     need: set[str] = set()
-    todo = list(_refs(sql))
+    todo = list(named(sql))
     while todo:
         n = todo.pop()
-        if n in need:
-            continue
-        need.add(n)
-        todo.extend(_refs(RECIPES[n]) - need - {n})
-    body = sql.strip()
-    ctes = [f"{n} as (\n{RECIPES[n]}\n)" for n in _NAMES if n in need]
-    if body[:4].lower() == "with":
-        return "with " + ",\n".join(ctes + [body[4:].strip()]) if ctes else body
-    return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
+        if n not in need:
+            need.add(n)
+            todo.extend(named(relations[n]) - need)
+    ctes = ",\n".join(f"{n} as (\n{relations[n].strip()}\n)" for n in relations if n in need)
+    return f"with {ctes}\n{sql.strip()}" if ctes else sql.strip()

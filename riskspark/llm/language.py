@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.shared import batch_slices, lower_bytes, split_words, stage, text_bytes
 
 BUCKETS = 1 << 16
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20  # scored at once
+GROUP_BYTES = 12 << 20  # labelled at once: Viterbi steps over many texts in parallel
 SWITCH_PENALTY = 12.0
 #: First code point of each range of letters; a word's ranges narrow its languages.
 SCRIPT_STARTS = np.array([0x0, 0x80, 0x100, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xA00,
@@ -205,10 +206,9 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, penalty: float = SWITCH_PENALT
     return labels
 
 
-def _label_batch(column, model: LanguageModel, penalty: float):
-    """Languages, scores and spans of an Arrow string column."""
-    import pyarrow as pa
-
+def _label_group(column, model: LanguageModel, penalty: float):
+    """Languages, scores and spans (count of each text; start, end, label) of
+    an Arrow string column."""
     raw, starts = text_bytes(column)
     n, k = len(column), len(model.languages)
     scores, sizes, begins, counts = [], [], [], []
@@ -220,29 +220,29 @@ def _label_batch(column, model: LanguageModel, penalty: float):
             continue
         score = np.add.reduceat(model.table[gram], begin)
         fits = np.ones((len(first), k), bool)
-        for s in np.flatnonzero(np.bincount(np.concatenate(
-                [np.flatnonzero(x >> np.arange(len(SCRIPT_STARTS)) & 1) for x in np.unique(bits)]),
-                minlength=len(SCRIPT_STARTS))):
-            fits &= model.scripts[s] | ~(bits >> s & 1).astype(bool)[:, None]
-        none = ~fits.any(1)
-        score = np.where(fits, score, score.min(1, keepdims=True) - 8 * penalty)
-        score[none] = 0
-        scores.append(score.astype(np.float32))
-        sizes.append(lengths)
+        for s in range(len(SCRIPT_STARTS)):
+            uses = (bits >> s & 1).astype(bool)
+            if uses.any():
+                fits[uses] &= model.scripts[s]
+        worst = score.min(1, keepdims=True) - np.float32(8 * penalty)
+        score = np.where(fits, score, worst)
+        score[~fits.any(1)] = 0
+        scores.append(score)
+        sizes.append(lengths.astype(np.int32))
         begins.append(first + starts[lo])
     rows = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
     scores = np.concatenate(scores) if scores else np.zeros((0, k), np.float32)
-    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int32)
     begins = np.concatenate(begins) if begins else np.zeros(0, np.int64)
     labels = viterbi(scores, rows, penalty)
+    del scores
     text_of = np.repeat(np.arange(n), np.diff(rows))
     held = np.bincount(text_of * k + labels, sizes, minlength=n * k).reshape(n, k)
     total = held.sum(1)
-    best = held.argmax(1)
     share = np.divide(held.max(1), total, out=np.zeros(n), where=total > 0)
-    names = np.array(model.languages, object)[best]
+    names = np.array(model.languages, object)[held.argmax(1)]
     # texts without an ASCII letter: is there any letter at all?
-    ascii_letters = np.concatenate([[0], np.cumsum(_LETTER[raw] & (raw < 0x80))])
+    ascii_letters = np.concatenate([[0], np.cumsum(_LETTER[raw] & (raw < 0x80), dtype=np.int32)])
     for i in np.flatnonzero(np.diff(ascii_letters[starts]) == 0):
         text = column[i].as_py()
         if not any(map(str.isalpha, text or "")):
@@ -253,13 +253,23 @@ def _label_batch(column, model: LanguageModel, penalty: float):
     change = np.ones(len(labels), bool)
     change[1:] = (labels[1:] != labels[:-1]) | (text_of[1:] != text_of[:-1])
     span = np.flatnonzero(change)
-    span_end = np.concatenate([span[1:], [len(labels)]]) - 1 if len(span) else span
+    last = np.concatenate([span[1:], [len(labels)]]) - 1 if len(span) else span
+    base = starts[text_of[span]]
+    return names, share, np.bincount(text_of[span], minlength=n), begins[span] - base, begins[last] + sizes[last] - base, labels[span]
+
+
+def _label_batch(column, model: LanguageModel, penalty: float):
+    """Arrow columns: language, score and spans of each text."""
+    import pyarrow as pa
+
+    _, starts = text_bytes(column)
+    parts = [_label_group(column.slice(lo, hi - lo), model, penalty) for lo, hi in batch_slices(starts, GROUP_BYTES)]
+    names, share, counts, start, end, label = (np.concatenate(x) for x in zip(*parts, strict=True))
     spans = pa.ListArray.from_arrays(
-        pa.array(np.searchsorted(text_of[span], np.arange(n + 1)).astype(np.int32)),
-        pa.StructArray.from_arrays([
-            pa.array(begins[span] - starts[text_of[span]]),
-            pa.array(begins[span_end] + sizes[span_end] - starts[text_of[span]]),
-            pa.array(np.array(model.languages, object)[labels[span]], pa.string())], ["start", "end", "lang"]))
+        pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)),
+        pa.StructArray.from_arrays([pa.array(start), pa.array(end),
+                                    pa.array(np.array(model.languages, object)[label], pa.string())],
+                                   ["start", "end", "lang"]))
     return pa.array(names, pa.string()), pa.array(share), spans
 
 

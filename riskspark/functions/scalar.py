@@ -42,9 +42,12 @@ def dormancy_bucket(c: str | Column) -> Column:
     return bucketize(c, P.DORMANCY_LADDER, P.DORMANCY_TOP_LABEL)
 
 
-def headcount_bucket(c: str | Column) -> Column:
-    return bucketize(c, P.HEADCOUNT_LADDER, P.HEADCOUNT_TOP_LABEL, null_is_null=False,
-                     exact_first=(1, P.HEADCOUNT_ONE_LABEL))
+def headcount_bucket(c: str | Column, zero_label: str | None = None) -> Column:
+    """``zero_label`` gives a headcount of 0 a bucket of its own; by default
+    it falls into the first "less than" bucket, as in the source."""
+    bucket = bucketize(c, P.HEADCOUNT_LADDER, P.HEADCOUNT_TOP_LABEL, null_is_null=False,
+                       exact_first=(1, P.HEADCOUNT_ONE_LABEL))
+    return bucket if zero_label is None else F.when(col_(c) == 0, F.lit(zero_label)).otherwise(bucket)
 
 
 def flag(cond: Column) -> Column:

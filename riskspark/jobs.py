@@ -1,15 +1,21 @@
 """Batch jobs: compute a book of reports and persist every report.
 
 ``python -m riskspark.jobs --book dormancy --database reports`` runs one
-source worksheet end to end over the metastore tables named like the logical
-tables (``--driver-data <dir>`` reads the synthetic test tables instead).
-Reports are published with ``sinks.publish`` (new version, then an atomic
-view switch) and/or written as parquet under ``--output``.
+source worksheet end to end, as of today, over the metastore tables named
+like the logical tables.  ``--as-of`` sets another day, ``--params`` names a
+JSON file of ``Params`` fields (dates as ISO text), ``--tables`` a JSON file
+that maps logical to physical table names, and ``--driver-data <dir>`` reads
+the synthetic test tables instead.  Reports are published with
+``sinks.publish`` (new version, then a view switch) and/or written as parquet
+under ``--output``; with both, the files are written from the published table.
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,41 +23,75 @@ from .params import Params
 from .plans.books import BOOKS
 from .session import apply_cluster_defaults, ensure_checkpoint_dir
 from .sinks import publish, write_parquet
-from .sources.catalog import Tables
+from .sources.catalog import LOGICAL_TABLES, Tables
 
 
 def run_book(t: Tables, p: Params, book: str, database: str | None = None,
-             base_path: str | None = None) -> dict[str, DataFrame]:
+             base_path: str | None = None, stage_root: str | None = None) -> dict[str, DataFrame]:
     """Compute ``book`` and persist each report as ``<database>.<report>``
-    (published view) and/or ``<base_path>/<report>`` (parquet)."""
-    reports = BOOKS[book](t, p)
-    for name, df in reports.items():
-        if database:
-            publish(df, f"{database}.{name}")
-        if base_path:
-            write_parquet(df, f"{base_path.rstrip('/')}/{name}")
-    return reports
+    (published view) and/or ``<base_path>/<report>`` (parquet).  The shared
+    intermediates are dropped at the end; the returned frames read what was
+    persisted."""
+    if not (database or base_path):
+        raise ValueError("name a database or an output path")
+    out = {}
+    try:
+        for name, df in BOOKS[book](t, p, stage_root).items():
+            if database:
+                df = publish(df, f"{database}.{name}")
+            if base_path:
+                path = f"{base_path.rstrip('/')}/{name}"
+                write_parquet(df, path)
+                df = df if database else t.spark.read.parquet(path)
+            out[name] = df
+    finally:
+        t.drop_stages()
+    return out
 
 
-def main(argv: list[str] | None = None) -> None:
+def job_params(as_of: dt.date, overrides: dict | None = None, base: Params | None = None) -> Params:
+    """``base`` (the production defaults) as of a day, with fields replaced.
+    Movements are counted up to that day unless ``movement_cutoff`` is given."""
+    base = base or Params()
+    fields = {f.name: getattr(base, f.name) for f in dataclasses.fields(base)}
+    changed = {"as_of": as_of, "movement_cutoff": as_of}
+    for name, value in (overrides or {}).items():
+        if name not in fields:
+            raise ValueError(f"{name} is not a parameter")
+        if isinstance(fields[name], dt.date):
+            value = dt.date.fromisoformat(value)
+        elif isinstance(fields[name], tuple):
+            value = tuple(value)
+        changed[name] = value
+    return dataclasses.replace(base, **changed)
+
+
+def main(argv: list[str] | None = None) -> dict[str, DataFrame]:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--book", choices=sorted(BOOKS), required=True)
+    ap.add_argument("--as-of", type=dt.date.fromisoformat, help="day of the analysis (default: today)")
+    ap.add_argument("--params", help="JSON file of parameter values")
+    ap.add_argument("--tables", help="JSON file: logical table -> physical table")
     ap.add_argument("--driver-data", help="directory of the driver's parquet tables")
     ap.add_argument("--database", help="publish each report as <database>.<report>")
     ap.add_argument("--output", help="write each report as parquet under this path")
+    ap.add_argument("--stage", help="shared folder for intermediates (default: spark.checkpoint.dir)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     apply_cluster_defaults(spark)
     ensure_checkpoint_dir(spark)
+    overrides = json.load(open(args.params)) if args.params else {}
     if args.driver_data:
         from .sources.driver_adapter import driver_tables
-        t, p = driver_tables(spark, args.driver_data, fresh=True), Params.for_driver_data()
+        t, base = driver_tables(spark, args.driver_data, fresh=True), Params.for_driver_data()
+        p = job_params(args.as_of or base.as_of, overrides, base)
     else:
-        from .sources.catalog import LOGICAL_TABLES
-        t, p = Tables.from_names(spark, {n: n for n in LOGICAL_TABLES}), Params()
+        names = {n: n for n in LOGICAL_TABLES} | (json.load(open(args.tables)) if args.tables else {})
+        t = Tables.from_names(spark, names)
+        p = job_params(args.as_of or dt.date.today(), overrides)
     if args.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
-    run_book(t, p, args.book, args.database, args.output)
+    return run_book(t, p, args.book, args.database, args.output, args.stage)
 
 
 if __name__ == "__main__":

@@ -91,6 +91,10 @@ class Params:
     precision_cutoff: dt.date = D(2022, 7, 1)
     match_days: int = 30
 
+    # bucket of a merchant without people (None: the first "less than"
+    # bucket, as in the source)
+    headcount_zero_label: str | None = None
+
     # type of unit / merchant ids after extraction from balance tokens
     unit_key_type: str = "string"
 

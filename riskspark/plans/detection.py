@@ -171,7 +171,7 @@ def headcount_buckets(t: Tables, p: Params) -> DataFrame:
     """Merchants per headcount bucket, and how many of them are fully
     locked."""
     m = headcount_profile(t, p)
-    return (m.groupBy(headcount_bucket("total_persons").alias("total_person_buckets"))
+    return (m.groupBy(headcount_bucket("total_persons", p.headcount_zero_label).alias("total_person_buckets"))
             .agg(F.count("merchant_id").alias("merchants"),
                  F.count(F.when(F.col("is_locked") == 1, F.col("merchant_id"))).alias("locked_merchants")))
 

@@ -145,6 +145,10 @@ def movement_latest(t: Tables, p: Params) -> DataFrame:
     """Latest non-payment money movement per unit (one partially
     aggregated shuffle; the per-source de-duplication is redundant under
     ``max``)."""
+    return t.derived("movement_latest", p, lambda: _build_movement_latest(t, p))
+
+
+def _build_movement_latest(t: Tables, p: Params) -> DataFrame:
     bb, ledger = _movement_parts(t, p)
     return (bb.unionByName(ledger).groupBy("unit_token")
             .agg(F.max("latest_dt").alias("latest_dt")))
@@ -171,6 +175,10 @@ def last_activity(t: Tables, p: Params) -> DataFrame:
     single partially-aggregated shuffle on the merchant token.  The same
     plan runs incrementally in ``riskspark.streaming``.
     """
+    return t.derived("last_activity", p, lambda: _build_last_activity(t))
+
+
+def _build_last_activity(t: Tables) -> DataFrame:
     return latest_activity(activity_events(t["login_event"], t["page_click"], t["mobile_click"],
                                            t["legacy_activity"]))
 
@@ -378,15 +386,16 @@ def reactivation_value(t: Tables, p: Params) -> DataFrame:
     days = days.join(cb, (F.col("_cb_user") == F.col("unit_token"))
                      & (F.col("_cb_day") == F.col("payment_date")), "left")
     unit = Window.partitionBy("unit_token")
-    latest_first = unit.orderBy((-F.unix_date("payment_date")).asc_nulls_first())
+    # rows without a day come last, outside every frame of later days
+    latest_first = unit.orderBy((-F.unix_date("payment_date")).asc_nulls_last())
     near = latest_first.rangeBetween(1 - p.value_horizon_short, -1)
     year = latest_first.rangeBetween(1 - p.value_horizon_long, -1)
     rest = latest_first.rangeBetween(Window.unboundedPreceding, -1)
     positive = F.col("card_payment_count") > 0
-    # the previous card-payment day: the first positive one among the rows
-    # that follow (earlier days); a day listed twice is its own predecessor
-    earlier = latest_first.rowsBetween(1, Window.unboundedFollowing)
-    previous = F.first(F.when(positive, F.col("payment_date")), ignorenulls=True).over(earlier)
+    # the previous card-payment day; this frame grows too, in date order
+    before = (unit.orderBy(F.col("payment_date").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    previous = F.last(F.when(positive, F.col("payment_date")), ignorenulls=True).over(before)
     ahead = days.select(
         "unit_token", "payment_date", positive.alias("_positive"), previous.alias("_previous"),
         F.sum("gpv_cents").over(near).alias("_g_short"), F.sum("gpv_cents").over(year).alias("_g_long"),

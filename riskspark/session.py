@@ -77,6 +77,26 @@ def apply_cluster_defaults(spark: SparkSession) -> dict[str, str]:
     return applied
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # Spark Connect: no SparkContext here; a server is not this machine
+        return False
+
+
+def shared_path(spark: SparkSession, path: str) -> str:
+    """``path`` if all executors can see it: on a cluster neither a ``file:``
+    path nor one that the default file system resolves to the local disk is
+    accepted."""
+    if not _is_local(spark):
+        scheme = path.split(":", 1)[0] if ":" in path else None
+        if scheme is None:
+            scheme = (spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:").split(":", 1)[0]
+        if scheme == "file":
+            raise RuntimeError(f"{path} is on each machine's own disk; name a folder in shared storage")
+    return path.rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint directory (``spark.checkpoint.dir``), which
     on a cluster must be shared storage set by the platform.  Never invents
@@ -85,6 +105,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
                            "(local_session() sets a scratch folder for tests)")
+    shared_path(spark, current)
     try:
         spark.sparkContext.setCheckpointDir(current)
     except Exception:  # Spark Connect: no SparkContext; the server applies the setting

@@ -8,6 +8,7 @@ driver-data adapter), so an analysis only ever plans the scans it needs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ class Tables:
         self._frames: dict[str, DataFrame] = dict(frames or {})
         self._builders = dict(builders or {})
         self._derived: dict = {}
+        self._stages: list[str] = []
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -55,15 +57,31 @@ class Tables:
             self._derived[k] = build()
         return self._derived[k]
 
-    def materialize(self, name: str, key, build: Callable[[], DataFrame]) -> DataFrame:
-        """Compute an intermediate once and cut its lineage with a reliable
-        checkpoint in the session's checkpoint directory (shared storage on a
-        cluster, so it survives the loss of executors)."""
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(self.spark)
-        df = self.derived(name, key, build).checkpoint(eager=True)
-        self._derived[("derived", name, key)] = df
-        return df
+    def materialize(self, name: str, key, build: Callable[[], DataFrame],
+                    stage_root: str | None = None) -> DataFrame:
+        """Compute an intermediate once as a Parquet table under
+        ``stage_root`` (default: the session's checkpoint directory; shared
+        storage on a cluster, so it survives the loss of executors).  Later
+        readers prune its columns and push their filters into it.
+        ``drop_stages`` removes it."""
+        from ..session import ensure_checkpoint_dir, shared_path
+        root = shared_path(self.spark, stage_root) if stage_root else ensure_checkpoint_dir(self.spark)
+        df = self.derived(name, key, build)
+        path = f"{root}/stage-{name}-{uuid.uuid4().hex}"
+        self._stages.append(path)
+        df.write.parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._derived[("derived", name, key)] = staged
+        return staged
+
+    def drop_stages(self) -> None:
+        """Delete the tables ``materialize`` wrote and forget what was
+        derived, so that later analyses do not read them."""
+        from ..sinks import delete_path
+        for path in self._stages:
+            delete_path(self.spark, path)
+        self._stages.clear()
+        self._derived.clear()
 
     def with_tables(self, **frames: DataFrame) -> "Tables":
         """A copy of this catalog with some logical tables replaced."""

@@ -24,16 +24,18 @@ SOURCES = ("login_event", "page_click", "mobile_click", "legacy_activity")
 def start_last_activity(spark: SparkSession, paths: Mapping[str, str],
                         schemas: Mapping[str, StructType], checkpoint_location: str,
                         sink_path: str | None = None, query_name: str = "last_activity",
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, in_memory: bool = False) -> StreamingQuery:
     """Run C11 over parquet directories that receive new files.
 
     With ``sink_path``: ``update`` mode, and each micro-batch appends the
     merchants whose latest activity changed to a parquet change log
     (partitioned by batch).  A retried batch only re-appends the same
     maxima, so ``read_last_activity`` (max per merchant over the log) stays
-    exact.  Without it, results go to an in-memory table ``query_name``
-    (tests and notebooks).
+    exact.  With ``in_memory`` instead, the whole result is kept in the
+    driver as table ``query_name`` (tests and notebooks only).
     """
+    if not (sink_path or in_memory):
+        raise ValueError("name a sink_path; in_memory=True keeps the whole result in the driver")
     streams = [spark.readStream.schema(schemas[s]).parquet(paths[s]) for s in SOURCES]
     agg = latest_activity(activity_events(*streams))
     if sink_path:

@@ -14,7 +14,8 @@ T = dt.datetime
 P0 = Params()
 # the fixtures' payment table has the driver-data columns only
 MART = dict(mart_auth_time="recognized_at",
-            mart_payment_attributes=Params.for_driver_data().mart_payment_attributes)
+            mart_payment_attributes=("currency_code", "amount_base_unit", "is_refunded", "is_gpv",
+                                     "entry_method", "auth_success"))
 
 
 def _df(spark, rows, ddl):
@@ -53,9 +54,9 @@ def test_gap_history_keeps_units_without_positive_days(spark):
 
 def _detection_tables(spark, confirmed_at):
     log = _df(spark, [
-        (1, T(2000, 3, 1, 9), "x IP 1.2.3.4 #SketchyLogin y", "Other"),
-        (2, T(2000, 3, 1, 9), "plain", "Ato::Watchlist"),
-        (2, T(1999, 3, 1, 9), "plain", "Ato::Watchlist"),
+        (1, T(2000, 3, 1, 9), f"x IP 1.2.3.4 {P0.suspect_comment_pattern.strip('%').upper()} y", "Other"),
+        (2, T(2000, 3, 1, 9), "plain", P0.suspect_action),
+        (2, T(1999, 3, 1, 9), "plain", P0.suspect_action),
     ], "target_token bigint, created_at timestamp_ntz, comment string, action_name string")
     fp = _df(spark, [(2, "9.9.9.9")], "unit_token bigint, ip string")
     ato = _df(spark, [(1, confirmed_at), (2, T(2000, 3, 2))],

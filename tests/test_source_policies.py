@@ -4,7 +4,7 @@ import pathlib
 import re
 
 ROOT = pathlib.Path(__file__).resolve().parents[1] / "riskspark"
-LIBRARY = [p for p in ROOT.rglob("*.py") if "testing" not in p.parts]
+LIBRARY = [p for p in ROOT.rglob("*.py") if "testing" not in p.parts and "llm" not in p.parts]
 
 
 def _hits(pattern: str) -> list[str]:

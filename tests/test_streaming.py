@@ -19,7 +19,7 @@ def test_streaming_last_activity_equals_batch(spark):
         paths[s] = f"{root}/{s}"
         df.write.mode("overwrite").parquet(paths[s])
         schemas[s] = df.schema
-    q = start_last_activity(spark, paths, schemas, f"{root}/_checkpoint", query_name="rs_last_activity")
+    q = start_last_activity(spark, paths, schemas, f"{root}/_checkpoint", query_name="rs_last_activity", in_memory=True)
     q.awaitTermination(120)
     got = sorted(map(tuple, spark.table("rs_last_activity").collect()))
     want = sorted(map(tuple, dormancy.last_activity(t, E.PARAMS).collect()))

@@ -24,13 +24,15 @@ set, and the set without each one element); ``allocate`` chooses by the
 expected number of signatures and of chance meetings.
 
 Candidates.  Sets with a common signature meet in one of many buckets.
-Small meetings give pairs; large ones give a star around one member, so no
-group of copies becomes all pairs.  Candidates are verified exactly on their
-texts.  What a star leaves open is closed afterwards: within a meeting, only
-pairs that are still in different components and that the triangle inequality
-of the Jaccard distance does not exclude are verified in a second round.
-Signatures that are common already within a batch are reduced to a star there,
-before the shuffle.
+Small meetings give pairs; larger ones give stars around a few members, so
+no group of copies becomes all pairs.  A pair must pass a parity sketch (the bits
+in which two sketches differ never outnumber the elements in which the sets
+do, so nothing that links is lost) and is then verified exactly on its texts.
+What a star leaves open is closed afterwards, in rounds: members of a meeting
+that are still in different components are compared by their sketches, block
+by block, and the nearest pairs that pass and were not verified yet are
+verified, until none is left.  Signatures that are common already
+within a batch are reduced to a star there, before the shuffle.
 
 Defined results: null, empty and blank texts have no shingles and link with
 nothing; texts of fewer than ``width`` words have one, the whole sequence;
@@ -57,11 +59,16 @@ from riskspark.llm.shared import (batch_slices, hash_words, join_checked, lower_
 SLICE_BYTES = 2 << 20
 BAND_RATIO = 4
 SEGMENT_SLACK = 1.5  # segments of a band, times H + 1: the surplus may be skipped
-COMMON_SHARE = 0.001  # of all documents that hold a shingle, for it to be common
+COMMON_SHARE = 0.0001  # of all documents that hold a shingle, for it to be common
+COMMON_LEAST = 8  # documents that hold it, at least
 CHANCE_COST = 100.0  # rows that a signature of common shingles only is expected to meet
-PAIRS_UPTO = 4  # meetings of up to so many sets give all their pairs
+PAIRS_UPTO = 6  # meetings of up to so many sets give all their pairs
 STAR_IN_BATCH = 64  # signatures of so many sets in one batch are reduced there
-ENTRIES_A_BUCKET = 1_500_000
+ENTRIES_A_BUCKET = 500_000
+GROUP_BYTES = 8 << 20  # text whose entries are dealt at once
+BLOCK = 512  # members of a meeting compared at once
+NEAREST = 128  # pairs that a member offers to each other component in a round
+CENTERS = 3  # of a star: more of them leave fewer members to the rounds
 
 
 @dataclass(frozen=True)
@@ -130,9 +137,9 @@ def shingle_sets(raw: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nd
     at = np.arange(bounds[-1]) - np.repeat(bounds[:-1], made) + np.repeat(rows[:-1], made)
     length = np.repeat(np.minimum(count, width), made)
     value = length.astype(np.uint64)
-    for k in range(width):
+    for k in range(width if len(words) else 0):
         inside = k < length
-        value = value + np.where(inside, words[np.where(inside, at + k, 0)] if len(words) else 0, 0) * _WEIGHTS[k]
+        value = value + np.where(inside, words[np.where(inside, at + k, 0)], np.uint64(0)) * _WEIGHTS[k]
     value = mix64(value)
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         value[lo:hi].sort()
@@ -154,6 +161,40 @@ def set_digests(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.maximum(mix64(_sum_rows(mix64(values ^ np.uint64(0x5E7)), bounds) + n), np.uint64(1))
 
 
+def parity_sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Of each set, the parity of its elements in each of b places; b is the
+    power of two (64 at least) that holds four times the set's size.  Half a sketch
+    xor the other half is the sketch in b / 2 places."""
+    n = np.diff(bounds)
+    size = np.maximum(64, 4 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    base = np.concatenate([[0], np.cumsum(size)])
+    owner = np.repeat(np.arange(len(n)), n)
+    place = (mix64(values + np.uint64(0x51AE)) & (size[owner] - 1).astype(np.uint64)).astype(np.int64)
+    bits = (np.bincount(base[owner] + place, minlength=base[-1]) & 1).astype(bool)
+    packed, at = np.packbits(bits, bitorder="little").tobytes(), (base // 8).tolist()
+    return [packed[lo:hi] for lo, hi in zip(at[:-1], at[1:], strict=True)]
+
+
+def _words_of(sketches) -> np.ndarray:
+    """Sketches of one size as a matrix of 64-bit words."""
+    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+
+
+def _halved(words: np.ndarray) -> np.ndarray:
+    half = words.shape[1] // 2
+    return words[:, :half] ^ words[:, half:]
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """A lower bound of the number of elements in which two sets differ."""
+    x, y = _words_of([one]), _words_of([two])
+    while x.shape[1] > y.shape[1]:
+        x = _halved(x)
+    while y.shape[1] > x.shape[1]:
+        y = _halved(y)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets_of(column, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     raw, starts = text_bytes(column)
     for lo, hi in batch_slices(starts, SLICE_BYTES):
@@ -161,18 +202,18 @@ def _sets_of(column, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 
 def describe_sets(docs: DataFrame, width: int) -> DataFrame:
-    """A stage of two kinds of rows: of each document (k, doc_id, n, class),
-    and of each shingle that is frequent in a batch (shingle, texts)."""
+    """A stage of two kinds of rows: of each document (k, doc_id, n, class,
+    sketch), and of each shingle that is frequent in a batch (shingle, texts)."""
     def describe(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            sizes, digests, all_values, all_bounds = [], [], [], [0]
+            sizes, digests, all_values, sketches = [], [], [], []
             for _, _, values, bounds in _sets_of(batch.column("text"), width):
                 sizes.append(np.diff(bounds))
                 digests.append(set_digests(values, bounds))
                 all_values.append(values)
-                all_bounds.extend((bounds[1:] + all_bounds[-1]).tolist())
+                sketches += parity_sketches(values, bounds)
             if not sizes:
                 continue
             n, cls = np.concatenate(sizes), np.concatenate(digests)
@@ -183,18 +224,19 @@ def describe_sets(docs: DataFrame, width: int) -> DataFrame:
             values = np.sort(np.concatenate(all_values)[np.repeat(chosen, n)])
             new = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
             held = np.diff(np.concatenate([new, [len(values)]]))
-            often = held >= max(4, 2 * COMMON_SHARE * len(one))
+            often = held >= max(3, 2 * COMMON_SHARE * len(one))
             kinds, texts = values[new][often], held[often]
             rows, none = len(n), pa.nulls(len(kinds), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.ones(rows, bool), np.zeros(len(kinds), bool)])),
                  pa.concat_arrays([batch.column("k"), none]), pa.concat_arrays([batch.column("doc_id"), none]),
                  pa.array(np.concatenate([n, texts]).astype(np.int64)),
-                 pa.array(np.concatenate([cls, kinds]).view(np.int64))],
-                ["is_doc", "k", "doc_id", "n", "code"])
+                 pa.array(np.concatenate([cls, kinds]).view(np.int64)),
+                 pa.array(sketches + [None] * len(kinds), pa.binary())],
+                ["is_doc", "k", "doc_id", "n", "code", "sketch"])
 
     return stage(docs.select("k", "doc_id", "text").mapInArrow(
-        describe, "is_doc boolean, k long, doc_id long, n long, code long"), "ngram-sets")
+        describe, "is_doc boolean, k long, doc_id long, n long, code long, sketch binary"), "ngram-sets")
 
 
 # ------------------------------------------------------- signatures
@@ -265,9 +307,9 @@ def signatures(values: np.ndarray, bounds: np.ndarray, common: np.ndarray, bands
 # ------------------------------------------------------- candidates
 
 ENTRY = np.dtype([("sig", "<u8"), ("cls", "<u8"), ("n", "<i4")])
-_KIND_ENTRY, _KIND_PAIR, _KIND_MEMBER = 0, 1, 2
 PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
-MEMBER = np.dtype([("sig", "<u8"), ("center", "<u8"), ("cls", "<u8"), ("n", "<i4")])
+MEMBER = np.dtype([("sig", "<u8"), ("cls", "<u8"), ("n", "<i4")])
+_ENTRIES, _PAIRS, _MEMBERS = 0, 1, 2
 
 
 def _sorted_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,22 +323,6 @@ def _sorted_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entries, np.concatenate([first, [len(entries)]]).astype(np.int64)
 
 
-def stars(entries: np.ndarray, runs: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs and members of the large meetings ``runs``: each is a star
-    around the member that is in most of them here."""
-    lengths = bounds[runs + 1] - bounds[runs]
-    run_of = np.repeat(np.arange(len(runs)), lengths)
-    begin = np.concatenate([[0], np.cumsum(lengths)])
-    place = np.arange(begin[-1]) - begin[run_of] + bounds[runs][run_of]
-    own = entries[place]
-    _, at, often = np.unique(own["cls"], return_inverse=True, return_counts=True)
-    order = np.lexsort((own["cls"], -often[at], run_of))
-    center = own["cls"][order[begin[:-1]]]
-    members = np.empty(len(own), MEMBER)
-    members["sig"], members["center"], members["cls"], members["n"] = own["sig"], center[run_of], own["cls"], own["n"]
-    return pairs_of(members["center"], members["cls"]), members
-
-
 def pairs_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distinct unordered pairs."""
     other = a != b
@@ -305,128 +331,175 @@ def pairs_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(pairs)
 
 
+def stars(entries: np.ndarray, bounds: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and members of the meetings ``runs`` of sorted entries.  A star's
+    centres are the members that are in most of them: of near copies, mostly
+    the original.  Meetings of the same sets are told once."""
+    place, owner = _elements(bounds, runs)
+    own = entries[place]
+    begin = np.concatenate([[0], np.cumsum(np.diff(bounds)[runs])]).astype(np.int64)
+    _, at, often = np.unique(own["cls"], return_inverse=True, return_counts=True)
+    ranked = own["cls"][np.lexsort((own["cls"], -often[at], owner))]
+    pairs = np.unique(np.concatenate([
+        pairs_of(ranked[np.minimum(begin[:-1] + k, begin[1:] - 1)][owner], own["cls"]) for k in range(CENTERS)]))
+    _, once = np.unique(_sum_rows(mix64(own["cls"]), begin), return_index=True)
+    place, _ = _elements(begin, once)
+    members = np.empty(len(place), MEMBER)
+    for name in MEMBER.names:
+        members[name] = own[name][place]
+    return pairs, members
+
+
 def meet(entries: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs to verify and members of stars, from the entries of a bucket."""
+    """Pairs to verify and members of larger meetings, from a bucket's entries."""
     entries, bounds = _sorted_entries(entries)
     lengths = np.diff(bounds)
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for size in range(2, PAIRS_UPTO + 1):
-        at = bounds[:-1][lengths == size][:, None]
-        if len(at):
-            i, j = np.triu_indices(size, 1)
-            left.append((at + i).ravel())
-            right.append((at + j).ravel())
-    pairs = np.zeros(0, PAIR)
-    if left:
-        a, b = np.concatenate(left), np.concatenate(right)
-        small, large = np.minimum(entries["n"][a], entries["n"][b]), np.maximum(entries["n"][a], entries["n"][b])
-        fits = small.astype(np.int64) * t.den >= large.astype(np.int64) * t.num
-        pairs = pairs_of(entries["cls"][a[fits]], entries["cls"][b[fits]])
-    large = np.flatnonzero(lengths > PAIRS_UPTO)
-    if not len(large):
-        return pairs, np.zeros(0, MEMBER)
-    more, members = stars(entries, large, bounds)
+        at, (i, j) = bounds[:-1][lengths == size][:, None], np.triu_indices(size, 1)
+        left.append((at + i).ravel())
+        right.append((at + j).ravel())
+    a, b = np.concatenate(left), np.concatenate(right)
+    small = np.minimum(entries["n"][a], entries["n"][b]).astype(np.int64)
+    large = np.maximum(entries["n"][a], entries["n"][b]).astype(np.int64)
+    fits = small * t.den >= large * t.num
+    pairs = pairs_of(entries["cls"][a[fits]], entries["cls"][b[fits]])
+    more, members = stars(entries, bounds, np.flatnonzero(lengths > PAIRS_UPTO))
     return np.unique(np.concatenate([pairs, more])), members
 
 
+def _packed(entries: np.ndarray) -> list[bytes]:
+    """Entries as columns, a class and its size once for its run of signatures."""
+    new = np.flatnonzero(np.concatenate([[True], entries["cls"][1:] != entries["cls"][:-1]]))
+    run = np.diff(np.concatenate([new, [len(entries)]])).astype("<i4")
+    return [entries["sig"].tobytes(), entries["cls"][new].tobytes(), entries["n"][new].tobytes(), run.tobytes()]
+
+
+def _unpacked(sig: bytes, cls: bytes, n: bytes, run: bytes) -> np.ndarray:
+    entries, run = np.empty(len(sig) // 8, ENTRY), np.frombuffer(run, "<i4")
+    entries["sig"] = np.frombuffer(sig, "<u8")
+    entries["cls"], entries["n"] = np.repeat(np.frombuffer(cls, "<u8"), run), np.repeat(np.frombuffer(n, "<i4"), run)
+    return entries
+
+
+def _dealt(rows: np.ndarray, key: np.ndarray, buckets: int, kind: int) -> list[tuple]:
+    bucket = (key % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    rows, edge = rows[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    parts = ((i, rows[edge[i]:edge[i + 1]]) for i in range(buckets) if edge[i] < edge[i + 1])
+    return [(i, kind, *(_packed(x) if kind == _ENTRIES else [x.tobytes(), b"", b"", b""])) for i, x in parts]
+
+
 def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets: int, width: int,
                t: Threshold) -> DataFrame:
-    """A stage of pairs (a, b) and of members of stars (sig, center, b, n)."""
+    """A stage of pairs (a, b) and of members of larger meetings (sig, b, n)."""
     wire = docs.sparkSession.sparkContext.broadcast(common)  # at most mean set size / COMMON_SHARE
 
+    def entries_of(column, seen: set) -> np.ndarray:
+        parts = [np.zeros(0, ENTRY)]
+        for _, _, values, bounds in _sets_of(column, width):
+            cls, n = set_digests(values, bounds), np.diff(bounds)
+            fresh = np.zeros(len(cls), bool)
+            for i, c in enumerate(cls.tolist()):  # copies within a batch emit once
+                if c not in seen and n[i]:
+                    seen.add(c)
+                    fresh[i] = True
+            values, n, cls = values[np.repeat(fresh, n)], n[fresh], cls[fresh]
+            bounds = np.concatenate([[0], np.cumsum(n)])
+            known = wire.value
+            at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+            usual = known[at] == values if len(known) else np.zeros(len(values), bool)
+            which, signature = signatures(values, bounds, usual, bands, t)
+            part = np.empty(len(which), ENTRY)
+            part["sig"], part["cls"], part["n"] = signature, cls[which], n[which]
+            parts.append(part[np.argsort(which, kind="stable")])
+        return np.concatenate(parts)
+
     def emit(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            parts, seen = [], set()
-            for _, _, values, bounds in _sets_of(batch.column("text"), width):
-                cls, n = set_digests(values, bounds), np.diff(bounds)
-                fresh = np.zeros(len(cls), bool)
-                for i, c in enumerate(cls.tolist()):  # copies within a batch emit once
-                    if c not in seen and n[i]:
-                        seen.add(c)
-                        fresh[i] = True
-                keep = np.repeat(fresh, n)
-                values, n, cls = values[keep], n[fresh], cls[fresh]
-                bounds = np.concatenate([[0], np.cumsum(n)])
-                known = wire.value
-                at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
-                usual = known[at] == values if len(known) else np.zeros(len(values), bool)
-                which, signature = signatures(values, bounds, usual, bands, t)
-                part = np.empty(len(which), ENTRY)
-                part["sig"], part["cls"], part["n"] = signature, cls[which], n[which]
-                parts.append(part)
-            entries = np.concatenate(parts) if parts else np.zeros(0, ENTRY)
-            out: list[tuple[int, int, bytes]] = []
-            # signatures of many sets of this batch go on as one, their star's centre
-            entries, runs = _sorted_entries(entries)
-            hot = np.flatnonzero(np.diff(runs) >= STAR_IN_BATCH)
-            if len(hot):
-                pairs, members = stars(entries, hot, runs)
-                for kind, rows, key in ((_KIND_PAIR, pairs, pairs["a"]), (_KIND_MEMBER, members, members["sig"])):
-                    out += _dealt(rows, key, buckets, kind)
-                inside = np.repeat(np.diff(runs) >= STAR_IN_BATCH, np.diff(runs))
-                centre = np.zeros(len(entries), bool)
-                centre[np.flatnonzero(inside)] = members["cls"] == members["center"]
-                entries = entries[~inside | centre]
-            out += _dealt(entries, entries["sig"], buckets, _KIND_ENTRY)
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
-                     pa.array([x[2] for x in out], pa.binary())], ["bucket", "kind", "rows"])
+            column, seen = batch.column("text"), set()
+            for lo, hi in batch_slices(text_bytes(column)[1], GROUP_BYTES):
+                entries = entries_of(column.slice(lo, hi - lo), seen)
+                out: list[tuple] = []
+                # signatures of many sets here go on as one, their star's centre
+                ordered = np.sort(entries["sig"])
+                often = np.unique(ordered[STAR_IN_BATCH - 1:][ordered[STAR_IN_BATCH - 1:] == ordered[:1 - STAR_IN_BATCH]])
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, entries["sig"]), len(often) - 1)
+                    hot = often[at] == entries["sig"]
+                    crowd, bounds = _sorted_entries(entries[hot])
+                    pairs, members = stars(crowd, bounds, np.arange(len(bounds) - 1))
+                    out += _dealt(pairs, pairs["a"], buckets, _PAIRS)
+                    out += _dealt(members, members["sig"], buckets, _MEMBERS)
+                    entries = np.concatenate([entries[~hot], crowd[bounds[:-1]]])
+                out += _dealt(entries, entries["sig"], buckets, _ENTRIES)
+                if out:
+                    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)],
+                        ["bucket", "kind", "sig", "cls", "n", "run"])
 
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        def rows(kind: int, dtype: np.dtype) -> np.ndarray:
-            return np.frombuffer(b"".join(pdf["rows"][pdf["kind"] == kind]), dtype)
-
-        pairs, members = meet(rows(_KIND_ENTRY, ENTRY), t)
-        pairs = np.unique(np.concatenate([pairs, rows(_KIND_PAIR, PAIR)]))
-        members = np.concatenate([members, rows(_KIND_MEMBER, MEMBER)])
-        size = len(pairs) + len(members)
+        own = {kind: pdf[pdf["kind"] == kind] for kind in (_ENTRIES, _PAIRS, _MEMBERS)}
+        entries = [_unpacked(*x) for x in own[_ENTRIES][["sig", "cls", "n", "run"]].itertuples(index=False)]
+        pairs, members = meet(np.concatenate([np.zeros(0, ENTRY), *entries]), t)
+        pairs = np.unique(np.concatenate([pairs, np.frombuffer(b"".join(own[_PAIRS]["sig"]), PAIR)]))
+        members = np.concatenate([members, np.frombuffer(b"".join(own[_MEMBERS]["sig"]), MEMBER)])
+        k, size = len(pairs), len(pairs) + len(members)
         sig, a, b, n = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, int)
-        k = len(pairs)
         a[:k], b[:k] = pairs["a"], pairs["b"]
-        sig[k:], a[k:], b[k:], n[k:] = members["sig"], members["center"], members["cls"], members["n"]
+        sig[k:], b[k:], n[k:] = members["sig"], members["cls"], members["n"]
         return pd.DataFrame({"is_pair": np.arange(size) < k, "sig": sig.view(np.int64), "a": a.view(np.int64),
                              "b": b.view(np.int64), "n": n})
 
-    dealt = docs.select("text").mapInArrow(emit, "bucket int, kind int, rows binary")
+    dealt = docs.select("text").mapInArrow(emit, "bucket int, kind int, sig binary, cls binary, n binary, run binary")
     return stage(dealt.groupBy("bucket").applyInPandas(
         reduce, "is_pair boolean, sig long, a long, b long, n long"), "ngram-candidates")
 
 
-def _dealt(rows: np.ndarray, key: np.ndarray, buckets: int, kind: int) -> list[tuple[int, int, bytes]]:
-    bucket = (key % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    rows, bucket = rows[order], bucket[order]
-    edge = np.searchsorted(bucket, np.arange(buckets + 1))
-    return [(i, kind, rows[edge[i]:edge[i + 1]].tobytes()) for i in range(buckets) if edge[i] < edge[i + 1]]
-
-
 # ----------------------------------------------------- verification
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(a, b, common, either): exact sizes of the intersection and union of
-    the two sets of each pair.  ``texts``: (code, text), one row a class."""
-    def count(batches: Iterator) -> Iterator:
+def passing(pairs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches let them link; a stage."""
+    def test(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("n_a", "n_b", "sketch_a", "sketch_b")], strict=True)
+            fits = [min(r, s) * t.den >= max(r, s) * t.num and least_difference(x, y) <= t.differ(r, s)
+                    for r, s, x, y in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    side = lambda x: classes.select(
+        F.col("code").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return stage(both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(
+        test, "a long, b long"), "ngram-passing")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets; a stage.
+    ``texts``: (code, text), one row a class."""
+    def test(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                one, two = ([(values, bounds) for _, _, values, bounds in _sets_of(part.column(c), width)]
+                one, two = ([v[b[i]:b[i + 1]] for _, _, v, b in _sets_of(part.column(c), width) for i in range(len(b) - 1)]
                             for c in ("text_a", "text_b"))
-                sets = [[v[b[i]:b[i + 1]] for v, b in side for i in range(len(b) - 1)] for side in (one, two)]
-                shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sets, strict=True)]
-                either = [len(x) + len(y) - c for x, y, c in zip(*sets, shared, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("a"), part.column("b"), pa.array(shared, pa.int64()), pa.array(either, pa.int64())],
-                    ["a", "b", "common", "either"])
+                fits = []
+                for x, y in zip(one, two, strict=True):
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    fits.append(shared * t.den >= (len(x) + len(y) - shared) * t.num)
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(
+                    pa.array(fits, pa.bool_()))
 
     both = pairs.join(texts.select(F.col("code").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("code").alias("b"), F.col("text").alias("text_b")), "b")
-    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(
-        count, "a long, b long, common long, either long"), "ngram-verified")
+    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(test, "a long, b long"), "ngram-links")
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -437,43 +510,115 @@ def _texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
         F.min("text").alias("text")), "ngram-texts")
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, verified: DataFrame, t: Threshold) -> DataFrame:
-    """Pairs of members of one star that its centre does not settle: in
-    different components, of fitting sizes, and not too different in their
-    distance from a common centre (triangle inequality)."""
+def _block_pairs(code, component, n, side, sketch, failed, t: Threshold) -> list[tuple]:
+    """(a, b, cut) of a block of one meeting: members of different components
+    whose sizes and sketches let them link and that did not fail before
+    (``failed``: codes, or None).  A member offers its NEAREST in each other
+    component; ``cut`` tells that it has more.  ``side`` 0 and 1 are two parts
+    of the meeting; in a block of one part (side 0 only) all are compared."""
+    size = np.fromiter(map(len, sketch), np.int64, len(sketch))
+    alone, found = not side.any(), []
+    # of two components one is not the largest: its members are the rows
+    kinds, of, members = np.unique(component, return_inverse=True, return_counts=True)
+    minor = of != members.argmax()
+    for width in np.unique(size):
+        same, twice = np.flatnonzero(size == width), np.flatnonzero(size == 2 * width)
+        at = np.concatenate([same, twice])
+        rows = np.flatnonzero(minor[at])
+        if not len(rows):
+            continue
+        words = _words_of(sketch[same])
+        if len(twice):
+            words = np.concatenate([words, _halved(_words_of(sketch[twice]))])
+        step = max(1, (4 << 20) // words.nbytes)
+        for lo in range(0, len(rows), step):
+            own = rows[lo:lo + step]
+            x = at[own]
+            big, little = np.maximum(n[x][:, None], n[at]), np.minimum(n[x][:, None], n[at])
+            open_ = (component[x][:, None] != component[at]) & (little * t.den >= big * t.num)
+            open_ &= ~minor[at] | (np.arange(len(at)) > own[:, None])  # each pair once
+            open_ &= (own < len(same))[:, None] | (np.arange(len(at)) < len(same))  # two of twice: at their width
+            if not alone:
+                open_ &= side[x][:, None] != side[at]
+            if not open_.any():
+                continue
+            apart = np.bitwise_count(words[own][:, None] ^ words[None]).sum(2, dtype=np.int32)
+            open_ &= apart <= t.differ(n[x][:, None], n[at])
+            for i in np.flatnonzero(open_.any(1)):
+                if failed[x[i]] is not None:
+                    open_[i] &= ~np.isin(code[at], failed[x[i]])
+            row, column = np.nonzero(open_)
+            if not len(row):
+                continue
+            order = np.lexsort((apart[row, column], component[at[column]], row))
+            row, column = row[order], column[order]
+            first = np.ones(len(row), bool)
+            first[1:] = (row[1:] != row[:-1]) | (component[at[column]][1:] != component[at[column]][:-1])
+            run = np.cumsum(first) - 1
+            begin = np.flatnonzero(first)
+            nearest = np.arange(len(row)) - begin[run] < NEAREST
+            cut = np.diff(np.concatenate([begin, [len(row)]]))[run] > NEAREST
+            one, two = code[x[row[nearest]]], code[at[column[nearest]]]
+            found.append((np.minimum(one, two), np.maximum(one, two), cut[nearest]))
+    return found
+
+
+def open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, failed: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b, cut): pairs that are open still: of one meeting, in different components,
+    not failed before, passing by their sketches; a stage.  A meeting is cut
+    into parts of about BLOCK members, and each two parts are a block."""
     m = members.join(labels, members.b == labels.node, "left").select(
-        "sig", "center", "b", "n", F.coalesce("component", "b").alias("component"))
-    mixed = m.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    m = m.join(mixed.select("sig"), "sig", "left_semi")
-    distance = verified.select(
-        F.explode(F.array(F.struct(F.col("a").alias("center"), F.col("b").alias("b")),
-                          F.struct(F.col("b").alias("center"), F.col("a").alias("b")))).alias("p"),
-        (1 - F.col("common") / F.col("either")).alias("distance")).select("p.center", "p.b", "distance")
-    m = stage(m.join(distance, ["center", "b"], "left").withColumn(
-        "distance", F.when(F.col("center") == F.col("b"), 0.0).otherwise(F.col("distance"))), "ngram-open")
-    left, right = m.alias("l"), m.alias("r")
-    far = (F.col("l.center") == F.col("r.center")) & (
-        F.abs(F.col("l.distance") - F.col("r.distance")) > 1 - t.num / t.den + 1e-9)
-    pairs = left.join(right, F.col("l.sig") == F.col("r.sig")).filter(
-        (F.col("l.b") < F.col("r.b")) & (F.col("l.component") != F.col("r.component"))
-        & (F.least("l.n", "r.n") * t.den >= F.greatest("l.n", "r.n") * t.num) & ~F.coalesce(far, F.lit(False)))
-    pairs = pairs.select(F.col("l.b").alias("a"), F.col("r.b").alias("b")).distinct()
-    return pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
+        "sig", F.col("b").alias("code"), F.coalesce("component", "b").alias("component"))
+    mixed = m.groupBy(F.bitwise_not("sig").alias("x")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high")
+    # meetings of one component (mostly of one group of copies) go to one
+    # bucket, where their pairs are told once, or to several if they are many
+    mixed = stage(mixed.select(F.bitwise_not("x").alias("sig"), "low", "size"), "ngram-mixed")
+    spread = mixed.groupBy("low").agg(F.ceil(F.sum("size") / 20_000).cast("int").alias("spread"))
+    mixed = mixed.join(spread, "low").select(
+        "sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"), "low",
+        F.pmod(F.xxhash64("sig"), F.col("spread")).cast("int").alias("salt"))
+    m = stage(m.join(mixed, "sig"), "ngram-open")
+    buckets = max(1, math.ceil(m.count() / 20_000))
+    partners = failed.select(F.explode(F.array(F.struct(F.col("a").alias("code"), F.col("b").alias("other")),
+                                               F.struct(F.col("b").alias("code"), F.col("a").alias("other")))).alias("p"))
+    partners = partners.groupBy("p.code").agg(F.collect_list("p.other").alias("failed"))
+    about = stage(classes.select("code", "n", "sketch").join(m.select("code").distinct(), "code", "left_semi")
+                  .join(partners, "code", "left"), "ngram-about")
+    part = F.pmod(F.xxhash64("code"), F.col("parts")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    m = join_checked(m, about, "code").withColumn("part", part).select("*", others)
+    m = m.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                 (F.col("part") > F.col("other")).cast("int").alias("side"), "code", "component", "n", "sketch", "failed",
+                 F.pmod(F.xxhash64("low", "salt", F.least("part", "other"), F.greatest("part", "other")), F.lit(buckets)).alias("bucket"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["sig", "i", "j", "side", "code"])
+        key = pdf[["sig", "i", "j"]].to_numpy()
+        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
+        columns = [pdf[c].to_numpy() for c in ("code", "component", "n", "side", "sketch", "failed")]
+        found = [x for lo, hi in zip(edge[:-1], edge[1:], strict=True)
+                 for x in _block_pairs(*[c[lo:hi] for c in columns], t)]
+        a, b, cut = (np.concatenate([np.zeros(0, kind), *z]) for kind, z in zip(
+            (np.int64, np.int64, bool), zip(*found, strict=True) if found else ((), (), ()), strict=True))
+        return pd.DataFrame({"a": a, "b": b, "cut": cut}).groupby(["a", "b"], as_index=False).max()
+
+    found = m.groupBy("bucket").applyInPandas(compare, "a long, b long, cut boolean")
+    return stage(found.groupBy("a", "b").agg(F.max("cut").alias("cut")), "ngram-more-pairs")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                       threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_links`` (links of the row's
-    class to other classes), one row per input row."""
+    """``doc_id, n_shingles, component_id``, one row per input row."""
     t = Threshold(*threshold)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("k", F.xxhash64("doc_id", "text"))
     found = describe_sets(docs, width)
-    rows = found.filter("is_doc").select("k", "doc_id", "n", "code")
+    rows = found.filter("is_doc").select("k", "doc_id", "n", "code", "sketch")
     total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"), F.max("n").alias("largest")).first()
 
     # frequent shingles, over all documents; at most mean set size / COMMON_SHARE of them
-    least = max(8, COMMON_SHARE * total.rows)
+    least = max(COMMON_LEAST, COMMON_SHARE * total.rows)
     common = found.filter("not is_doc").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     common = stage(common, "ngram-common")
     hashes = np.sort(common.select("code").toPandas()["code"].to_numpy(np.int64).view(np.uint64))
@@ -483,31 +628,39 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     buckets = max(1, math.ceil(0.4 * (total.shingles or 0) / ENTRIES_A_BUCKET))
     met = candidates(docs, hashes, bands, buckets, width, t)
 
-    classes = stage(rows.filter("n > 0").groupBy("code").agg(F.min("k").alias("k")), "ngram-classes")
-    similar = lambda v: v.filter(F.col("common") * t.den >= F.col("either") * t.num).select("a", "b")
+    classes = stage(rows.filter("n > 0").groupBy("code").agg(
+        F.min("k").alias("k"), F.max("n").alias("n"), F.max("sketch").alias("sketch")), "ngram-classes")
     pairs = stage(met.filter("is_pair").select("a", "b").distinct(), "ngram-pairs")
-    verified = verify(pairs, _texts_of(docs, classes, pairs), width)
-    links = similar(verified)
+    near = passing(pairs, classes, t)
+    links = verify(near, _texts_of(docs, classes, near), width, t)
     labels = connected_components(links)
-    members = met.filter("not is_pair").select("sig", F.col("a").alias("center"), "b", "n").distinct()
-    more = stage(open_pairs(members, labels, verified, t), "ngram-more-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(similar(verify(more, _texts_of(docs, classes, more), width)))
-        labels = connected_components(links)
-
-    degree = links.select(F.explode(F.array("a", "b")).alias("code")).groupBy("code").agg(
-        F.count(F.lit(1)).alias("class_links"))
-    of_class = classes.select("code").join(degree, "code", "left").join(
-        labels.select(F.col("node").alias("code"), "component"), "code", "left").select(
-        "code", F.coalesce("component", "code").alias("component"), F.coalesce("class_links", F.lit(0)).alias("class_links"))
-    linked = rows.filter("n > 0").join(of_class, "code")
-    linked = stage(linked.select("doc_id", "n", "component", "class_links"), "ngram-linked")
+    members = met.filter("not is_pair").select("sig", "b").distinct()
+    members = stage(members, "ngram-members")
+    failed = near.join(links, ["a", "b"], "left_anti")
+    while True:
+        more = open_pairs(members, labels, classes, failed, t)
+        if more.isEmpty():
+            break
+        new = verify(more, _texts_of(docs, classes, more), width, t)
+        wrong = stage(more.join(new, ["a", "b"], "left_anti"), "ngram-wrong")
+        if not new.isEmpty():
+            links = stage(links.unionByName(new), "ngram-links")
+            labels = connected_components(links)
+        # a member that offered all it had, or whose offers held, is settled
+        again = wrong.filter("cut").select(F.explode(F.array("a", "b")).alias("b")).distinct()
+        open_meetings = members.join(again, "b", "left_semi").select("sig").distinct()
+        members = stage(members.join(open_meetings, "sig", "left_semi"), "ngram-members")
+        if members.isEmpty():
+            break
+        failed = stage(failed.unionByName(wrong.drop("cut")), "ngram-failed")
+
+    linked = rows.filter("n > 0").join(labels.withColumnRenamed("node", "code"), "code", "left")
+    linked = stage(linked.select("doc_id", "n", F.coalesce("component", "code").alias("component")), "ngram-linked")
     # ~ hides the joins' partitioning: the aggregate combines before its own shuffle
     smallest = linked.groupBy(F.bitwise_not("component").alias("c")).agg(F.min("doc_id").alias("component_id"))
     smallest = smallest.select(F.bitwise_not("c").alias("component"), "component_id")
-    out = linked.join(smallest, "component").select("doc_id", "n", "component_id", "class_links")
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"),
-                                        F.lit(0).cast("long").alias("class_links"))
+    out = linked.join(smallest, "component").select("doc_id", "n", "component_id")
+    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
@@ -517,5 +670,5 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = similar_documents(docs, id_col, text_col, **options)
     gone = found.filter("doc_id is not null").groupBy("doc_id").agg(
         F.min(F.col("component_id") != F.col("doc_id")).alias("gone")).filter("gone").select("doc_id")
-    return docs.join(stage(gone, "ngram-gone").withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(
+    return join_checked(docs, stage(gone, "ngram-gone").withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(
         docs.columns)

@@ -37,7 +37,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents")).select(
-        "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "class_links")
+        "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,11 +156,15 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
 
         enc = encoder(tokenizer_path)
         for batch in batches:
-            counts = [len(enc.encode(t.as_py())) for t in batch.column("text")]
+            counts: dict[bytes, int] = {}
+            for content, text in zip(batch.column("content").to_pylist(), batch.column("text"), strict=True):
+                if content not in counts:  # rows that are repeated with their id share a row key
+                    counts[content] = len(enc.encode(text.as_py()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("content"), pa.array([version] * len(counts), pa.string()),
-                 pa.array(counts, pa.int64())], ["content", "tokenizer", "n_tokens"])
+                [pa.array(list(counts), pa.binary()), pa.array([version] * len(counts), pa.string()),
+                 pa.array(list(counts.values()), pa.int64())], ["content", "tokenizer", "n_tokens"])
 
     new = chosen.select(F.unhex(F.sha2("text", 256)).alias("content"), "text").mapInArrow(encode, CACHE_SCHEMA)
+    new = new.groupBy("content", "tokenizer").agg(F.max("n_tokens").alias("n_tokens"))
     new.write.mode("append").parquet(cache_path)
     return rows.join(cached(), "content").select("doc_id", "n_bytes", "n_tokens")

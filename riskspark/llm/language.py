@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.shared import batch_slices, lower_bytes, split_words, stage, text_bytes
+from riskspark.llm.shared import batch_slices, join_checked, lower_bytes, split_words, stage, text_bytes
 
 BUCKETS = 1 << 16
 SLICE_BYTES = 1 << 20  # scored at once
@@ -324,5 +324,5 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     bad = found.filter((F.col("lang_pred") == "und") | (F.col("score") < least_score)).select("doc_id")
     good = found.join(bad.distinct(), "doc_id", "left_semi").filter(
         (F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("doc_id")
-    return docs.join(stage(bad.join(good, "doc_id", "left_anti"), "language-rejected"), "doc_id", "left_anti").select(
-        docs.columns)
+    rejected = stage(bad.join(good, "doc_id", "left_anti"), "language-rejected")
+    return join_checked(docs, rejected, "doc_id", "left_anti").select(docs.columns)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.shared import stage, word_count
+from riskspark.llm.shared import join_checked, stage, word_count
 
 DEFAULT_WEIGHTS = (5, 2, 1)
 RADIX_BITS, ROUNDS = 12, 3
@@ -138,8 +138,8 @@ def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
     each of them; a null id takes one copy."""
     id_col = options.get("id_col", "doc_id")
     mix = pareto_mix(docs, **options).filter("doc_id is not null")
-    copies = stage(mix.groupBy("doc_id").agg(F.max("copies").alias("__copies")), "mix-copies")
-    out = docs.join(copies.withColumnRenamed("doc_id", "__id"), F.col(id_col) == F.col("__id"), "left")
+    copies = stage(mix.groupBy(F.col("doc_id").alias(id_col)).agg(F.max("copies").alias("__copies")), "mix-copies")
+    out = join_checked(docs, copies, id_col, "left")
     times = F.coalesce(F.col("__copies"), F.lit(1)).cast("int")
     out = out.filter(times > 0).withColumn("__n", F.explode(F.sequence(F.lit(1), times)))
     return out.select(docs.columns)

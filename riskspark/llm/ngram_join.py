@@ -632,11 +632,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.min("k").alias("k"), F.max("n").alias("n"), F.max("sketch").alias("sketch")), "ngram-classes")
     pairs = stage(met.filter("is_pair").select("a", "b").distinct(), "ngram-pairs")
     near = passing(pairs, classes, t)
-    links = verify(near, _texts_of(docs, classes, near), width, t)
+    # one pair a class first; then what is not in one component by those
+    first = stage(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-first")
+    links = verify(first, _texts_of(docs, classes, first), width, t)
     labels = connected_components(links)
-    members = met.filter("not is_pair").select("sig", "b").distinct()
-    members = stage(members, "ngram-members")
-    failed = near.join(links, ["a", "b"], "left_anti")
+    rest = near.join(first, ["a", "b"], "left_anti")
+    for x in ("a", "b"):
+        rest = rest.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}")), x, "left")
+    rest = stage(rest.filter(~F.col("in_a").eqNullSafe(F.col("in_b")) | F.col("in_a").isNull()).select("a", "b"),
+                 "ngram-rest")
+    if not rest.isEmpty():
+        links = stage(links.unionByName(verify(rest, _texts_of(docs, classes, rest), width, t)), "ngram-links")
+        labels = connected_components(links)
+    members = stage(met.filter("not is_pair").select("sig", "b").distinct(), "ngram-members")
+    failed = first.unionByName(rest).join(links, ["a", "b"], "left_anti")
     while True:
         more = open_pairs(members, labels, classes, failed, t)
         if more.isEmpty():

@@ -587,23 +587,31 @@ def open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, failed
                   .join(partners, "code", "left"), "ngram-about")
     part = F.pmod(F.xxhash64("code"), F.col("parts")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    m = join_checked(m, about, "code").withColumn("part", part).select("*", others)
+    m = m.withColumn("part", part).select("*", others)
     m = m.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                 (F.col("part") > F.col("other")).cast("int").alias("side"), "code", "component", "n", "sketch", "failed",
-                 F.pmod(F.xxhash64("low", "salt", F.least("part", "other"), F.greatest("part", "other")), F.lit(buckets)).alias("bucket"))
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+                 (F.col("part") > F.col("other")).cast("int").alias("side"), "code", "component",
+                 F.pmod(F.xxhash64("low", "salt", F.least("part", "other"), F.greatest("part", "other")),
+                        F.lit(buckets)).alias("bucket"))
+    # what is known of a class goes to a bucket once, not with each meeting
+    told = m.select(F.col("bucket").alias("to"), F.col("code").alias("of")).distinct().join(
+        about.withColumnRenamed("code", "of"), "of")
+
+    def compare(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["sig", "i", "j", "side", "code"])
+        known = known.set_index("of")
+        at = known.index.get_indexer(pdf["code"])
         key = pdf[["sig", "i", "j"]].to_numpy()
         edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
-        columns = [pdf[c].to_numpy() for c in ("code", "component", "n", "side", "sketch", "failed")]
+        n, sketch, failed = (known[c].to_numpy()[at] for c in ("n", "sketch", "failed"))
+        columns = [pdf["code"].to_numpy(), pdf["component"].to_numpy(), n, pdf["side"].to_numpy(), sketch, failed]
         found = [x for lo, hi in zip(edge[:-1], edge[1:], strict=True)
                  for x in _block_pairs(*[c[lo:hi] for c in columns], t)]
         a, b, cut = (np.concatenate([np.zeros(0, kind), *z]) for kind, z in zip(
             (np.int64, np.int64, bool), zip(*found, strict=True) if found else ((), (), ()), strict=True))
         return pd.DataFrame({"a": a, "b": b, "cut": cut}).groupby(["a", "b"], as_index=False).max()
 
-    found = m.groupBy("bucket").applyInPandas(compare, "a long, b long, cut boolean")
+    found = m.groupBy("bucket").cogroup(told.groupBy("to")).applyInPandas(
+        compare, "a long, b long, cut boolean")
     return stage(found.groupBy("a", "b").agg(F.max("cut").alias("cut")), "ngram-more-pairs")
 
 

@@ -446,7 +446,9 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
         entries = [_unpacked(*x) for x in own[_ENTRIES][["sig", "cls", "n", "run"]].itertuples(index=False)]
         pairs, members = meet(np.concatenate([np.zeros(0, ENTRY), *entries]), t)
         pairs = np.unique(np.concatenate([pairs, np.frombuffer(b"".join(own[_PAIRS]["sig"]), PAIR)]))
-        members = np.concatenate([members, np.frombuffer(b"".join(own[_MEMBERS]["sig"]), MEMBER)])
+        told = np.frombuffer(b"".join(own[_MEMBERS]["sig"]), MEMBER)
+        entries = np.concatenate([np.zeros(0, ENTRY), *entries])
+        members = np.concatenate([members, told, entries[np.isin(entries["sig"], told["sig"])].astype(MEMBER)])
         k, size = len(pairs), len(pairs) + len(members)
         sig, a, b, n = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, int)
         a[:k], b[:k] = pairs["a"], pairs["b"]

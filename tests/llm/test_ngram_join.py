@@ -96,6 +96,34 @@ def test_hot_group_of_near_copies(make_docs):
     assert found(J.similar_documents(make_docs(rows))) == brute(rows)
 
 
+def _met(make_docs, monkeypatch, parts):
+    """Which words meet, as pairs or in one larger meeting, if each part is a
+    batch and its words have the signatures given."""
+    known, name = {}, {}
+    for word, sigs in ((w, s) for part in parts for w, s in part.items()):
+        values, bounds = J.shingle_sets(*text_bytes(pa.array([word])), 5)
+        known[int(values[0])], name[int(J.set_digests(values, bounds).view(np.int64)[0])] = sigs, word
+
+    def signatures(values, bounds, *_):
+        own = [(i, s) for i, v in enumerate(values.tolist()) for s in known[v]]
+        return np.array([i for i, _ in own]), np.array([s for _, s in own], np.uint64)
+
+    monkeypatch.setattr(J, "signatures", signatures)
+    docs = make_docs([(i, w) for i, part in enumerate(parts) for w in part]).repartitionByRange(len(parts), "doc_id")
+    rows = J.candidates(docs, np.zeros(0, np.uint64), [], 1, 5, J.Threshold()).collect()
+    meetings = {}
+    for r in rows:
+        if not r.is_pair:
+            meetings.setdefault(r.sig, set()).add(name[r.b])
+    return meetings, {frozenset((name[r.a], name[r.b])) for r in rows if r.is_pair}
+
+
+def test_a_crowd_of_one_batch_meets_a_set_of_another(make_docs, monkeypatch):
+    crowd = {f"x{i}": [1] for i in range(J.STAR_IN_BATCH + 6)}
+    meetings, _ = _met(make_docs, monkeypatch, [crowd, {"y": [1]}])
+    assert meetings[1] == {*crowd, "y"}
+
+
 def test_odd_rows(make_docs):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (6, "one two three four five"),
             (None, "One two"), (7, "a b c d e f"), (7, "a b c d e f"), (8, "é É a b c d"), (9, "É é a b c d"),

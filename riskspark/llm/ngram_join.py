@@ -32,7 +32,8 @@ What a star leaves open is closed afterwards, in rounds: members of a meeting
 that are still in different components are compared by their sketches, block
 by block, and the nearest pairs that pass and were not verified yet are
 verified, until none is left.  Signatures that are common already
-within a batch are reduced to a star there, before the shuffle.
+within a batch go through the shuffle with the sets that share them told once;
+all sets of a signature meet.
 
 Defined results: null, empty and blank texts have no shingles and link with
 nothing; texts of fewer than ``width`` words have one, the whole sequence;
@@ -63,7 +64,7 @@ COMMON_SHARE = 0.0001  # of all documents that hold a shingle, for it to be comm
 COMMON_LEAST = 8  # documents that hold it, at least
 CHANCE_COST = 100.0  # rows that a signature of common shingles only is expected to meet
 PAIRS_UPTO = 6  # meetings of up to so many sets give all their pairs
-STAR_IN_BATCH = 64  # signatures of so many sets in one batch are reduced there
+STAR_IN_BATCH = 64  # signatures of so many sets in one batch go on as crowds
 ENTRIES_A_BUCKET = 500_000
 GROUP_BYTES = 8 << 20  # text whose entries are dealt at once
 BLOCK = 512  # members of a meeting compared at once
@@ -309,7 +310,7 @@ def signatures(values: np.ndarray, bounds: np.ndarray, common: np.ndarray, bands
 ENTRY = np.dtype([("sig", "<u8"), ("cls", "<u8"), ("n", "<i4")])
 PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
 MEMBER = np.dtype([("sig", "<u8"), ("cls", "<u8"), ("n", "<i4")])
-_ENTRIES, _PAIRS, _MEMBERS = 0, 1, 2
+_ENTRIES, _CROWDS = 0, 1
 
 
 def _sorted_entries(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,7 +335,8 @@ def pairs_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def stars(entries: np.ndarray, bounds: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs and members of the meetings ``runs`` of sorted entries.  A star's
     centres are the members that are in most of them: of near copies, mostly
-    the original.  Meetings of the same sets are told once."""
+    the original.  Meetings of the same sets are told once, so ``entries`` must
+    hold all sets of a signature."""
     place, owner = _elements(bounds, runs)
     own = entries[place]
     begin = np.concatenate([[0], np.cumsum(np.diff(bounds)[runs])]).astype(np.int64)
@@ -382,12 +384,45 @@ def _unpacked(sig: bytes, cls: bytes, n: bytes, run: bytes) -> np.ndarray:
     return entries
 
 
-def _dealt(rows: np.ndarray, key: np.ndarray, buckets: int, kind: int) -> list[tuple]:
-    bucket = (key % np.uint64(buckets)).astype(np.int32)
+def _dealt(entries: np.ndarray, buckets: int) -> list[tuple]:
+    bucket = (entries["sig"] % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
-    rows, edge = rows[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-    parts = ((i, rows[edge[i]:edge[i + 1]]) for i in range(buckets) if edge[i] < edge[i + 1])
-    return [(i, kind, *(_packed(x) if kind == _ENTRIES else [x.tobytes(), b"", b"", b""])) for i, x in parts]
+    entries, edge = entries[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return [(i, _ENTRIES, *_packed(entries[edge[i]:edge[i + 1]])) for i in range(buckets) if edge[i] < edge[i + 1]]
+
+
+def _dealt_crowds(entries: np.ndarray, bounds: np.ndarray, buckets: int) -> list[tuple]:
+    """Sorted entries as crowds, a row for each bucket: signatures of it that
+    are held by the same sets, and these sets once."""
+    sig, same = entries["sig"][bounds[:-1]], _sum_rows(mix64(entries["cls"]), bounds)
+    bucket = (sig % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((same, bucket))
+    new = np.ones(len(order), bool)
+    new[1:] = (bucket[order][1:] != bucket[order][:-1]) | (same[order][1:] != same[order][:-1])
+    first = np.flatnonzero(new)
+    one = order[first]
+    run = np.stack([np.diff(np.concatenate([first, [len(order)]])), np.diff(bounds)[one]], 1).astype("<i4")
+    to, upto = bucket[one], np.concatenate([first, [len(order)]])
+    out = []
+    for i in np.unique(to).tolist():
+        lo, hi = np.searchsorted(to, [i, i + 1])
+        place, _ = _elements(bounds, one[lo:hi])
+        out.append((i, _CROWDS, sig[order[upto[lo]:upto[hi]]].tobytes(), entries["cls"][place].tobytes(),
+                    entries["n"][place].tobytes(), run[lo:hi].tobytes()))
+    return out
+
+
+def _uncrowded(sig: bytes, cls: bytes, n: bytes, run: bytes) -> np.ndarray:
+    """The entries of a row of crowds."""
+    run = np.frombuffer(run, "<i4").reshape(-1, 2).astype(np.int64)
+    signatures, held = run.T
+    each = np.repeat(np.arange(len(run)), signatures)  # the crowd of each signature
+    bounds = np.concatenate([[0], np.cumsum(held)])
+    place, owner = _elements(bounds, each)
+    entries = np.empty(len(place), ENTRY)
+    entries["sig"] = np.frombuffer(sig, "<u8")[owner]
+    entries["cls"], entries["n"] = np.frombuffer(cls, "<u8")[place], np.frombuffer(n, "<i4")[place]
+    return entries
 
 
 def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets: int, width: int,
@@ -423,18 +458,15 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
             for lo, hi in batch_slices(text_bytes(column)[1], GROUP_BYTES):
                 entries = entries_of(column.slice(lo, hi - lo), seen)
                 out: list[tuple] = []
-                # signatures of many sets here go on as one, their star's centre
+                # signatures of many sets here go on as crowds
                 ordered = np.sort(entries["sig"])
                 often = np.unique(ordered[STAR_IN_BATCH - 1:][ordered[STAR_IN_BATCH - 1:] == ordered[:1 - STAR_IN_BATCH]])
                 if len(often):
                     at = np.minimum(np.searchsorted(often, entries["sig"]), len(often) - 1)
                     hot = often[at] == entries["sig"]
-                    crowd, bounds = _sorted_entries(entries[hot])
-                    pairs, members = stars(crowd, bounds, np.arange(len(bounds) - 1))
-                    out += _dealt(pairs, pairs["a"], buckets, _PAIRS)
-                    out += _dealt(members, members["sig"], buckets, _MEMBERS)
-                    entries = np.concatenate([entries[~hot], crowd[bounds[:-1]]])
-                out += _dealt(entries, entries["sig"], buckets, _ENTRIES)
+                    out += _dealt_crowds(*_sorted_entries(entries[hot]), buckets)
+                    entries = entries[~hot]
+                out += _dealt(entries, buckets)
                 if out:
                     kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
                     yield pa.RecordBatch.from_arrays(
@@ -442,13 +474,9 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
                         ["bucket", "kind", "sig", "cls", "n", "run"])
 
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = {kind: pdf[pdf["kind"] == kind] for kind in (_ENTRIES, _PAIRS, _MEMBERS)}
-        entries = [_unpacked(*x) for x in own[_ENTRIES][["sig", "cls", "n", "run"]].itertuples(index=False)]
+        entries = [(_unpacked if kind == _ENTRIES else _uncrowded)(*x)
+                   for kind, *x in pdf[["kind", "sig", "cls", "n", "run"]].itertuples(index=False)]
         pairs, members = meet(np.concatenate([np.zeros(0, ENTRY), *entries]), t)
-        pairs = np.unique(np.concatenate([pairs, np.frombuffer(b"".join(own[_PAIRS]["sig"]), PAIR)]))
-        told = np.frombuffer(b"".join(own[_MEMBERS]["sig"]), MEMBER)
-        entries = np.concatenate([np.zeros(0, ENTRY), *entries])
-        members = np.concatenate([members, told, entries[np.isin(entries["sig"], told["sig"])].astype(MEMBER)])
         k, size = len(pairs), len(pairs) + len(members)
         sig, a, b, n = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, int)
         a[:k], b[:k] = pairs["a"], pairs["b"]

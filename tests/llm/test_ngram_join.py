@@ -124,6 +124,14 @@ def test_a_crowd_of_one_batch_meets_a_set_of_another(make_docs, monkeypatch):
     assert meetings[1] == {*crowd, "y"}
 
 
+def test_crowds_of_two_batches_meet(make_docs, monkeypatch):
+    """x holds 1 and 2, y holds 2 and 3: told under one signature in each
+    batch, they would not meet."""
+    one, two = ({f"{w}{i}": s for i in range(J.STAR_IN_BATCH + 6)} for w, s in (("x", [1, 2]), ("y", [2, 3])))
+    meetings, _ = _met(make_docs, monkeypatch, [one, two])
+    assert any({*one, *two} <= m for m in meetings.values())
+
+
 def test_odd_rows(make_docs):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (6, "one two three four five"),
             (None, "One two"), (7, "a b c d e f"), (7, "a b c d e f"), (8, "é É a b c d"), (9, "É é a b c d"),

@@ -31,7 +31,8 @@ do, so nothing that links is lost) and is then verified exactly on its texts.
 What a star leaves open is closed afterwards, in rounds: members of a meeting
 that are still in different components are compared by their sketches, block
 by block, and the nearest pairs that pass and were not verified yet are
-verified, until none is left.  Signatures that are common already
+verified, until none is left.  Links are counted afterwards, over all pairs of
+classes of a component.  Signatures that are common already
 within a batch go through the shuffle with the sets that share them told once;
 all sets of a signature meet.
 
@@ -67,7 +68,8 @@ PAIRS_UPTO = 6  # meetings of up to so many sets give all their pairs
 STAR_IN_BATCH = 64  # signatures of so many sets in one batch go on as crowds
 ENTRIES_A_BUCKET = 500_000
 GROUP_BYTES = 8 << 20  # text whose entries are dealt at once
-BLOCK = 512  # members of a meeting compared at once
+BLOCK = 512  # members of a meeting, or classes of a component, compared at once
+PART_BYTES = 4 << 20  # text of the classes of a component compared at once
 NEAREST = 128  # pairs that a member offers to each other component in a round
 CENTERS = 3  # of a star: more of them leave fewer members to the rounds
 
@@ -645,10 +647,76 @@ def open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, failed
     return stage(found.groupBy("a", "b").agg(F.max("cut").alias("cut")), "ngram-more-pairs")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                      threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per input row."""
-    t = Threshold(*threshold)
+def _block_links(values: np.ndarray, bounds: np.ndarray, side: np.ndarray, t: Threshold) -> np.ndarray:
+    """To how many others each set of a block links; if the block is of two
+    parts (``side`` 0 and 1), of the other part."""
+    n, kinds = np.diff(bounds), np.unique(values, return_inverse=True, return_counts=True)
+    held = kinds[2] > 1
+    own, column = np.repeat(np.arange(len(n)), n), (np.cumsum(held) - 1)[kinds[1]]
+    own, column = own[held[kinds[1]]], column[held[kinds[1]]]
+    order = np.argsort(column, kind="stable")
+    own, column = own[order], column[order]
+    one, two = (np.flatnonzero(side == i) for i in (0, 1)) if side.any() else [np.arange(len(n))] * 2
+    shared = np.zeros((len(one), len(two)), np.float32)
+    step = max(256, (2 << 20) // len(n))
+    for lo in range(0, int(held.sum()), step):
+        i, j = np.searchsorted(column, [lo, lo + step])
+        holds = np.zeros((len(n), min(step, int(held.sum()) - lo)), np.float32)
+        holds[own[i:j], column[i:j] - lo] = 1
+        shared += holds[one] @ holds[two].T
+    link = shared.astype(np.int64) * (t.den + t.num) >= (n[one][:, None] + n[two]) * t.num
+    count = np.zeros(len(n), np.int64)
+    if side.any():
+        count[one], count[two] = link.sum(1), link.sum(0)
+    else:
+        count = link.sum(1) - 1  # not to itself
+    return count
+
+
+def count_links(docs: DataFrame, classes: DataFrame, labels: DataFrame, width: int, t: Threshold) -> DataFrame:
+    """(code, class_links): to how many other classes each class in ``labels``
+    links; a stage.  Linked classes are of one component.  A component is cut
+    into parts of about BLOCK classes, and each two parts are a block, in which
+    all pairs are compared by their whole sets; so each pair counts once."""
+    node = labels.select(F.col("node").alias("code"), "component")
+    texts = stage(_texts_of(docs, classes, labels.select(F.col("node").alias("a"), F.col("node").alias("b")))
+                  .join(node, "code"), "ngram-component-texts")
+    length = F.octet_length("text")
+    size = texts.groupBy(F.bitwise_not("component").alias("x")).agg(
+        F.count(F.lit(1)).alias("size"), F.sum(length).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / PART_BYTES)).cast("int")
+    size = stage(size.select(F.bitwise_not("x").alias("component"), parts.alias("parts"), "bytes"), "ngram-component-sizes")
+    buckets = max(1, math.ceil((size.agg(F.sum(F.col("bytes") * F.col("parts"))).first()[0] or 0) / (2 * PART_BYTES)))
+    m = join_checked(texts, size.drop("bytes"), "component").withColumn(
+        "part", F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
+    m = m.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    i, j = F.least("part", "other"), F.greatest("part", "other")
+    m = m.select("component", i.alias("i"), j.alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"),
+                 "code", "text", F.pmod(F.xxhash64("component", i, j), F.lit(buckets)).alias("bucket"))
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        import pyarrow as pa
+
+        pdf = pdf.sort_values(["component", "i", "j", "side", "code"])
+        key = pdf[["component", "i", "j"]].to_numpy()
+        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
+        side, text, found = pdf["side"].to_numpy(), pa.array(pdf["text"], pa.large_string()), []
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            parts = [(v, np.diff(b)) for _, _, v, b in _sets_of(text.slice(lo, hi - lo), width)]
+            bounds = np.concatenate([[0], np.cumsum(np.concatenate([x for _, x in parts]))])
+            # a block of two parts of which one is empty has no pairs
+            found.append(_block_links(np.concatenate([v for v, _ in parts]), bounds, side[lo:hi], t)
+                         if key[lo, 1] == key[lo, 2] or np.ptp(side[lo:hi]) else np.zeros(hi - lo, np.int64))
+        out = pd.DataFrame({"code": pdf["code"].to_numpy(), "class_links": np.concatenate(found)})
+        return out.groupby("code", as_index=False).sum()
+
+    found = m.groupBy("bucket").applyInPandas(count, "code long, class_links long")
+    return stage(found.groupBy("code").agg(F.sum("class_links").alias("class_links")), "ngram-class-links")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, t: Threshold) -> tuple[DataFrame, ...]:
+    """Documents (k, doc_id, text), a row of each (k, doc_id, n, code, ...),
+    classes, and the components of those that link."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("k", F.xxhash64("doc_id", "text"))
     found = describe_sets(docs, width)
@@ -700,21 +768,38 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if members.isEmpty():
             break
         failed = stage(failed.unionByName(wrong.drop("cut")), "ngram-failed")
+    return docs, rows, classes, labels
 
+
+def _with_smallest(rows: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` (doc_id, n, code, and ``columns``) with the smallest id of their component."""
     linked = rows.filter("n > 0").join(labels.withColumnRenamed("node", "code"), "code", "left")
-    linked = stage(linked.select("doc_id", "n", F.coalesce("component", "code").alias("component")), "ngram-linked")
+    linked = stage(linked.select("doc_id", "n", *columns, F.coalesce("component", "code").alias("component")), "ngram-linked")
     # ~ hides the joins' partitioning: the aggregate combines before its own shuffle
     smallest = linked.groupBy(F.bitwise_not("component").alias("c")).agg(F.min("doc_id").alias("component_id"))
     smallest = smallest.select(F.bitwise_not("c").alias("component"), "component_id")
-    out = linked.join(smallest, "component").select("doc_id", "n", "component_id")
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    out = linked.join(smallest, "component").select("doc_id", "n", *columns, "component_id")
+    alone = rows.filter("n = 0").select("doc_id", "n", *columns, F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 
-def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                      threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_links`` (to how many other
+    classes the row's class links), one row per input row."""
+    t = Threshold(*threshold)
+    docs, rows, classes, labels = _grouped(docs, id_col, text_col, width, t)
+    rows = rows.join(count_links(docs, classes, labels, width, t), "code", "left").withColumn(
+        "class_links", F.coalesce("class_links", F.lit(0).cast("long")))
+    return _with_smallest(rows, labels, "class_links")
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                 threshold: tuple[int, int] = (75, 100)) -> DataFrame:
     """One row of ``docs`` of each group stays: the one with the smallest id.
     Rows with a null id, and all rows of an id, are decided together by the id."""
-    found = similar_documents(docs, id_col, text_col, **options)
+    _, rows, _, labels = _grouped(docs, id_col, text_col, width, Threshold(*threshold))
+    found = _with_smallest(rows, labels)
     gone = found.filter("doc_id is not null").groupBy("doc_id").agg(
         F.min(F.col("component_id") != F.col("doc_id")).alias("gone")).filter("gone").select("doc_id")
     return join_checked(docs, stage(gone, "ngram-gone").withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(

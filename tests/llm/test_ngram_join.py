@@ -132,6 +132,20 @@ def test_crowds_of_two_batches_meet(make_docs, monkeypatch):
     assert any({*one, *two} <= m for m in meetings.values())
 
 
+def test_every_link_is_counted(make_docs, monkeypatch):
+    """Within components of many blocks too: each class's links to other sets."""
+    monkeypatch.setattr(J, "BLOCK", 20)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(60)]
+    rows = [(i, " ".join(_edited(base, 0.02, rng))) for i in range(70)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(_corpus(rng, 8))] + [(200, rows[0][1]), (201, None), (202, "a b")]
+    kinds = {shingles(t) for _, t in rows} - {frozenset()}
+    links = {a: sum(a != b and 4 * len(a & b) >= 3 * len(a | b) for b in kinds) for a in kinds} | {frozenset(): 0}
+    assert max(links.values()) > 20
+    assert {r.doc_id: r.class_links for r in J.similar_documents(make_docs(rows)).collect()} == {
+        i: links[shingles(t)] for i, t in rows}
+
+
 def test_odd_rows(make_docs):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (6, "one two three four five"),
             (None, "One two"), (7, "a b c d e f"), (7, "a b c d e f"), (8, "é É a b c d"), (9, "É é a b c d"),

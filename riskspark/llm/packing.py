@@ -6,8 +6,10 @@ the remainder).  Full pieces are sequences.  The others are dealt to groups;
 each group packs its items best-fit, longest first, into bins.  Bins that are
 full but for ``slack`` tokens are final; underfull bins become items of the
 next round, with fewer groups, and so up the tree until one group is left or
-a round joins hardly any of them (then no two fit together, and all are
-final).  Only (item, length) pairs move; texts and ids stay.
+no item of at most half the capacity is (then no two fit together).  A group
+leaves at most one such item, and a pair that fits has one; so of each length
+a round takes no more items than there are of these, and none that is too
+long for the shortest.  Only (item, length) pairs move; texts and ids stay.
 
 Defined results: a null text is an empty text, whose only token is the
 separator; repeated rows and repeated or null ids are packed each on its own;
@@ -21,7 +23,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.llm.shared import stage
@@ -95,18 +97,27 @@ def pack(pieces: DataFrame, capacity: int = 2048, slack: int = 8, group_items: i
 
     items = pieces.filter(F.col("length") < capacity).select("item", "length")
     count, rounds = items.count(), []
+    groups = math.ceil(count / group_items)
     while count:
-        groups = math.ceil(count / group_items)  # up the tree, fewer items meet in fewer groups
         dealt = items.withColumn("g", F.pmod(F.xxhash64("item", F.lit(len(rounds))), F.lit(groups)))
         packed = stage(dealt.groupBy("g").applyInPandas(
             pack_group, "item long, bin long, offset long, fill long"), "pack-round")
         rounds.append(packed)
         items = packed.filter((F.col("offset") == 0) & (F.col("fill") < capacity - slack)).select(
             F.col("bin").alias("item"), F.col("fill").alias("length"))
-        left = items.count()
-        if groups == 1 or left > 0.98 * count:
+        if groups == 1:
             break
-        count = left
+        small = items.filter(F.col("length") * 2 <= capacity).agg(
+            F.count(F.lit(1)).alias("items"), F.min("length").alias("shortest")).first()
+        if not small["items"]:
+            break
+        # exact: an item that is set aside here has no partner, or others of its length are enough
+        one_length = Window.partitionBy("length").orderBy("item")
+        items = items.filter(F.col("length") + small["shortest"] <= capacity).withColumn(
+            "nth", F.row_number().over(one_length)).filter(F.col("nth") <= small["items"]).drop("nth")
+        items = stage(items, "pack-items")
+        count = items.count()
+        groups = min(math.ceil(count / group_items), max(1, groups // 8))  # up the tree, fewer items meet in fewer groups
     out = pieces.select("*", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for packed in rounds:
         up = packed.select(F.col("item").alias("sequence_id"), "bin", F.col("offset").alias("more"))

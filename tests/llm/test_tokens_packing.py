@@ -108,6 +108,19 @@ def test_items_too_large_to_meet_end_the_rounds(make_docs):
     assert packed.select("sequence_id").distinct().count() == packed.count() == pieces.count()
 
 
+def test_bins_of_different_groups_meet(spark):
+    """Few short items among many that fit with nothing: their bins still join."""
+    rows = [(i, 50) for i in range(300)] + [(1000 + i, 30) for i in range(6)]
+    pieces = spark.createDataFrame(rows, "item long, length long")
+    packed = pack(pieces, 64, slack=0, group_items=20).collect()
+    assert sorted(r.item for r in packed) == sorted(i for i, _ in rows)
+    bins = {}
+    for r in packed:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(bins) == 303
+    assert sorted(map(sorted, bins.values())) == [[(0, 30), (30, 30)]] * 3 + [[(0, 50)]] * 300
+
+
 def test_best_fit_takes_the_tightest_bin():
     placed = {item: (name, offset, fill) for item, name, offset, fill in best_fit([1, 2, 3, 4], [7, 6, 4, 3], 10)}
     assert placed == {1: (1, 0, 10), 4: (1, 7, 10), 2: (2, 0, 10), 3: (2, 6, 10)}

@@ -66,15 +66,16 @@ def uniform(id_col: Column, seed: str) -> Column:
 
 def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                weights=DEFAULT_WEIGHTS, total_share: float = 1.5, max_copies: int = 2,
-               weight_col: str | None = None, seed: str = "mix") -> DataFrame:
+               weight_col: str | None = None, seed: str = "mix", row_col: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken,
-    copies``."""
+    copies``, and ``row`` if ``row_col`` names a key of the rows."""
+    row = ["row"] if row_col else []
     own = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     items = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.when(F.col(source_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source_col))).alias("skey"),
         word_count(F.col(text_col)).alias("size"), F.coalesce(own, F.lit(1.0)).alias("own"),
-        uniform(F.col(id_col), seed).alias("u"))
+        uniform(F.col(id_col), seed).alias("u"), *[F.col(row_col).alias(x) for x in row])
     items = stage(items, "mix-items")
     sources = stage(items.groupBy("skey").agg(
         F.first("source").alias("source"), F.sum("size").alias("source_size"),
@@ -95,7 +96,7 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranked = ranked.withColumn("rank", F.when(p > 0, F.least(
         F.floor(odds / (1 + odds) * F.lit(float(2 ** (RADIX_BITS * ROUNDS)))),
         F.lit(2 ** (RADIX_BITS * ROUNDS) - 1)).cast("long")))
-    ranked = stage(ranked.select("skey", "doc_id", "size", "source_size", "target", "whole", "rank"), "mix-ranked")
+    ranked = stage(ranked.select("skey", "doc_id", "size", "source_size", "target", "whole", "rank", *row), "mix-ranked")
 
     state = ranked.groupBy("skey").agg(
         (F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("budget"))
@@ -125,21 +126,30 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     edge = edge.withColumn("extra", F.col("passed") + F.col("size") / 2.0 <= F.col("budget"))
     rest = at.filter("rank is null or cut < 0 or rank <> cut").withColumn(
         "extra", F.col("rank").isNotNull() & ((F.col("cut") < 0) | (F.col("rank") < F.col("cut"))))
-    columns = ["doc_id", "size", "source_size", "target", "whole", "extra"]
+    columns = ["doc_id", "size", "source_size", "target", "whole", "extra", *row]
     out = rest.select(columns).unionByName(edge.select(columns))
     times = F.col("whole") + F.coalesce(F.col("extra"), F.lit(False)).cast("long")
     return out.select("doc_id", "size", "source_size", "target",
-                      (F.col("size") * times).alias("taken"), times.alias("copies"))
+                      (F.col("size") * times).alias("taken"), times.alias("copies"), *row)
 
 
 def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus itself: each taken copy of a document as a row of
-    ``docs``.  A repeated id takes the copies of any one of its rows for
-    each of them; a null id takes one copy."""
+    ``docs``.  Ids name the rows; rows whose id is null or repeated get a key
+    of their own, written with them, so that each takes its own copies."""
     id_col = options.get("id_col", "doc_id")
-    mix = pareto_mix(docs, **options).filter("doc_id is not null")
-    copies = stage(mix.groupBy(F.col("doc_id").alias(id_col)).agg(F.max("copies").alias("__copies")), "mix-copies")
-    out = join_checked(docs, copies, id_col, "left")
-    times = F.coalesce(F.col("__copies"), F.lit(1)).cast("int")
-    out = out.filter(times > 0).withColumn("__n", F.explode(F.sequence(F.lit(1), times)))
-    return out.select(docs.columns)
+    vague = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("__n")).filter(
+        "__n > 1").select(id_col)
+    vague = stage(vague, "mix-vague-ids")
+    clear = join_checked(docs.filter(F.col(id_col).isNotNull()), vague, id_col, "left_anti").select(docs.columns)
+    unclear = docs.filter(F.col(id_col).isNull()).unionByName(
+        join_checked(docs, vague, id_col, "left_semi").select(docs.columns))
+    unclear = stage(unclear.withColumn("__row", F.monotonically_increasing_id()), "mix-unclear")
+    mix = pareto_mix(clear.withColumn("__row", F.lit(None).cast("long")).unionByName(unclear), row_col="__row", **options)
+    mix = stage(mix.filter("copies > 0").select("doc_id", F.col("row").alias("__row"), F.col("copies").alias("__copies")),
+                "mix-copies")
+    by_id = mix.filter("__row is null").select(F.col("doc_id").alias(id_col), "__copies")
+    by_row = mix.filter("__row is not null").select("__row", "__copies")
+    out = join_checked(clear, by_id, id_col).select(*docs.columns, "__copies").unionByName(
+        join_checked(unclear, by_row, "__row").select(*docs.columns, "__copies"))
+    return out.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(docs.columns)

@@ -147,6 +147,24 @@ def test_repeat_mixed_writes_the_copies(make_docs):
     assert counts == {i: c for i, c in mix.items() if c}
 
 
+def test_repeat_mixed_gives_each_row_its_copies(make_docs):
+    """Null and repeated ids too: the words written are those taken."""
+    rows = [([None, i // 4, 1000 + i][i % 3], "w " * (i % 50 + 1), "en", "abc"[i % 7 % 3]) for i in range(600)]
+    taken, written = {}, {}
+    for (_, _, _, source), size in zip(rows, [0] * len(rows), strict=True):
+        taken[source] = written[source] = size
+    targets = {}
+    for r in pareto_mix(make_docs(rows)).collect():
+        targets[r.source_size] = targets.get(r.source_size, 0) + r.taken
+    for r in repeat_mixed(make_docs(rows)).collect():
+        written[r.source] += _words(r.text)
+    sizes = {}
+    for _, text, _, source in rows:
+        sizes[source] = sizes.get(source, 0) + _words(text)
+    assert len(set(sizes.values())) == len(sizes)
+    assert written == {source: targets[size] for source, size in sizes.items()}
+
+
 def test_native_plans(make_docs):
     rows = [(i, f"text {i}", "en", "a") for i in range(20)]
     for df in (exact_dedup(make_docs(rows)), pareto_mix(make_docs(rows)), drop_exact_copies(make_docs(rows))):

@@ -796,11 +796,35 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                  threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """One row of ``docs`` of each group stays: the one with the smallest id.
-    Rows with a null id, and all rows of an id, are decided together by the id."""
+    """One row of ``docs`` of each group stays: the one with the smallest id
+    (a null id is the largest), of equal ids the one whose digest ``k`` of id
+    and text is the smallest, of equal rows one.  Rows without shingles stay.
+
+    Ids name the rows to drop; rows whose id is null or repeated are decided by
+    ``k``."""
     _, rows, _, labels = _grouped(docs, id_col, text_col, width, Threshold(*threshold))
-    found = _with_smallest(rows, labels)
-    gone = found.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.col("component_id") != F.col("doc_id")).alias("gone")).filter("gone").select("doc_id")
-    return join_checked(docs, stage(gone, "ngram-gone").withColumnRenamed("doc_id", id_col), id_col, "left_anti").select(
-        docs.columns)
+    columns, id_ = docs.columns, F.col(id_col)
+    linked = rows.filter("n > 0").join(labels.withColumnRenamed("node", "code"), "code", "left")
+    linked = stage(linked.select("k", "doc_id", F.coalesce("component", "code").alias("component")), "ngram-linked")
+    # ~ hides the joins' partitioning: the aggregate combines before its own shuffle
+    best = linked.groupBy(F.bitwise_not("component").alias("c")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("best"))
+    best = best.select(F.bitwise_not("c").alias("component"), F.col("best.k").alias("best"))
+    vague = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter(
+        "rows > 1").select("doc_id")
+    vague = stage(vague, "ngram-vague-ids")
+    gone = linked.filter("doc_id is not null").join(best, "component").filter("k <> best").select("doc_id")
+    gone = stage(gone.unionByName(vague).distinct().withColumnRenamed("doc_id", id_col), "ngram-gone")
+    clear = join_checked(docs.filter(id_.isNotNull()), gone, id_col, "left_anti").select(columns)
+    unclear = rows.filter("doc_id is null").unionByName(join_checked(rows, vague, "doc_id", "left_semi").select(rows.columns))
+    if unclear.isEmpty():
+        return clear
+    unclear = stage(unclear.groupBy("k").agg(F.max("n").alias("__n")), "ngram-unclear")
+    stays = unclear.join(best.select(F.col("best").alias("k")), "k", "left_semi").unionByName(unclear.filter("__n = 0"))
+    stays = stage(stays.withColumnRenamed("k", "__k"), "ngram-stays")
+    chosen = docs.filter(id_.isNull()).unionByName(
+        join_checked(docs, vague.withColumnRenamed("doc_id", id_col), id_col, "left_semi").select(columns))
+    chosen = chosen.withColumn("__k", F.xxhash64(id_.cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
+    chosen = join_checked(chosen, stays, "__k")
+    one = chosen.filter("__n > 0").groupBy("__k").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+    return clear.unionByName(one).unionByName(chosen.filter("__n = 0").select(columns))

@@ -162,6 +162,15 @@ def test_drop_similar_keeps_the_smallest_id(make_docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_drop_similar_keeps_one_row_of_null_and_repeated_ids(make_docs):
+    rows = [(None, "a b c"), (None, "A b C"), (1, "x y z"), (1, "p q r"), (0, "X y z"), (2, None), (None, None), (None, ""),
+            (3, "m n"), (3, "m n"), (None, "x y z"), (4, "alone")]
+    kept = J.drop_similar(make_docs(rows)).collect()
+    found = sorted(((r.doc_id, (r.text or "").lower()) for r in kept), key=str)
+    assert found == sorted([(None, "a b c"), (1, "p q r"), (0, "x y z"), (2, ""), (None, ""), (None, ""), (3, "m n"),
+                            (4, "alone")], key=str)
+
+
 def test_signatures_meet_for_every_linked_pair():
     """Pigeonhole: linked sets of all sizes share a signature, whatever is common."""
     rng, t = np.random.default_rng(1), J.Threshold()

@@ -19,8 +19,7 @@ from riskspark.llm.shared import stage
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those without letters, or of which no
-    language holds half, go."""
+    """Documents in some language or several; those without letters go."""
     return keep_identified(docs)
 
 

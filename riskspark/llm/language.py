@@ -315,14 +315,12 @@ def identify_languages(docs: DataFrame, train_rows: int = 50_000) -> DataFrame:
     return label_languages(chosen, model, keep=["doc_id", "held_out"])
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` in some language: rejected are texts without a
-    letter and texts of which no language holds ``least_score``.  The
-    rejected ids are few; an id that is null or that also names a row that
-    stays is not rejected."""
-    found = stage(identify_languages(docs).select("doc_id", "lang_pred", "score"), "language-result")
-    bad = found.filter((F.col("lang_pred") == "und") | (F.col("score") < least_score)).select("doc_id")
-    good = found.join(bad.distinct(), "doc_id", "left_semi").filter(
-        (F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("doc_id")
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in some language, or in several: rejected are
+    texts without a letter.  The rejected ids are few; an id that is null or
+    that also names a row that stays is not rejected."""
+    found = stage(identify_languages(docs).select("doc_id", "lang_pred"), "language-result")
+    bad = found.filter(F.col("lang_pred") == "und").select("doc_id")
+    good = found.join(bad.distinct(), "doc_id", "left_semi").filter(F.col("lang_pred") != "und").select("doc_id")
     rejected = stage(bad.join(good, "doc_id", "left_anti"), "language-rejected")
     return join_checked(docs, rejected, "doc_id", "left_anti").select(docs.columns)

@@ -75,6 +75,19 @@ def test_keep_identified(make_docs):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in TRAIN} | {1002, None}
 
 
+def test_keep_identified_keeps_texts_of_three_languages(make_docs):
+    own = {}
+    for _, text, lang in TRAIN:
+        if text and lang:
+            own.setdefault(lang, text)
+    assert len(own) >= 3
+    mixed = " ".join(" ".join([own[lang]] * 6) for lang in sorted(own)[:3])
+    rows = TRAIN + [(3000, mixed)]
+    score = {r.doc_id: r.score for r in L.identify_languages(make_docs(rows)).collect()}[3000]
+    assert 0.2 < score < 0.5
+    assert 3000 in {r.doc_id for r in L.keep_identified(make_docs(rows)).collect()}
+
+
 def test_statistics_by_hand():
     texts = ["Ab cd cd!\nAb cd cd!\n\nX", "", " \n", None, "É" * 3]
     raw, starts = text_bytes(pa.array(texts))

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_query_is_registered():
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))

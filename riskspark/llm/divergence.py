@@ -35,13 +35,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.phrases import encode, slice_of, strings
+from riskspark.llm.phrases import encode, slice_of, strings, summed
 from riskspark.llm.shared import batch_slices, lower_bytes, split_words, stage, text_bytes
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20  # more at once gives fewer partial counts
 SHARD_TERMS = 20_000
 VOCABULARY_BYTES = 64 << 20  # of the transducers that a pass over the texts takes
-TERMS, SOURCES = 4096, 128  # of one block of the comparison
+TERMS, SOURCES = 1024, 128  # of one block of the comparison
 SCALE, PRIOR = 1_000_000_000, 5
 
 _BREAK = np.ones(256, bool)
@@ -277,6 +277,7 @@ def recount(docs: DataFrame, vocabulary) -> DataFrame:
         for batch in batches:
             raw, starts = text_bytes(batch.column("text"))
             (lang, langs), (source, sources) = encode(batch.column("lang")), encode(batch.column("source"))
+            found: list[list] = [[] for _ in range(len(langs))]  # partial counts of the batch, by language
             for row, end in batch_slices(starts, SLICE_BYTES):
                 part, part_starts = slice_of(raw, starts, row, end)
                 first, last, rows = split_words(part, part_starts, _BREAK)
@@ -285,14 +286,14 @@ def recount(docs: DataFrame, vocabulary) -> DataFrame:
                     mine = np.flatnonzero(lang[of] == code)
                     ordinal = known.ordinals(name, part, first[mine], last[mine])
                     kept = ordinal >= 0
-                    keys = np.stack([source[of[mine[kept]]].astype(np.int64), ordinal[kept]])
-                    if not keys.size:
-                        continue
-                    width = int(keys[1].max()) + 1
-                    key, n = np.unique(keys[0] * width + keys[1], return_counts=True)
+                    found[code].append(np.unique((source[of[mine[kept]]].astype(np.int64) << 40) | ordinal[kept], return_counts=True))
+            for code, parts in enumerate(found):
+                keys, n = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+                if len(keys):
+                    one, n = summed(keys, n)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(key), pa.string()), sources.take(pa.array(key // width)),
-                         pa.array(key % width), pa.array(n)], ["lang", "source", "ordinal", "n"])
+                        [langs.take(pa.array(np.full(len(one), code))), sources.take(pa.array(keys[one] >> 40)),
+                         pa.array(keys[one] & ((1 << 40) - 1)), pa.array(n)], ["lang", "source", "ordinal", "n"])
 
     return docs.select("lang", "source", "text").mapInArrow(emit, "lang string, source string, ordinal long, n long")
 

@@ -130,7 +130,7 @@ def _read(batch, seed: int) -> Iterator[tuple]:
         yield lang[chunk], ids.view(np.int64), chunk, mine, times, words, code, langs
 
 
-def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and the sums of their weights."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -146,7 +146,7 @@ def count_words(dictionary: DataFrame) -> tuple[DataFrame, int]:
         for batch in batches:
             for lang, ids, chunk, mine, times, words, code, langs in _read(batch, seed):
                 at = np.flatnonzero(mine)
-                one, n = _summed(lang[at].astype(np.int64) * len(words) + code[at], times[chunk[at]])
+                one, n = summed(lang[at].astype(np.int64) * len(words) + code[at], times[chunk[at]])
                 at = at[one]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[at]), langs.take(pa.array(lang[at])),

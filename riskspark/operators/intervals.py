@@ -55,6 +55,30 @@ def coverage_runs(facts: DataFrame, keys: Sequence[str], day: str, lookback: int
             .drop("_run"))
 
 
+def flagged_coverage_runs(facts: DataFrame, keys: Sequence[str], day: str, flag: str, lookback: int,
+                          start: str = "cover_start", end: str = "cover_end",
+                          flagged: str = "flagged_cover") -> DataFrame:
+    """``coverage_runs``, and in each run the runs of its flagged facts alone,
+    as an array of (``s``, ``e``): one pass over the facts for both.  Flagged
+    facts near enough to share a run have no wider gap between them in all
+    facts, so a flagged run lies in one run."""
+    w = Window.partitionBy(*keys).orderBy(day)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    here = w.rowsBetween(Window.unboundedPreceding, 0)
+    marked = F.when(F.col(flag), F.col(day))
+    since = lambda previous: previous.isNull() | (F.datediff(F.col(day), previous) > lookback + 1)
+    f = facts.where(F.col(day).isNotNull()).select(
+        *keys, day, marked.alias("_marked"), since(F.lag(day).over(w)).cast("int").alias("_new"),
+        (F.coalesce(F.col(flag), F.lit(False)) & since(F.last(marked, ignorenulls=True).over(before))).cast("int").alias("_fnew"))
+    f = f.withColumn("_run", F.sum("_new").over(here)).withColumn("_frun", F.sum("_fnew").over(here))
+    inner = f.groupBy(*keys, "_run", "_frun").agg(
+        F.min(day).alias("_s"), F.max(day).alias("_e"), F.min("_marked").alias("_fs"), F.max("_marked").alias("_fe"))
+    return inner.groupBy(*keys, "_run").agg(
+        F.min("_s").alias(start), F.date_add(F.max("_e"), lookback).alias(end),
+        F.collect_list(F.when(F.col("_fs").isNotNull(), F.struct(
+            F.col("_fs").alias("s"), F.date_add("_fe", lookback).alias("e")))).alias(flagged)).drop("_run")
+
+
 def covered_days(facts: DataFrame, day: str, lookback: int) -> DataFrame:
     """Distinct days covered by any fact (at most ``lookback + 1`` per
     distinct fact day; the set is bounded by the calendar span)."""

@@ -13,15 +13,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.scalar import bps, flag, safe_ratio
 from ..functions.timefns import ts_lit
-from ..operators.aggs import conditional_distinct_counts
-from ..operators.intervals import (calendar_week_pieces, clip, coverage_runs, covered_days,
-                                   label_pieces, overlay_labels, pieces_within, spread_over_weeks)
+from ..operators.intervals import (clip, coverage_runs, covered_days, flagged_coverage_runs, label_pieces,
+                                   overlay_labels, pieces_within)
+from ..operators.sweep import WeekLookup, deltas, merge_overlaps, monday, running_counts, to_weeks
 from ..params import Params
 from ..sources.catalog import Tables
 
@@ -71,20 +71,16 @@ def _segment_pieces(t: Tables, lo: dt.date, hi: dt.date) -> DataFrame:
     return pieces_within(pieces, lo, hi)
 
 
-def _weekly_members(facts: DataFrame, t: Tables, p: Params, cal: DataFrame, lo: dt.date,
-                    hi: dt.date, week_bounds: bool = True,
-                    extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """(week, [week_begin, week_end], category, segment, merchant, *extra_keys)
-    for every merchant with a payment visible on some calendar day of the
-    week, with the segment of the paying unit on that day."""
-    keys = ["unit_token", "merchant_token", "business_category", *extra_keys]
-    runs = clip(coverage_runs(facts, keys, "payment_trx_recognized_at", p.trailing_days), lo, hi)
-    labelled = overlay_labels(runs.withColumnRenamed("unit_token", "user_token"), "user_token",
-                              _segment_pieces(t, lo, hi), "segment", P.INACTIVE_SEGMENT)
-    bounds = ["week_begin", "week_end"] if week_bounds else []
-    weekly = spread_over_weeks(labelled, calendar_week_pieces(cal, extra=bounds), lo, hi)
-    return weekly.select("week", *bounds, "business_category", "segment", "merchant_token",
-                         *extra_keys).distinct()
+def _calendar(t: Tables, kept: Column, lo: dt.date, hi: dt.date) -> DataFrame:
+    cal = t["dim_date"].where(kept & F.col("report_date").between(F.lit(lo), F.lit(hi)))
+    return cal.withColumn("week", monday(F.col("report_date")))
+
+
+def _segment_intervals(runs: DataFrame, t: Tables, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Runs of the paying units within ``[lo, hi]``, cut by the segment valid
+    on each day."""
+    return overlay_labels(clip(runs, lo, hi).withColumnRenamed("unit_token", "user_token"), "user_token",
+                          _segment_pieces(t, lo, hi), "segment", P.INACTIVE_SEGMENT)
 
 
 def _with_online(df: DataFrame, t: Tables, p: Params) -> DataFrame:
@@ -93,47 +89,72 @@ def _with_online(df: DataFrame, t: Tables, p: Params) -> DataFrame:
             .drop("_som_merchant", "_online")
 
 
+def _enrolment_weeks(t: Tables, p: Params, lookup: WeekLookup) -> DataFrame:
+    """Per merchant, the disjoint ranges of weeks in which it counts as
+    enrolled, as one array: weeks that end on or after the onboarding of an
+    active enrolment, or that an ended one's last day lies in or within
+    ``churn_lookback_days`` before."""
+    active, ended = F.col("state").isin(*P.ACTIVE_ENROLLED_STATES), F.col("state").isin(*P.ENDED_ENROLLED_STATES)
+    since = F.when(active, F.col("onboard_date")).when(ended, F.col("offboard_date"))
+    until = F.when(active, F.lit(dt.date.max)).when(ended, F.date_add("offboard_date", p.churn_lookback_days))
+    rows = t["enrolled_merchant"].where(F.col("merchant_token").isNotNull()).select(
+        F.col("merchant_token").alias("_rm_merchant"), since.alias("_since"), until.alias("_until"))
+    weeks = lookup.with_first_after(rows, F.col("_since"), "first_week", "week_end")
+    weeks = lookup.with_last_before(weeks, F.col("_until"), "last_week", "week_begin")
+    weeks = merge_overlaps(weeks.where("first_week <= last_week").drop("first_week_point"), ["_rm_merchant"])
+    return weeks.groupBy("_rm_merchant").agg(F.collect_list(F.struct("first_week", "last_week")).alias("_enrolled"))
+
+
 def paid_adoption_week(t: Tables, p: Params) -> DataFrame:
     """Of merchants with qualifying payments in the trailing window, how
     many are enrolled in the paid product in that week (active enrolment, or
-    an ended one that ended within ``churn_lookback_days`` of the week)."""
+    an ended one that ended within ``churn_lookback_days`` of the week).
+
+    Counted by signed deltas (``operators.sweep``): a merchant's weeks in a
+    (category, segment) are disjoint ranges, and so are those of them in which
+    it is enrolled; online flag and enrolment are joined once a range.  The
+    calendar's weeks must be in order (a later week neither begins nor ends
+    before an earlier one), and a week's days and its end lie within a week of
+    its first seven days."""
     first_week = p.payments_start + dt.timedelta(days=p.adoption_first_week_offset_days)
     last_week = p.as_of - dt.timedelta(days=p.as_of.weekday())
-    cal = t["dim_date"].where(F.col("week_begin").between(F.lit(first_week), F.lit(last_week)))
-    # the days those weeks hold, whatever the calendar says a week is
-    days = cal.agg(F.min("report_date"), F.max("report_date")).first()
-    lo, hi = days[0] or first_week, days[1] or first_week
+    lo, hi = first_week - dt.timedelta(days=7), last_week + dt.timedelta(days=13)
+    cal = _calendar(t, F.col("week_begin").between(F.lit(first_week), F.lit(last_week)), lo, hi)
+    lookup = WeekLookup(cal, lo, hi, ("report_date", "week_begin", "week_end"))
     api = daily_qualifying_payments(t, p)
-    members = _with_online(_weekly_members(api, t, p, cal, lo, hi), t, p)
-
-    rm = t["enrolled_merchant"].select(F.col("merchant_token").alias("_rm_merchant"),
-                                       "state", "onboard_date", "offboard_date")
-    j = members.join(rm, members["merchant_token"] == F.col("_rm_merchant"), "left")
-    enrolled = (F.col("_rm_merchant").isNotNull()
-                & ((F.col("state").isin(*P.ACTIVE_ENROLLED_STATES)
-                    & (F.col("onboard_date") <= F.col("week_end")))
-                   | (F.col("state").isin(*P.ENDED_ENROLLED_STATES)
-                      & F.col("offboard_date").between(
-                          F.date_sub("week_begin", p.churn_lookback_days), F.col("week_end")))))
-    rows = j.select(F.col("week").alias("week_start_date"),
-                    F.col("business_category").alias("mcc"), "is_online_store",
-                    F.col("segment").alias("gpv_segment"), "merchant_token",
-                    enrolled.alias("_enrolled"))
+    runs = coverage_runs(api, ["unit_token", "merchant_token", "business_category"],
+                         "payment_trx_recognized_at", p.trailing_days)
+    weeks = to_weeks(_segment_intervals(runs, t, lo, hi), lookup)
+    members = _with_online(merge_overlaps(weeks, ["business_category", "segment", "merchant_token"]), t, p)
+    members = members.join(_enrolment_weeks(t, p, lookup), F.col("merchant_token") == F.col("_rm_merchant"), "left")
+
+    # a group with only unknown merchants appears, with zero counts
+    known = F.col("merchant_token").isNotNull().cast("bigint")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    both = F.transform(F.coalesce("_enrolled", F.array().cast("array<struct<first_week:date,last_week:date>>")),
+                       lambda e: F.struct(F.greatest(e["first_week"], F.col("first_week")).alias("f"),
+                                          F.least(e["last_week"], F.col("last_week")).alias("l")))
+    paid = F.flatten(F.transform(F.filter(both, lambda e: e["f"] <= e["l"]),
+                                 lambda e: deltas(e["f"], e["l"], present=zero, total=zero, enrolled=one)))
+    there = deltas(F.col("first_week"), F.col("last_week"), present=one, total=known, enrolled=zero)
+    keys = ["business_category", "is_online_store", "segment"]
+    events = members.select(*keys, F.inline(F.concat(there, paid)))
+    rows = running_counts(events, keys, ["present", "total", "enrolled"], lookup).select(
+        F.col("week").alias("week_start_date"), F.col("business_category").alias("mcc"), "is_online_store",
+        F.col("segment").alias("gpv_segment"), "enrolled", "total")
 
     # Calendar days with no qualifying payment at all in their window still
     # form a group (no category, offline, default segment) with zero counts.
     uncovered = (cal.join(covered_days(api, "payment_trx_recognized_at", p.trailing_days),
                           F.col("report_date") == F.col("covered_day"), "left_anti")
-                 .select(F.date_trunc("week", "report_date").cast("date").alias("week_start_date"))
+                 .select(F.col("week").alias("week_start_date"))
                  .distinct()
                  .select("week_start_date", F.lit(None).cast("string").alias("mcc"),
                          F.lit(0).alias("is_online_store"),
                          F.lit(P.INACTIVE_SEGMENT).alias("gpv_segment"),
-                         F.lit(None).cast(api.schema["merchant_token"].dataType).alias("merchant_token"),
-                         F.lit(False).alias("_enrolled")))
-    counts = conditional_distinct_counts(
-        rows.unionByName(uncovered), ["week_start_date", "mcc", "is_online_store", "gpv_segment"],
-        "merchant_token", "total_merchants", {"enrolled_merchants": F.col("_enrolled")})
+                         F.lit(0).cast("bigint").alias("enrolled"), F.lit(0).cast("bigint").alias("total")))
+    counts = rows.unionByName(uncovered).groupBy("week_start_date", "mcc", "is_online_store", "gpv_segment").agg(
+        F.sum("enrolled").alias("enrolled_merchants"), F.sum("total").alias("total_merchants"))
     return counts.select(
         "week_start_date", "mcc", "is_online_store", "gpv_segment", "enrolled_merchants",
         "total_merchants",
@@ -170,8 +191,6 @@ def risk_eval_attach_week(t: Tables, p: Params) -> DataFrame:
     """Of merchants not enrolled in the paid product that had qualifying
     payments in the trailing window, how many opened a risky payment of the
     window in the dashboard (matched on unit and payment day, then bill)."""
-    cal = t["dim_date"].where(F.col("report_date").between(F.lit(p.engagement_report_start),
-                                                           F.lit(p.as_of)))
     lo, hi = p.engagement_report_start, p.as_of
     enrolled = t["enrolled_merchant"].select(F.col("merchant_token").alias("_rm_merchant"))
     api = (daily_qualifying_payments(t, p)
@@ -184,22 +203,28 @@ def risk_eval_attach_week(t: Tables, p: Params) -> DataFrame:
                           "left_semi")
                .select(F.col("user_token").alias("_r_user"),
                        F.col("risky_payment_date").alias("_r_date")).distinct())
-    active_api = api.join(engaged, (api["unit_token"] == F.col("_r_user"))
-                          & (api["payment_trx_recognized_at"] == F.col("_r_date")), "left_semi")
-
-    # One pass for both counts: every qualifying payment as kind 0, the
-    # engaged ones again as kind 1; coverage runs, segment overlay and week
-    # spread run once over the union, and one aggregation counts both.
-    facts = (api.withColumn("_kind", F.lit(0))
-             .unionByName(active_api.withColumn("_kind", F.lit(1))))
-    weekly = (_weekly_members(facts, t, p, cal, lo, hi, week_bounds=False, extra_keys=("_kind",))
-              .select(F.col("week").alias("week_start_date"), F.col("segment").alias("gpv_segment"),
-                      F.col("business_category").alias("mcc"), "merchant_token", "_kind"))
-    m = _with_online(weekly, t, p)
-    keys = ["week_start_date", "gpv_segment", "is_online_store", "mcc"]
-    # rows are distinct per (keys, merchant, kind), so counts are distinct counts
-    out = (m.groupBy(*keys)
-           .agg(F.count(F.when(F.col("_kind") == 0, F.col("merchant_token"))).alias("total"),
-                F.count(F.when(F.col("_kind") == 1, F.col("merchant_token"))).alias("active")))
+    # One pass over the payments for both counts: the engaged days' own runs
+    # stay inside the runs of all days, and are cut with them.
+    facts = api.join(engaged.withColumn("_engaged", F.lit(True)),
+                     (api["unit_token"] == F.col("_r_user"))
+                     & (api["payment_trx_recognized_at"] == F.col("_r_date")), "left")
+    runs = flagged_coverage_runs(facts, ["unit_token", "merchant_token", "business_category"],
+                                 "payment_trx_recognized_at", "_engaged", p.trailing_days)
+    cut = _segment_intervals(runs, t, lo, hi)
+    active = F.filter(F.transform("flagged_cover", lambda c: F.struct(
+        F.greatest(c["s"], F.col("cover_start")).alias("s"), F.least(c["e"], F.col("cover_end")).alias("e"),
+        F.lit(1).alias("k"))), lambda c: c["s"] <= c["e"])
+    whole = F.array(F.struct(F.col("cover_start").alias("s"), F.col("cover_end").alias("e"), F.lit(0).alias("k")))
+    parts = cut.select("business_category", "segment", "merchant_token", F.inline(F.concat(whole, active)))
+    lookup = WeekLookup(_calendar(t, F.lit(True), lo, hi), lo, hi)
+    weeks = to_weeks(parts, lookup, "s", "e")
+    members = _with_online(merge_overlaps(weeks, ["business_category", "segment", "merchant_token", "k"]), t, p)
+    keys = ["business_category", "is_online_store", "segment"]
+    events = members.select(*keys, F.inline(deltas(
+        F.col("first_week"), F.col("last_week"), total=(F.col("k") == 0).cast("bigint"),
+        active=(F.col("k") == 1).cast("bigint"))))
+    out = running_counts(events, keys, ["total", "active"], lookup).select(
+        F.col("week").alias("week_start_date"), F.col("segment").alias("gpv_segment"), "is_online_store",
+        F.col("business_category").alias("mcc"), "total", "active")
     return (out.where(F.col("total") > 0)
             .withColumn("risk_evaluation_attach_rates", safe_ratio("active", "total")))

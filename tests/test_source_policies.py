@@ -14,8 +14,9 @@ def _hits(pattern: str) -> list[str]:
 
 
 def test_broadcast_hints_only_on_the_bounded_calendar():
-    assert _hits(r"F\.broadcast\(") == ["operators/intervals.py:%d" % _line("operators/intervals.py",
-                                                                             "F.broadcast(cal_pieces)")]
+    assert sorted(_hits(r"F\.broadcast\(")) == [
+        "operators/intervals.py:%d" % _line("operators/intervals.py", "F.broadcast(cal_pieces)"),
+        "operators/sweep.py:%d" % _line("operators/sweep.py", "F.broadcast(self._days)")]
 
 
 def _line(rel: str, text: str) -> int:
@@ -33,3 +34,8 @@ def test_no_forbidden_constructs():
 def test_collect_only_for_catalog_metadata():
     assert _hits(r"\.collect\(\)|\.toPandas\(\)|\.toArrow\(\)") == ["sinks.py:%d" % _line(
         "sinks.py", 'SHOW TABLES')]
+
+
+def test_no_job_while_a_plan_is_built():
+    jobs = _hits(r"\.(first|head|tail|isEmpty|count|toLocalIterator)\(\)|\.(take|show|foreach)\(")
+    assert [h for h in jobs if h.startswith(("plans/", "operators/", "functions/"))] == []

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.shared import ascii_lower, stage
+from riskspark.llm.shared import ascii_lower, least_row, stage
 
 DEFAULT_CAPACITY = 8192
 
@@ -139,7 +139,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         docs.join(vague.withColumnRenamed("doc_id", id_col), id_col, "left_semi").select(columns))
     # one row for each (id, text) whose decision is to stay
     one = unclear.groupBy(F.col(id_col).alias("__id"), sha.alias("__sha")).agg(
-        F.min(F.struct(*columns)).alias("__row"))
+        least_row(columns).alias("__row"))
     stays = result.filter("kept").select("doc_id", "sha").distinct()
     one = one.join(stays, F.col("__id").eqNullSafe(stays.doc_id) & (F.col("__sha") == stays.sha), "left_semi")
     return clear.unionByName(one.select("__row.*"))

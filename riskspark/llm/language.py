@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.shared import batch_slices, join_checked, lower_bytes, split_words, stage, text_bytes
+from riskspark.llm.shared import batch_slices, join_checked, lower_bytes, split_words, stage, text_bytes, tidy
 
 BUCKETS = 1 << 16
 SLICE_BYTES = 1 << 20  # scored at once
@@ -157,7 +157,7 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
                  pa.array(np.concatenate([some, BUCKETS + used]).astype(np.int32)),
                  pa.array(np.concatenate([got[some], scripts[lang][used]]))], ["lang", "bucket", "n"])
 
-    counts = (texts.mapInArrow(count, "lang string, bucket int, n long")
+    counts = (texts.mapInArrow(tidy(count), "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(counts["lang"].unique())
     full = np.zeros((BUCKETS + len(SCRIPT_STARTS) + 1, len(languages)))
@@ -174,18 +174,19 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, penalty: float = SWITCH_PENALT
     """Best label of each word, for all texts at once.  ``rows``: first word
     of each text, with the total appended.  Texts are stepped in parallel,
     the longest first, so each step works on a leading slice."""
-    labels = np.zeros(len(scores), np.int8)
+    kind = np.min_scalar_type(-max(scores.shape[1], 1))  # wide enough for every label
+    labels = np.zeros(len(scores), kind)
     if not len(scores):
         return labels
     lengths = np.diff(rows)
     order = np.argsort(-lengths, kind="stable")
     begin, length = rows[:-1][order], lengths[order]
     n_langs = scores.shape[1]
-    came = np.zeros(scores.shape, np.int8)
-    own = np.arange(n_langs, dtype=np.int8)
+    came = np.zeros(scores.shape, kind)
+    own = np.arange(n_langs, dtype=kind)
     alive = np.searchsorted(-length, -np.arange(length[0]), "left")  # texts with a word at each step
     v = scores[begin[:alive[0]]].copy()
-    last = np.zeros(len(lengths), np.int8)
+    last = np.zeros(len(lengths), kind)
     for t in range(1, int(length[0])):
         a = alive[t]
         if a < len(v):
@@ -193,7 +194,7 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, penalty: float = SWITCH_PENALT
             v = v[:a]
         at = begin[:a] + t
         v = v - v.max(1, keepdims=True)
-        best = v.argmax(1).astype(np.int8)
+        best = v.argmax(1).astype(kind)
         came[at] = np.where(v >= -penalty, own, best[:, None])
         v = np.maximum(v, -penalty) + scores[at]
     last[:len(v)] = v.argmax(1)
@@ -298,7 +299,7 @@ def label_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text
 
     chosen = docs.select(*keep, F.col(text_col).alias("__text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(label, f"{kinds}, {RESULT}")
+    return chosen.mapInArrow(tidy(label), f"{kinds}, {RESULT}")
 
 
 def held_out(id_col: Column, folds: int = 3, fold: int = 1) -> Column:
@@ -306,21 +307,38 @@ def held_out(id_col: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string")), F.lit(folds)) == fold, F.lit(False))
 
 
+def _learned(docs: DataFrame, train_rows: int) -> LanguageModel:
+    """Learned from the rows of ``docs`` that are not held out."""
+    return train_language_model(docs.filter(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1),
+                                train_rows=train_rows)
+
+
+def _identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    chosen = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return label_languages(chosen, model, keep=["doc_id", "held_out"])
+
+
 def identify_languages(docs: DataFrame, train_rows: int = 50_000) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, spans``, learned from the rows of
     ``docs`` that are not held out."""
-    learn = docs.filter((F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1))
-    model = train_language_model(learn, train_rows=train_rows)
-    chosen = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return label_languages(chosen, model, keep=["doc_id", "held_out"])
+    return _identified(docs, _learned(docs, train_rows))
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
+def keep_identified(docs: DataFrame, train_rows: int = 50_000) -> DataFrame:
     """The rows of ``docs`` in some language, or in several: rejected are
-    texts without a letter.  The rejected ids are few; an id that is null or
-    that also names a row that stays is not rejected."""
-    found = stage(identify_languages(docs).select("doc_id", "lang_pred"), "language-result")
-    bad = found.filter(F.col("lang_pred") == "und").select("doc_id")
-    good = found.join(bad.distinct(), "doc_id", "left_semi").filter(F.col("lang_pred") != "und").select("doc_id")
-    rejected = stage(bad.join(good, "doc_id", "left_anti"), "language-rejected")
-    return join_checked(docs, rejected, "doc_id", "left_anti").select(docs.columns)
+    texts without a letter, and only they: if no row has a label, nothing can
+    be learned and the letters alone decide.  The rejected ids are few; rows
+    whose id is null or repeated are decided by their text."""
+    model = _learned(docs, train_rows)
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    if not len(model.languages):
+        return docs.filter(letters)
+    found = stage(_identified(docs, model).select("doc_id", "lang_pred"), "language-result")
+    bad = found.filter("lang_pred = 'und' and doc_id is not null").select("doc_id").distinct()
+    vague = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1 and doc_id is not null").select("doc_id")
+    vague = stage(vague, "language-vague-ids")
+    rejected = stage(bad.unionByName(vague).distinct(), "language-rejected")
+    clear = join_checked(docs.filter(F.col("doc_id").isNotNull()), rejected, "doc_id", "left_anti").select(docs.columns)
+    unclear = docs.filter(F.col("doc_id").isNull()).unionByName(
+        join_checked(docs, vague, "doc_id", "left_semi").select(docs.columns))
+    return clear.unionByName(unclear.filter(letters))

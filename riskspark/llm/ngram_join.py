@@ -55,8 +55,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.components import connected_components
-from riskspark.llm.shared import (batch_slices, hash_words, join_checked, lower_bytes, mix64, split_words, stage,
-                                  text_bytes)
+from riskspark.llm.shared import (batch_slices, hash_words, join_checked, least_row, lower_bytes, mix64, release_memory,
+                                  split_words, stage, text_bytes, tidy)
 
 SLICE_BYTES = 2 << 20
 BAND_RATIO = 4
@@ -239,7 +239,7 @@ def describe_sets(docs: DataFrame, width: int) -> DataFrame:
                 ["is_doc", "k", "doc_id", "n", "code", "sketch"])
 
     return stage(docs.select("k", "doc_id", "text").mapInArrow(
-        describe, "is_doc boolean, k long, doc_id long, n long, code long, sketch binary"), "ngram-sets")
+        tidy(describe), "is_doc boolean, k long, doc_id long, n long, code long, sketch binary"), "ngram-sets")
 
 
 # ------------------------------------------------------- signatures
@@ -476,6 +476,7 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
                         ["bucket", "kind", "sig", "cls", "n", "run"])
 
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         entries = [(_unpacked if kind == _ENTRIES else _uncrowded)(*x)
                    for kind, *x in pdf[["kind", "sig", "cls", "n", "run"]].itertuples(index=False)]
         pairs, members = meet(np.concatenate([np.zeros(0, ENTRY), *entries]), t)
@@ -486,7 +487,7 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
         return pd.DataFrame({"is_pair": np.arange(size) < k, "sig": sig.view(np.int64), "a": a.view(np.int64),
                              "b": b.view(np.int64), "n": n})
 
-    dealt = docs.select("text").mapInArrow(emit, "bucket int, kind int, sig binary, cls binary, n binary, run binary")
+    dealt = docs.select("text").mapInArrow(tidy(emit), "bucket int, kind int, sig binary, cls binary, n binary, run binary")
     return stage(dealt.groupBy("bucket").applyInPandas(
         reduce, "is_pair boolean, sig long, a long, b long, n long"), "ngram-candidates")
 
@@ -508,7 +509,7 @@ def passing(pairs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
         F.col("code").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return stage(both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(
-        test, "a long, b long"), "ngram-passing")
+        tidy(test), "a long, b long"), "ngram-passing")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> DataFrame:
@@ -531,7 +532,7 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Data
 
     both = pairs.join(texts.select(F.col("code").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("code").alias("b"), F.col("text").alias("text_b")), "b")
-    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(test, "a long, b long"), "ngram-links")
+    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(test), "a long, b long"), "ngram-links")
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -629,6 +630,7 @@ def open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, failed
         about.withColumnRenamed("code", "of"), "of")
 
     def compare(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         pdf = pdf.sort_values(["sig", "i", "j", "side", "code"])
         known = known.set_index("of")
         at = known.index.get_indexer(pdf["code"])
@@ -695,6 +697,7 @@ def count_links(docs: DataFrame, classes: DataFrame, labels: DataFrame, width: i
                  "code", "text", F.pmod(F.xxhash64("component", i, j), F.lit(buckets)).alias("bucket"))
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         import pyarrow as pa
 
         pdf = pdf.sort_values(["component", "i", "j", "side", "code"])
@@ -826,5 +829,5 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         join_checked(docs, vague.withColumnRenamed("doc_id", id_col), id_col, "left_semi").select(columns))
     chosen = chosen.withColumn("__k", F.xxhash64(id_.cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
     chosen = join_checked(chosen, stays, "__k")
-    one = chosen.filter("__n > 0").groupBy("__k").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+    one = chosen.filter("__n > 0").groupBy("__k").agg(least_row(columns).alias("__row")).select("__row.*")
     return clear.unionByName(one).unionByName(chosen.filter("__n = 0").select(columns))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.shared import stage
+from riskspark.llm.shared import stage, tidy
 from riskspark.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -56,7 +56,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, separ
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        pieces, PIECES)
+        tidy(pieces), PIECES)
     return stage(cut.withColumn("item", F.monotonically_increasing_id()), "pack-pieces")
 
 

@@ -3,13 +3,17 @@ pattern, and vectorised word hashing for tasks that work on Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.session import shared_path
+
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -22,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     since its machines share no local folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named.rstrip("/")
+        return shared_path(spark, named)
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
@@ -44,6 +48,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system.  Spark keeps Python workers for
+    later tasks and stages; without this they also keep the arrays' pages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it decides itself
+        pass
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task`` (of batches), starting and leaving its worker without what
+    earlier work has freed."""
+    def run(batches: Iterator) -> Iterator:
+        release_memory()
+        try:
+            yield from task(batches)
+        finally:
+            release_memory()
+    return run
+
+
+def least_row(columns: list[str]) -> Column:
+    """One whole row of a group: the one whose JSON is smallest.  Columns may
+    be of any type, also of those that Spark can't order (maps)."""
+    whole = F.struct(*columns)
+    return F.min_by(whole, F.to_json(whole))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(text, UPPER, UPPER.lower())

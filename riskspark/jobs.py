@@ -78,7 +78,15 @@ def main(argv: list[str] | None = None) -> dict[str, DataFrame]:
     ap.add_argument("--stage", help="shared folder for intermediates (default: spark.checkpoint.dir)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    apply_cluster_defaults(spark)
+    applied = apply_cluster_defaults(spark)
+    try:
+        return _run(spark, args)
+    finally:  # the session may be someone else's too
+        for key in applied:
+            spark.conf.unset(key)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     ensure_checkpoint_dir(spark)
     overrides = json.load(open(args.params)) if args.params else {}
     if args.driver_data:

@@ -82,3 +82,10 @@ def test_local_folders_are_refused_on_a_cluster(spark, monkeypatch):
         with pytest.raises(RuntimeError):
             session.shared_path(spark, path)
     assert session.shared_path(spark, "hdfs://a/x") == "hdfs://a/x"
+
+
+def test_a_job_leaves_the_session_as_it_was(spark):
+    before = {k: spark.conf.get(k, None) for k in session.CLUSTER_DEFAULTS}
+    out = tempfile.mkdtemp(prefix="rs-jobs-", dir="/tmp")
+    main(["--book", "mart", "--driver-data", SF_SMALL, "--output", out])
+    assert {k: spark.conf.get(k, None) for k in session.CLUSTER_DEFAULTS} == before

@@ -6,8 +6,9 @@ like the logical tables.  ``--as-of`` sets another day, ``--params`` names a
 JSON file of ``Params`` fields (dates as ISO text), ``--tables`` a JSON file
 that maps logical to physical table names, and ``--driver-data <dir>`` reads
 the synthetic test tables instead.  Reports are published with
-``sinks.publish`` (new version, then a view switch) and/or written as parquet
-under ``--output``; with both, the files are written from the published table.
+``sinks.publish`` (new version, then a view switch), written as parquet
+under ``--output`` and/or added as a version under ``--published``
+(``manifest``); with several, the files are written from the published table.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .manifest import publish_files, read_published
 from .params import Params
 from .plans.books import BOOKS
 from .session import apply_cluster_defaults, ensure_checkpoint_dir
@@ -27,12 +29,14 @@ from .sources.catalog import LOGICAL_TABLES, Tables
 
 
 def run_book(t: Tables, p: Params, book: str, database: str | None = None,
-             base_path: str | None = None, stage_root: str | None = None) -> dict[str, DataFrame]:
+             base_path: str | None = None, stage_root: str | None = None,
+             published_path: str | None = None) -> dict[str, DataFrame]:
     """Compute ``book`` and persist each report as ``<database>.<report>``
-    (published view) and/or ``<base_path>/<report>`` (parquet).  The shared
-    intermediates are dropped at the end; the returned frames read what was
-    persisted."""
-    if not (database or base_path):
+    (published view), ``<base_path>/<report>`` (parquet) and/or the next
+    version under ``<published_path>/<report>`` (``manifest.publish_files``).
+    The shared intermediates are dropped at the end; the returned frames read
+    what was persisted."""
+    if not (database or base_path or published_path):
         raise ValueError("name a database or an output path")
     out = {}
     try:
@@ -43,6 +47,10 @@ def run_book(t: Tables, p: Params, book: str, database: str | None = None,
                 path = f"{base_path.rstrip('/')}/{name}"
                 write_parquet(df, path)
                 df = df if database else t.spark.read.parquet(path)
+            if published_path:
+                root = f"{published_path.rstrip('/')}/{name}"
+                version = publish_files(df, root)
+                df = df if database or base_path else read_published(t.spark, root, version)
             out[name] = df
     finally:
         t.drop_stages()
@@ -75,6 +83,7 @@ def main(argv: list[str] | None = None) -> dict[str, DataFrame]:
     ap.add_argument("--driver-data", help="directory of the driver's parquet tables")
     ap.add_argument("--database", help="publish each report as <database>.<report>")
     ap.add_argument("--output", help="write each report as parquet under this path")
+    ap.add_argument("--published", help="add a version of each report under this path, which readers see whole")
     ap.add_argument("--stage", help="shared folder for intermediates (default: spark.checkpoint.dir)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -99,7 +108,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
         p = job_params(args.as_of or dt.date.today(), overrides)
     if args.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
-    return run_book(t, p, args.book, args.database, args.output, args.stage)
+    return run_book(t, p, args.book, args.database, args.output, args.stage, args.published)
 
 
 if __name__ == "__main__":

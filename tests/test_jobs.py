@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as E
 from riskspark import session
 from riskspark.jobs import job_params, main, run_book
+from riskspark.manifest import latest, read_published
 from riskspark.sources.driver_adapter import driver_tables
 
 from .conftest import SF_SMALL
@@ -84,6 +85,15 @@ def test_local_folders_are_refused_on_a_cluster(spark, monkeypatch):
     assert session.shared_path(spark, "hdfs://a/x") == "hdfs://a/x"
 
 
+def test_a_job_adds_versions_of_its_reports(spark):
+    out = tempfile.mkdtemp(prefix="rs-jobs-", dir="/tmp")
+    for n in (1, 2):
+        reports = main(["--book", "mart", "--driver-data", SF_SMALL, "--published", out])
+        for name, df in reports.items():
+            assert latest(spark, f"{out}/{name}").number == n
+            assert read_published(spark, f"{out}/{name}").count() == df.count() > 0
+
+
 def test_a_job_leaves_the_session_as_it_was(spark):
     before = {k: spark.conf.get(k, None) for k in session.CLUSTER_DEFAULTS}
     out = tempfile.mkdtemp(prefix="rs-jobs-", dir="/tmp")

@@ -31,9 +31,10 @@ def test_no_forbidden_constructs():
     assert _hits(r"coalesce\(1\)|repartition\(1\)") == []
 
 
-def test_collect_only_for_catalog_metadata():
-    assert _hits(r"\.collect\(\)|\.toPandas\(\)|\.toArrow\(\)") == ["sinks.py:%d" % _line(
-        "sinks.py", 'SHOW TABLES')]
+def test_collect_only_for_catalog_metadata_and_changed_days():
+    assert sorted(_hits(r"\.collect\(\)|\.toPandas\(\)|\.toArrow\(\)")) == [
+        "plans/mart.py:%d" % _line("plans/mart.py", "changed.collect()"),  # one row a payment day, while publishing
+        "sinks.py:%d" % _line("sinks.py", 'SHOW TABLES')]
 
 
 def test_no_job_while_a_plan_is_built():

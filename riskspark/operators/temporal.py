@@ -1,4 +1,5 @@
-"""Time-ordered operators: gaps between events, day-window matching."""
+"""Time-ordered operators: gaps between events, day-window matching, nearest
+events of another stream."""
 
 from __future__ import annotations
 
@@ -36,3 +37,31 @@ def within_days(left_time: Column, right_time: Column, days: int) -> Column:
     hi = left_time + F.make_dt_interval(F.lit(days))
     d = F.to_date(right_time)
     return (d >= lo) & (d <= hi)
+
+
+def with_nearest(events: DataFrame, others: DataFrame, key: str, at: str, last: str, next_: str) -> DataFrame:
+    """``events`` with the times (``at``) of the latest row of ``others`` of the
+    same ``key`` that is not later, and of the earliest that is not earlier.
+
+    Both streams are put together and sorted by time within the key, and the
+    last time seen is carried forwards, then backwards: one shuffle, no join
+    and so no pairs, however many of the one stream lie near one of the other.
+    Whether some row lies within given bounds around an event is told by these
+    two alone.  Both frames only grow.
+
+    Each stream should be at a grain that bounds a key's rows (days, say).
+    NULL keys meet nothing, and a NULL time of ``others`` is never the nearest.
+    Repeated events stay repeated.  ``key`` and ``at`` must have the same types
+    on both sides.
+    """
+    found = others.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
+        key, at, *(F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in (key, at)),
+        F.col(at).alias("_other"))
+    both = events.withColumn("_other", F.lit(None).cast(others.schema[at].dataType)).unionByName(found)
+    both = both.withColumn("_is_other", F.col("_other").isNotNull())
+    # rows of one time are peers in a range frame: "not later" includes "at the same time"
+    frame = lambda order: (Window.partitionBy(key).orderBy(order)
+                           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return (both.withColumn(last, F.max("_other").over(frame(F.col(at).asc_nulls_first())))
+            .withColumn(next_, F.min("_other").over(frame(F.col(at).desc_nulls_first())))
+            .where(~F.col("_is_other")).drop("_other", "_is_other"))

@@ -18,6 +18,9 @@ from . import attach, detection, disputes, dormancy, mart
 
 def detection_book(t: Tables, p: Params, stage_root: str | None = None) -> dict[str, DataFrame]:
     t.materialize("tagged_events", p, lambda: detection._build_tagged_events(t, p), stage_root)
+    # the months' sets of users: the year reports merge them
+    t.materialize("recall_months", p, lambda: detection._build_recall_months(t, p), stage_root)
+    t.materialize("precision_months", p, lambda: detection._build_precision_months(t, p), stage_root)
     names = ["tagged_event_extract", "confirmed_takeovers", "detector_recall_month", "detector_recall_year",
              "detector_precision_month", "detector_precision_year", "group_fully_locked",
              "headcount_profile", "headcount_buckets"]

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import after_marker, flag, headcount_bucket, token_before
-from ..operators.aggs import conditional_distinct_counts
 from ..functions.timefns import trunc_date, ts_lit
-from ..operators.temporal import within_days
+from ..operators.distinct_sets import count_states, distinct_states, merge_states
+from ..operators.temporal import with_nearest, within_days
 from ..params import Params
 from ..sources.catalog import Tables
 
@@ -60,60 +60,87 @@ def confirmed_takeovers(t: Tables, p: Params) -> DataFrame:
     return t["ato_merchant"].where(F.col("earliest_confirmed_at") <= ts_lit(p.log_cutoff))
 
 
-def _recall(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
-    ato = confirmed_takeovers(t, p).select("user_token", "earliest_confirmed_at")
-    # Only tags of confirmed users can match (semi-join to that small set
-    # first), and only the tagged day matters, so one row per (user, day).
+def _confirmed_users(t: Tables, p: Params, name: str) -> DataFrame:
+    """Who is confirmed when, without repeats.  Nothing matches a missing
+    user, so of those only the months are kept."""
+    user, at = F.col("user_token"), F.col("earliest_confirmed_at")
+    return (confirmed_takeovers(t, p)
+            .select(user, F.when(user.isNull(), F.date_trunc("month", at).cast("timestamp_ntz")).otherwise(at).alias(name)).distinct())
+
+
+def _recall_months(t: Tables, p: Params) -> DataFrame:
+    """Per month the sets of confirmed users and of those the detector tagged
+    around a confirmation (``distinct_sets`` states)."""
+    return t.derived("recall_months", p, lambda: _build_recall_months(t, p))
+
+
+def _build_recall_months(t: Tables, p: Params) -> DataFrame:
+    ato = _confirmed_users(t, p, "at")
+    # only the tagged day matters, so one row per (user, day)
     sk = (tagged_events(t, p).where(F.col("fp_unit_token").isNull())
-          .join(ato.select(F.col("user_token").alias("target_token")), "target_token", "left_semi")
-          .select("target_token", F.to_date("created_at").alias("created_day")).distinct())
-    cond = ((sk["target_token"] == ato["user_token"])
-            & within_days(ato["earliest_confirmed_at"], sk["created_day"], p.match_days))
-    j = ato.join(sk, cond, "left").withColumn(name, trunc_date(unit, "earliest_confirmed_at"))
-    # a matched tag has target_token == user_token, so both distinct counts
-    # are counts of users: one key, one flag, no Expand
-    return (conditional_distinct_counts(j, [name], "user_token", "confirmed_ato",
-                                        {"tagged_sellers": F.col("target_token").isNotNull()})
-            .orderBy(F.col(name).desc()))
+          .select(F.col("target_token").alias("user_token"),
+                  F.to_date("created_at").cast("timestamp_ntz").alias("at")).distinct())
+    at = F.col("at")
+    # of all tagged days, if any is in reach then the nearest before or after is
+    j = with_nearest(ato, sk, "user_token", "at", "_tag_before", "_tag_after")
+    tagged = within_days(at, F.col("_tag_before"), p.match_days) | within_days(at, F.col("_tag_after"), p.match_days)
+    return distinct_states(j.withColumn("ato_month", trunc_date("month", at)), ["ato_month"], "user_token",
+                           {"tagged_sellers": F.coalesce(tagged, F.lit(False))})
 
 
 def detector_recall_month(t: Tables, p: Params) -> DataFrame:
     """Confirmed takeovers per month and how many of them the detector
     tagged within ``match_days`` of confirmation."""
-    return _recall(t, p, "month", "ato_month")
+    return (count_states(_recall_months(t, p), ["ato_month"], "confirmed_ato", ["tagged_sellers"])
+            .orderBy(F.col("ato_month").desc()))
 
 
 def detector_recall_year(t: Tables, p: Params) -> DataFrame:
-    return _recall(t, p, "year", "ato_year")
+    """C2 per year, merged from the months' sets."""
+    years = merge_states(_recall_months(t, p), {"ato_year": trunc_date("year", "ato_month")}, ["tagged_sellers"])
+    return (count_states(years, ["ato_year"], "confirmed_ato", ["tagged_sellers"])
+            .orderBy(F.col("ato_year").desc()))
+
+
+def _precision_months(t: Tables, p: Params) -> DataFrame:
+    """Per month the sets of tagged users and of those with a confirmed
+    takeover around a tag (``distinct_sets`` states)."""
+    return t.derived("precision_months", p, lambda: _build_precision_months(t, p))
 
 
-def _precision(t: Tables, p: Params, unit: str, name: str) -> DataFrame:
+def _build_precision_months(t: Tables, p: Params) -> DataFrame:
     # Against a confirmation's day, bounds of +/- n days depend on the tag's
     # day and on whether it is at midnight, not on its time.  So a user has at
     # most two rows a day here, however often tagged, and a hot user stays
-    # small in the join and in the aggregation that reuses its partitioning.
-    day = F.to_date("created_at").cast("timestamp_ntz")
+    # small in the window.  (Tags without a user match nothing, so of those
+    # only the months are kept.)
+    user, day = F.col("target_token"), F.to_date("created_at").cast("timestamp_ntz")
     late = (F.col("created_at") > day).cast("int")
+    moment = F.when(user.isNull(), F.date_trunc("month", day).cast("timestamp_ntz")).otherwise(day + F.make_dt_interval(F.lit(0), late))
     sk = (tagged_events(t, p)
           .where(F.col("fp_unit_token").isNull() & (F.col("created_at") < ts_lit(p.precision_cutoff)))
-          .select("target_token", (day + F.make_dt_interval(F.lit(0), late)).alias("created_at")).distinct())
-    ato = confirmed_takeovers(t, p).select("user_token", "earliest_confirmed_at")
-    cond = ((sk["target_token"] == ato["user_token"])
-            & within_days(sk["created_at"], ato["earliest_confirmed_at"], p.match_days))
-    j = sk.join(ato, cond, "left").withColumn(name, trunc_date(unit, "created_at"))
-    # a matched confirmation has user_token == target_token (see recall)
-    return conditional_distinct_counts(j, [name], "target_token", "tagged_users",
-                                       {"confirmed_ato": F.col("user_token").isNotNull()})
+          .select(user, moment.alias("at")).distinct())
+    ato = (confirmed_takeovers(t, p)
+           .select(F.col("user_token").alias("target_token"),
+                   F.to_date("earliest_confirmed_at").cast("timestamp_ntz").alias("at")).distinct())
+    at = F.col("at")
+    j = with_nearest(sk, ato, "target_token", "at", "_ato_before", "_ato_after")
+    found = within_days(at, F.col("_ato_before"), p.match_days) | within_days(at, F.col("_ato_after"), p.match_days)
+    return distinct_states(j.withColumn("tagged_month", trunc_date("month", at)), ["tagged_month"], "target_token",
+                           {"confirmed_ato": F.coalesce(found, F.lit(False))})
 
 
 def detector_precision_month(t: Tables, p: Params) -> DataFrame:
     """Tagged users per month and how many of them were confirmed
     takeovers within ``match_days`` of the tag."""
-    return _precision(t, p, "month", "tagged_month")
+    return count_states(_precision_months(t, p), ["tagged_month"], "tagged_users", ["confirmed_ato"])
 
 
 def detector_precision_year(t: Tables, p: Params) -> DataFrame:
-    return _precision(t, p, "year", "tagged_year")
+    """C3 per year, merged from the months' sets."""
+    years = merge_states(_precision_months(t, p), {"tagged_year": trunc_date("year", "tagged_month")},
+                         ["confirmed_ato"])
+    return count_states(years, ["tagged_year"], "tagged_users", ["confirmed_ato"])
 
 
 def _person_flags(t: Tables) -> DataFrame:

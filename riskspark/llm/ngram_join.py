@@ -372,17 +372,29 @@ def meet(entries: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([pairs, more])), members
 
 
-def _packed(entries: np.ndarray) -> list[bytes]:
-    """Entries as columns, a class and its size once for its run of signatures."""
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers as their first bytes, then their second ones and so on:
+    the bytes that are mostly 0 lie together and compress away."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _packed(entries: np.ndarray, buckets: int) -> list[bytes]:
+    """Entries of one bucket as columns, a class and its size once for its run
+    of signatures, and a signature by what its bucket does not tell of it."""
     new = np.flatnonzero(np.concatenate([[True], entries["cls"][1:] != entries["cls"][:-1]]))
-    run = np.diff(np.concatenate([new, [len(entries)]])).astype("<i4")
-    return [entries["sig"].tobytes(), entries["cls"][new].tobytes(), entries["n"][new].tobytes(), run.tobytes()]
+    run = np.diff(np.concatenate([new, [len(entries)]]))
+    return [(entries["sig"] // np.uint64(buckets)).astype("<u4").tobytes(), entries["cls"][new].tobytes(),
+            _planes(entries["n"][new]), _planes(run)]
 
 
-def _unpacked(sig: bytes, cls: bytes, n: bytes, run: bytes) -> np.ndarray:
-    entries, run = np.empty(len(sig) // 8, ENTRY), np.frombuffer(run, "<i4")
-    entries["sig"] = np.frombuffer(sig, "<u8")
-    entries["cls"], entries["n"] = np.repeat(np.frombuffer(cls, "<u8"), run), np.repeat(np.frombuffer(n, "<i4"), run)
+def _unpacked(bucket: int, buckets: int, sig: bytes, cls: bytes, n: bytes, run: bytes) -> np.ndarray:
+    entries, run = np.empty(len(sig) // 4, ENTRY), _from_planes(run)
+    entries["sig"] = np.frombuffer(sig, "<u4").astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+    entries["cls"], entries["n"] = np.repeat(np.frombuffer(cls, "<u8"), run), np.repeat(_from_planes(n), run)
     return entries
 
 
@@ -390,7 +402,8 @@ def _dealt(entries: np.ndarray, buckets: int) -> list[tuple]:
     bucket = (entries["sig"] % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     entries, edge = entries[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-    return [(i, _ENTRIES, *_packed(entries[edge[i]:edge[i + 1]])) for i in range(buckets) if edge[i] < edge[i + 1]]
+    return [(i, _ENTRIES, *_packed(entries[edge[i]:edge[i + 1]], buckets))
+            for i in range(buckets) if edge[i] < edge[i + 1]]
 
 
 def _dealt_crowds(entries: np.ndarray, bounds: np.ndarray, buckets: int) -> list[tuple]:
@@ -448,7 +461,9 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
             usual = known[at] == values if len(known) else np.zeros(len(values), bool)
             which, signature = signatures(values, bounds, usual, bands, t)
             part = np.empty(len(which), ENTRY)
-            part["sig"], part["cls"], part["n"] = signature, cls[which], n[which]
+            # 32 bits besides the bucket's: signatures that then agree by chance
+            # (one in thousands of entries has such a fellow) make a meeting more
+            part["sig"], part["cls"], part["n"] = signature % np.uint64(buckets << 32), cls[which], n[which]
             parts.append(part[np.argsort(which, kind="stable")])
         return np.concatenate(parts)
 
@@ -477,8 +492,8 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
 
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
         release_memory()
-        entries = [(_unpacked if kind == _ENTRIES else _uncrowded)(*x)
-                   for kind, *x in pdf[["kind", "sig", "cls", "n", "run"]].itertuples(index=False)]
+        entries = [_unpacked(bucket, buckets, *x) if kind == _ENTRIES else _uncrowded(*x)
+                   for bucket, kind, *x in pdf[["bucket", "kind", "sig", "cls", "n", "run"]].itertuples(index=False)]
         pairs, members = meet(np.concatenate([np.zeros(0, ENTRY), *entries]), t)
         k, size = len(pairs), len(pairs) + len(members)
         sig, a, b, n = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, int)

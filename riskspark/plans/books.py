@@ -29,10 +29,12 @@ def detection_book(t: Tables, p: Params, stage_root: str | None = None) -> dict[
 
 
 def dormancy_book(t: Tables, p: Params, stage_root: str | None = None) -> dict[str, DataFrame]:
-    # in this order each is built from those before it
-    t.materialize("payment_gaps", p, lambda: dormancy._build_payment_gaps(t, p), stage_root)
-    t.materialize("payment_dormancy", p, lambda: dormancy._build_payment_dormancy(t, p), stage_root)
-    t.materialize("movement_latest", p, lambda: dormancy._build_movement_latest(t, p), stage_root)
+    # in this order each is built from those before it; those that are joined
+    # and grouped by unit are bucketed by it, so they are not shuffled again
+    t.materialize("payment_gaps", p, lambda: dormancy._build_payment_gaps(t, p), stage_root, "unit_token")
+    t.materialize("payment_dormancy", p, lambda: dormancy._build_payment_dormancy(t, p), stage_root,
+                  "user_token")
+    t.materialize("movement_latest", p, lambda: dormancy._build_movement_latest(t, p), stage_root, "unit_token")
     t.materialize("last_activity", p, lambda: dormancy._build_last_activity(t), stage_root)
     t.materialize("risk_segmentation", p, lambda: dormancy._build_risk_segmentation(t, p), stage_root)
     names = ["payment_gaps", "gap_history", "payment_dormancy", "payment_dormancy_buckets",

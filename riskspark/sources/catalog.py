@@ -33,6 +33,7 @@ class Tables:
         self._builders = dict(builders or {})
         self._derived: dict = {}
         self._stages: list[str] = []
+        self._stage_tables: list[str] = []
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -58,19 +59,39 @@ class Tables:
         return self._derived[k]
 
     def materialize(self, name: str, key, build: Callable[[], DataFrame],
-                    stage_root: str | None = None) -> DataFrame:
+                    stage_root: str | None = None, by: str | None = None,
+                    buckets: int | None = None) -> DataFrame:
         """Compute an intermediate once as a Parquet table under
         ``stage_root`` (default: the session's checkpoint directory; shared
         storage on a cluster, so it survives the loss of executors).  Later
         readers prune its columns and push their filters into it.
-        ``drop_stages`` removes it."""
+        ``drop_stages`` removes it.
+
+        With ``by`` the table is bucketed and sorted by that column (into
+        ``buckets``, default: the session's shuffle partitions): joins,
+        groupings and windows on it need no shuffle of the staged side, and
+        none at all where both sides are staged so.  Spark keeps buckets only
+        in its catalog, so the table is registered in the current database
+        until it is dropped.  ``by`` should have no hot value: here it is a
+        key of which a table holds at most one row a day.
+        """
         from ..session import ensure_checkpoint_dir, shared_path
         root = shared_path(self.spark, stage_root) if stage_root else ensure_checkpoint_dir(self.spark)
         df = self.derived(name, key, build)
-        path = f"{root}/stage-{name}-{uuid.uuid4().hex}"
+        run = uuid.uuid4().hex
+        path = f"{root}/stage-{name}-{run}"
         self._stages.append(path)
-        df.write.parquet(path)
-        staged = self.spark.read.schema(df.schema).parquet(path)
+        if by is None:
+            df.write.parquet(path)
+            staged = self.spark.read.schema(df.schema).parquet(path)
+        else:
+            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            table = f"stage_{name}_{run}"
+            self._stage_tables.append(table)
+            # dealt as the buckets are, so that each bucket is one file
+            (df.repartition(n, by).write.format("parquet").option("path", path)
+             .bucketBy(n, by).sortBy(by).saveAsTable(table))
+            staged = self.spark.table(table)
         self._derived[("derived", name, key)] = staged
         return staged
 
@@ -78,9 +99,12 @@ class Tables:
         """Delete the tables ``materialize`` wrote and forget what was
         derived, so that later analyses do not read them."""
         from ..sinks import delete_path
+        for table in self._stage_tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path in self._stages:
             delete_path(self.spark, path)
         self._stages.clear()
+        self._stage_tables.clear()
         self._derived.clear()
 
     def with_tables(self, **frames: DataFrame) -> "Tables":

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from riskspark.functions.scalar import headcount_bucket
 from riskspark.plans import QUERIES
+from riskspark.plans.books import dormancy_book
 from riskspark.sources.catalog import LOGICAL_TABLES, Tables
 from riskspark.sources.driver_adapter import driver_tables
 
@@ -164,3 +165,41 @@ def test_calendar_covers_every_week_of_the_data(spark):
     weeks = [r.week_start_date for r in E.queries()["paid_adoption_week"](spark, SF_SMALL)
              .select("week_start_date").distinct().orderBy("week_start_date").collect()]
     assert str(weeks[0]) == "1998-05-25" and str(weeks[-1]) == "2001-12-31" and len(weeks) == 189
+
+
+def _exchanged_stages(plan, found=None, below=False) -> list[str]:
+    """The staged tables of an initial plan that a shuffle or a sort of all
+    rows deals out anew before the next join, grouping or window."""
+    found = [] if found is None else found
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _exchanged_stages(plan.initialPlan(), found, below)
+    if "Exchange" in name:
+        below = True
+    elif any(x in name for x in ("Join", "Aggregate", "Window")):
+        below = False
+    if below and "stage_" in plan.simpleString(1000) and "Scan" in name:
+        found.append(plan.simpleString(1000))
+    for i in range(plan.children().size()):
+        _exchanged_stages(plan.children().apply(i), found, below)
+    return found
+
+
+def test_bucketed_stages_are_not_shuffled(spark, no_broadcast):
+    """Joins and groupings by unit read the dormancy book's stages as they lie."""
+    t, p = driver_tables(spark, SF_SMALL, fresh=True), E.PARAMS
+    reports = dormancy_book(t, p, tempfile.mkdtemp(prefix="rs-stage-", dir="/tmp"))
+    movement = reports["last_money_movement"]._jdf.queryExecution().executedPlan()
+    # both sides are staged by the join's key: nothing is shuffled
+    assert "Exchange" not in movement.toString() and "SortMergeJoin" in movement.toString()
+    history = reports["gap_history"]._jdf.queryExecution().executedPlan()
+    assert "Exchange" in history.toString() and not _exchanged_stages(history)
+    by_unit = t.derived("payment_gaps", p, None).groupBy("unit_token").count()
+    assert "Exchange" not in by_unit._jdf.queryExecution().executedPlan().toString()
+    # the walk above does see a stage that is dealt out anew
+    other = t.derived("payment_gaps", p, None).repartition("payment_date")
+    assert _exchanged_stages(other._jdf.queryExecution().executedPlan())
+    names = [x.name for x in spark.catalog.listTables() if x.name.startswith("stage_")]
+    assert len(names) == 3
+    t.drop_stages()
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("stage_")]

@@ -18,7 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 1024
+# fewer parts make fuller pieces, more parts smaller sorts (they may spill)
+PARTS = 64
 _TOTAL = "_all"
 
 

@@ -9,6 +9,9 @@ the synthetic test tables instead.  Reports are published with
 ``sinks.publish`` (new version, then a view switch), written as parquet
 under ``--output`` and/or added as a version under ``--published``
 (``manifest``); with several, the files are written from the published table.
+With ``--ledger-states`` the disputes book reads the card ledger's kept states
+(``plans.ledger_states``): each run first adds the ledger days up to the one
+before ``--as-of`` that are not stated yet, and merges the months that are over.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .manifest import publish_files, read_published
 from .params import Params
 from .plans.books import BOOKS
+from .plans.ledger_states import catch_up_ledger_states, compact_ledger_states, with_ledger_states
 from .session import apply_cluster_defaults, ensure_checkpoint_dir
 from .sinks import publish, write_parquet
 from .sources.catalog import LOGICAL_TABLES, Tables
@@ -85,7 +89,10 @@ def main(argv: list[str] | None = None) -> dict[str, DataFrame]:
     ap.add_argument("--output", help="write each report as parquet under this path")
     ap.add_argument("--published", help="add a version of each report under this path, which readers see whole")
     ap.add_argument("--stage", help="shared folder for intermediates (default: spark.checkpoint.dir)")
+    ap.add_argument("--ledger-states", help="keep states of the card ledger under this path (disputes book)")
     args = ap.parse_args(argv)
+    if args.ledger_states and args.book != "disputes":
+        ap.error("only the disputes book reads the ledger's states")
     spark = SparkSession.builder.getOrCreate()
     applied = apply_cluster_defaults(spark)
     try:
@@ -108,6 +115,10 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
         p = job_params(args.as_of or dt.date.today(), overrides)
     if args.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+    if args.ledger_states:
+        catch_up_ledger_states(t, args.ledger_states, p.as_of - dt.timedelta(days=1))
+        compact_ledger_states(spark, args.ledger_states, p.as_of)
+        t = with_ledger_states(t, args.ledger_states)
     return run_book(t, p, args.book, args.database, args.output, args.stage, args.published)
 
 

@@ -125,6 +125,12 @@ def _write(df: DataFrame, root: str, partition: str | None) -> dict[str, str]:
     return {part: f"{name}/{part}" for part in found if part.startswith(f"{partition}=")}
 
 
+def _as_read(schema: StructType) -> list:
+    """What must agree for files to be parts of one version: read back, every
+    column may be null."""
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
 def publish_files(df: DataFrame, root: str, partition: str | None = None, notes: dict[str, str] | None = None,
                   before_commit: Callable[[], None] | None = None) -> Manifest:
     """Publish ``df`` as the next version under ``root``.  ``before_commit``
@@ -141,18 +147,20 @@ def publish_files(df: DataFrame, root: str, partition: str | None = None, notes:
     return manifest
 
 
-def replace_partitions(df: DataFrame, root: str, base: Manifest, replaced: Iterable[str],
+def replace_partitions(df: DataFrame, root: str, base: Manifest, replaced: Iterable[str] | Callable[[str], bool],
                        notes: dict[str, str] | None = None) -> Manifest:
     """Publish a version that has ``df`` for the partitions ``replaced`` (their
-    directory names; those without rows in ``df`` go) and the directories of
-    ``base`` for all others."""
-    spark, root, replaced = df.sparkSession, root.rstrip("/"), set(replaced)
-    if df.schema.json() != base.schema:
+    directory names, or a test of them; those without rows in ``df`` go) and
+    the directories of ``base`` for all others."""
+    spark, root = df.sparkSession, root.rstrip("/")
+    is_replaced = replaced if callable(replaced) else set(replaced).__contains__
+    if _as_read(df.schema) != _as_read(StructType.fromJson(json.loads(base.schema))):
         raise ValueError("the schema differs from the published one: publish all of it")
     new = _write(df, root, base.partition)
-    if not set(new) <= replaced:
-        raise ValueError(f"rows outside the partitions to replace: {sorted(set(new) - replaced)[:5]}")
-    parts = {k: v for k, v in base.parts.items() if k not in replaced} | new
+    outside = sorted(k for k in new if not is_replaced(k))
+    if outside:
+        raise ValueError(f"rows outside the partitions to replace: {outside[:5]}")
+    parts = {k: v for k, v in base.parts.items() if not is_replaced(k)} | new
     manifest = Manifest(base.number + 1, base.schema, base.partition, parts, notes or {})
     _add(spark, root, manifest)
     return manifest

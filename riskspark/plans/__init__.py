@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from ..params import Params
 from ..sources.catalog import Tables
-from . import attach, detection, disputes, dormancy, mart
+from . import attach, detection, disputes, dormancy, ledger_states, mart
 
 Plan = Callable[[Tables, Params], DataFrame]
 
@@ -50,6 +50,8 @@ QUERIES: dict[str, Plan] = {
     "dispute_sellers": disputes.dispute_sellers,
     "high_dispute_share": disputes.high_dispute_share,
     "dispute_loss_split": disputes.dispute_loss_split,
+    "transaction_rollup_from_states": ledger_states.transaction_rollup_from_states,
+    "loss_bps_month_from_states": ledger_states.loss_bps_month_from_states,
     "payment_risk_mart": mart.payment_risk_mart,
     "daily_qualifying_payments": attach.daily_qualifying_payments,
     "first_online_signup": attach.first_online_signup,

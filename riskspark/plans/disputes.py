@@ -65,6 +65,14 @@ def transaction_rollup(t: Tables, p: Params) -> DataFrame:
     return _rollup(t, p).drop("amount_cents")
 
 
+def card_payments(t: Tables) -> DataFrame:
+    """Card payments of any state: token, currency and absolute amount, of
+    which only the largest per token and currency is read."""
+    return t.derived("card_payments", None, lambda: t["card_activity"].where(
+        F.col("activity_type").ilike(P.CARD_PAYMENT_PATTERN)).select(
+        "transaction_token", "currency_code", F.abs("amount_cents").alias("card_cents")))
+
+
 def _token_amounts(t: Tables, disputes: DataFrame) -> DataFrame:
     """Card payments (any state) of the disputed tokens: number of currencies
     and the sum over currencies of the largest absolute amount per token.
@@ -73,10 +81,9 @@ def _token_amounts(t: Tables, disputes: DataFrame) -> DataFrame:
     tokens (a small set: AQE broadcasts it or Spark bloom-filters the scan),
     so only their rows are aggregated, never the whole ledger."""
     tokens = disputes.select("transaction_token").distinct()
-    ua = (t["card_activity"].where(F.col("activity_type").ilike(P.CARD_PAYMENT_PATTERN))
-          .join(tokens, "transaction_token", "left_semi"))
+    ua = card_payments(t).join(tokens, "transaction_token", "left_semi")
     per_cur = (ua.groupBy("transaction_token", "currency_code")
-               .agg(F.max(F.abs("amount_cents")).alias("cents")))
+               .agg(F.max("card_cents").alias("cents")))
     return (per_cur.groupBy("transaction_token")
             .agg(F.count(F.lit(1)).alias("n_currencies"), F.sum("cents").alias("ua_cents")))
 

@@ -107,6 +107,17 @@ class Tables:
         self._stage_tables.clear()
         self._derived.clear()
 
+    def drop_later(self, path: str) -> None:
+        """Have ``drop_stages`` delete ``path`` too."""
+        self._stages.append(path)
+
+    def with_derived(self, frames: Mapping[tuple, DataFrame]) -> "Tables":
+        """A copy of this catalog with the intermediates (name, key) of
+        ``frames`` given; all others are derived anew from them."""
+        out = Tables(self.spark, self._frames, self._builders)
+        out._derived = {("derived", name, key): df for (name, key), df in frames.items()}
+        return out
+
     def with_tables(self, **frames: DataFrame) -> "Tables":
         """A copy of this catalog with some logical tables replaced."""
         out = Tables(self.spark, self._frames, self._builders)

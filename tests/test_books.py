@@ -28,7 +28,7 @@ def test_books_match_single_queries(spark):
         assert any(pathlib.Path(root).iterdir()) == (name != "mart")
         t.drop_stages()
         assert not any(pathlib.Path(root).iterdir())
-    assert seen == set(QUERIES)
+    assert seen == {name for name in QUERIES if not name.endswith("_from_states")}  # these are the same reports
 
 
 def test_stages_are_parquet_and_pruned(spark):

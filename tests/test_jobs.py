@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from riskspark import session
 from riskspark.jobs import job_params, main, run_book
 from riskspark.manifest import latest, read_published
+from riskspark.plans.ledger_states import ledger_periods, stated_through
 from riskspark.sources.driver_adapter import driver_tables
 
 from .conftest import SF_SMALL
@@ -99,3 +100,20 @@ def test_a_job_leaves_the_session_as_it_was(spark):
     out = tempfile.mkdtemp(prefix="rs-jobs-", dir="/tmp")
     main(["--book", "mart", "--driver-data", SF_SMALL, "--output", out])
     assert {k: spark.conf.get(k, None) for k in session.CLUSTER_DEFAULTS} == before
+
+
+def test_the_disputes_job_keeps_states_of_the_ledger(spark):
+    base = tempfile.mkdtemp(prefix="rs-jobs-", dir="/tmp")
+    args = ["--book", "disputes", "--driver-data", SF_SMALL, "--output", f"{base}/out", "--ledger-states", f"{base}/states"]
+    main([*args, "--as-of", "1998-03-10"])
+    first = latest(spark, f"{base}/states")
+    assert stated_through(first) == dt.date(1998, 3, 9) and "1998-02" in ledger_periods(first)
+    out = main([*args, "--as-of", "2002-01-01"])
+    second = latest(spark, f"{base}/states")
+    assert {k: second.parts[k] for k in first.parts if len(k.split("=")[1]) == 7} \
+        == {k: v for k, v in first.parts.items() if len(k.split("=")[1]) == 7}
+    for name, df in out.items():
+        want = E.queries()[name](spark, SF_SMALL)
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, want.collect())), name
+    with pytest.raises(SystemExit):
+        main(["--book", "mart", "--output", base, "--ledger-states", base])

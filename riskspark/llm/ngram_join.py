@@ -68,6 +68,7 @@ PAIRS_UPTO = 6  # meetings of up to so many sets give all their pairs
 STAR_IN_BATCH = 64  # signatures of so many sets in one batch go on as crowds
 ENTRIES_A_BUCKET = 500_000
 GROUP_BYTES = 8 << 20  # text whose entries are dealt at once
+BATCH_BYTES = 16 << 20  # texts, or entries, that a worker is sent at once
 BLOCK = 512  # members of a meeting, or classes of a component, compared at once
 PART_BYTES = 4 << 20  # text of the classes of a component compared at once
 NEAREST = 128  # pairs that a member offers to each other component in a round
@@ -224,7 +225,10 @@ def describe_sets(docs: DataFrame, width: int) -> DataFrame:
             _, one = np.unique(cls, return_index=True)
             chosen = np.zeros(len(cls), bool)
             chosen[one] = True
-            values = np.sort(np.concatenate(all_values)[np.repeat(chosen, n)])
+            values = np.concatenate(all_values)
+            all_values.clear()
+            values = values[np.repeat(chosen, n)]
+            values.sort()
             new = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
             held = np.diff(np.concatenate([new, [len(values)]]))
             often = held >= max(3, 2 * COMMON_SHARE * len(one))
@@ -504,7 +508,7 @@ def candidates(docs: DataFrame, common: np.ndarray, bands: list[Band], buckets:
 
     dealt = docs.select("text").mapInArrow(tidy(emit), "bucket int, kind int, sig binary, cls binary, n binary, run binary")
     return stage(dealt.groupBy("bucket").applyInPandas(
-        reduce, "is_pair boolean, sig long, a long, b long, n long"), "ngram-candidates")
+        reduce, "is_pair boolean, sig long, a long, b long, n long"), "ngram-candidates", BATCH_BYTES)
 
 
 # ----------------------------------------------------- verification
@@ -547,7 +551,8 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Data
 
     both = pairs.join(texts.select(F.col("code").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("code").alias("b"), F.col("text").alias("text_b")), "b")
-    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(test), "a long, b long"), "ngram-links")
+    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(
+        tidy(test), "a long, b long"), "ngram-links", BATCH_BYTES)
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:

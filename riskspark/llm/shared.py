@@ -35,17 +35,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the
     lineage is cut, later reads are pruned, and a lost executor costs only a
-    re-read."""
-    path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    re-read.  ``batch_bytes`` bounds the Arrow batches (of at least one row)
+    that its Python workers are sent, and so the buffers on both sides."""
+    spark, path = df.sparkSession, stage_path(df.sparkSession, name)
+    before = spark.conf.get(_BATCH_BYTES, None)
+    if batch_bytes:
+        spark.conf.set(_BATCH_BYTES, str(batch_bytes))
+    try:
+        df.write.parquet(path)
+    finally:
+        if batch_bytes and before is None:
+            spark.conf.unset(_BATCH_BYTES)
+        elif batch_bytes:
+            spark.conf.set(_BATCH_BYTES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release_memory() -> None:

@@ -11,6 +11,8 @@ from the states alone.
 A period is a day (``2024-05-03``), a compacted month (``2024-05``), or null
 for ledger rows without a time.  Restating a day of a compacted month restates
 the whole month, since a merged state can't give back what a day put in.
+Years of history need not go through a directory a day: with ``days_from`` the
+whole months before that day are stated as months at once.
 
 The states are shuffled once by key when they are made and once when they are
 read; there, a key brings at most one row per period.  Hot keys are combined
@@ -71,6 +73,21 @@ def _day() -> Column:
     return F.to_date("created_at").cast("string")
 
 
+def _period(days_from: dt.date | None, first: dt.date | None = None, last: dt.date | None = None) -> Column:
+    """The period of a ledger row when the days ``first`` to ``last`` are
+    stated: its month if all of that month is among them and before
+    ``days_from``, else its day."""
+    day = _day()
+    if days_from is None:
+        return day
+    end = _month_start(days_from if last is None else min(days_from, last + dt.timedelta(days=1)))
+    whole = F.col("created_at") < ts_lit(end)
+    if first is not None:
+        start = first if first == _month_start(first) else _next_month(first)
+        whole = whole & (F.col("created_at") >= ts_lit(start))
+    return F.when(whole, F.substring(day, 1, 7)).otherwise(day)
+
+
 def _directory(period: str) -> str:
     return f"{PERIOD}={period}"
 
@@ -115,20 +132,25 @@ def _noted(*days: dt.date | None) -> dict[str, str]:
     return {_THROUGH: max(days).isoformat()} if days else {}
 
 
-def build_ledger_states(t: Tables, root: str, through: dt.date | None = None) -> Manifest:
+def build_ledger_states(t: Tables, root: str, through: dt.date | None = None,
+                        days_from: dt.date | None = None) -> Manifest:
     """Publish the states of all ledger rows up to the day ``through`` (None:
     of all days), and of those without a time, under ``root`` (shared
-    storage)."""
+    storage): by month before ``days_from``, where months must be over, and
+    by day from then on (None: all by day)."""
     wanted = _until(through) | F.col("created_at").isNull()
-    return publish_files(_dealt(_states(t["card_activity"].where(wanted), _day())), shared_path(t.spark, root), PERIOD,
-                         _noted(through))
+    return publish_files(_dealt(_states(t["card_activity"].where(wanted), _period(days_from, last=through))),
+                         shared_path(t.spark, root), PERIOD, _noted(through))
 
 
-def restate_ledger_days(t: Tables, root: str, first: dt.date, last: dt.date | None, undated: bool = False) -> Manifest:
+def restate_ledger_days(t: Tables, root: str, first: dt.date, last: dt.date | None, undated: bool = False,
+                        days_from: dt.date | None = None) -> Manifest:
     """State the ledger's days ``first`` to ``last`` (None: all from the first
     on) anew, be they new or with late or corrected rows, and keep all other
     periods as they are.  Only those days are read, or their whole months
-    where these are compacted; with ``undated`` the rows without a time too."""
+    where these are compacted; with ``undated`` the rows without a time too.
+    Months whose days are all stated anew become months at once before
+    ``days_from``, as in ``build_ledger_states``."""
     root = shared_path(t.spark, root)
     base = latest(t.spark, root)
     if base is None:
@@ -152,7 +174,7 @@ def restate_ledger_days(t: Tables, root: str, first: dt.date, last: dt.date | No
     wanted = (F.col("created_at") >= ts_lit(first)) & _until(last)
     if undated:
         wanted = wanted | F.col("created_at").isNull()
-    period = _day()
+    period = _period(days_from, first, last)
     if months:
         period = F.when(F.substring(period, 1, 7).isin(sorted(months)), F.substring(period, 1, 7)).otherwise(period)
     return replace_partitions(_dealt(_states(t["card_activity"].where(wanted), period)), root, base, replaced,
@@ -207,15 +229,17 @@ def with_ledger_states(t: Tables, root: str, manifest: Manifest | None = None) -
 
 
 def _states_in_steps(t: Tables, p: Params) -> Tables:
-    """States built up to the middle of the key-result year, compacted, then
-    caught up with one day and with all later ones."""
+    """States built up to the middle of the key-result year (by month before
+    that year), compacted, then caught up with one day and with all later ones
+    (by month where the month is over on the as-of day): a directory for every
+    day of a ledger's years costs more than its rows."""
     root = f"{ensure_checkpoint_dir(t.spark)}/ledger-states-{uuid.uuid4().hex}"
     t.drop_later(root)
     middle = dt.date(p.kpi_year, 7, 1)
-    build_ledger_states(t, root, middle)
+    build_ledger_states(t, root, middle, days_from=dt.date(p.kpi_year, 1, 1))
     compact_ledger_states(t.spark, root, middle)
     catch_up_ledger_states(t, root, middle + dt.timedelta(days=1))
-    restate_ledger_days(t, root, middle + dt.timedelta(days=2), None)
+    restate_ledger_days(t, root, middle + dt.timedelta(days=2), None, days_from=p.as_of)
     return with_ledger_states(t, root)
 
 

@@ -194,3 +194,43 @@ def test_a_parameter_moves_the_reports_not_the_states(spark, root):
     for year in (p.kpi_year - 1, p.kpi_year):
         q = E.PARAMS.__class__(**{**E.PARAMS.__dict__, "kpi_year": year})
         assert _got(disputes.transaction_rollup(s, q)) == _got(disputes.transaction_rollup(t, q))
+
+
+def test_whole_months_are_stated_at_once(spark, root):
+    rows = _ledger()
+    t = _tables(spark, rows)
+    m = L.build_ledger_states(t, root, D(2021, 3, 10), days_from=D(2021, 3, 5))
+    periods = L.ledger_periods(m)
+    assert [p for p in periods if len(p) == 7] == ["2021-01", "2021-02"]
+    assert periods[2:] and all("2021-03-01" <= p <= "2021-03-10" for p in periods[2:])
+    assert L.stated_through(m) == D(2021, 3, 10)
+    assert _from_states(spark, root) == _full(spark, _upto(rows, D(2021, 3, 10)))
+    # the rest of a month begun by day stays by day, and so does a month that is not all stated
+    m = L.restate_ledger_days(t, root, D(2021, 3, 11), D(2021, 4, 8), days_from=D(2021, 12, 31))
+    assert [p for p in L.ledger_periods(m) if len(p) == 7] == ["2021-01", "2021-02"]
+    assert L.stated_through(m) == D(2021, 4, 8)
+    assert _from_states(spark, root) == _full(spark, _upto(rows, D(2021, 4, 8)))
+    # a month stated anew from its first day on takes the place of its days
+    m = L.restate_ledger_days(t, root, D(2021, 3, 1), None, days_from=D(2021, 4, 1))
+    assert [p for p in L.ledger_periods(m) if p < "2021-04"] == ["2021-01", "2021-02", "2021-03"]
+    assert all(len(p) == 10 for p in L.ledger_periods(m) if p >= "2021-04")
+    assert _from_states(spark, root) == _full(spark, rows)
+    assert M.read_published(spark, root).agg(F.sum("card_rows")).first()[0] == sum(
+        (r[4] or "").lower() == "card_payment" for r in rows)
+
+
+def test_the_queries_write_no_directory_for_every_day_of_the_ledger(spark, monkeypatch):
+    rows = [(i, f"{BALANCE_PREFIX}{i % 5:04d}", "USD", -100 - i, "CARD_PAYMENT", "SETTLED",
+             dt.datetime(1996, 1, 1, 12) + dt.timedelta(days=i)) for i in range(1500)]
+    found = []
+    read = L.with_ledger_states
+    monkeypatch.setattr(L, "with_ledger_states", lambda t, root: found.append(root) or read(t, root))
+    t = _tables(spark, rows)
+    p = Params.for_driver_data()
+    assert _got(L.transaction_rollup_from_states(t, p)) == _got(disputes.transaction_rollup(t, p))
+    kept = [M.load(spark, found[0], n) for n in M._numbers(spark, found[0])]
+    assert len(kept) == 4  # built, compacted, caught up with a day, and with the rest
+    written = {d for m in kept for d in m.parts.values()}
+    assert len(written) < 350
+    assert any(len(x) == 10 for x in L.ledger_periods(kept[0]))  # there are days to compact
+    t.drop_stages()

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.session import shared_path
+from riskspark.session import named_folder, shared_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.  Only a local session
     (tests) that names none gets a scratch folder; a cluster must name one,
     since its machines share no local folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = named_folder(spark)
     if named:
         return shared_path(spark, named)
     if not spark.sparkContext.master.startswith("local"):

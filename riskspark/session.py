@@ -7,10 +7,14 @@ its settings (``spark.checkpoint.dir``) and never overrides them.
 from __future__ import annotations
 
 import os
+import posixpath
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+from .sinks import delete_path
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "riskspark") -> SparkSession:
@@ -84,15 +88,67 @@ def _is_local(spark: SparkSession) -> bool:
         return False
 
 
+def _local_part(spark: SparkSession, path: str) -> str | None:
+    """The folder on the machine's own file system that ``path`` names; None
+    if it is in another store."""
+    scheme, _, rest = path.partition(":") if ":" in path.split("/", 1)[0] else ("", "", path)
+    if not scheme:
+        scheme = (spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:").split(":", 1)[0]
+    return "/" + posixpath.normpath(rest).strip("/") if scheme == "file" else None
+
+
+def named_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the platform has given the session:
+    ``spark.checkpoint.dir``, else what ``setCheckpointDir`` was told."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        try:
+            named = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext
+            pass
+    return named
+
+
+_PROOF_TASKS = 256
+_proven: set[tuple[str, str]] = set()
+
+
+def _rows_seen(spark: SparkSession, path: str, tasks: int) -> int:
+    """Rows to be read at ``path`` after ``tasks`` tasks wrote one each."""
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        return spark.read.schema("id long").parquet(path).count()
+    finally:
+        delete_path(spark, path)
+
+
+def _is_mounted(spark: SparkSession, folder: str) -> bool:
+    """Whether the machines share ``folder`` although its path is a local one
+    (a mount, or all of them on one machine): what executors write there must
+    be there for the driver to commit and for executors to read.  Tried once
+    a session, with a row for each core (up to _PROOF_TASKS)."""
+    try:
+        key = (spark.sparkContext.applicationId, folder)
+        tasks = min(max(2, spark.sparkContext.defaultParallelism), _PROOF_TASKS)
+    except Exception:  # Spark Connect: nothing is known of the server's machines
+        return False
+    if key not in _proven:
+        if _rows_seen(spark, f"file://{folder}/shared-{uuid.uuid4().hex}", tasks) != tasks:
+            return False
+        _proven.add(key)
+    return True
+
+
 def shared_path(spark: SparkSession, path: str) -> str:
-    """``path`` if all executors can see it: on a cluster neither a ``file:``
-    path nor one that the default file system resolves to the local disk is
-    accepted."""
-    if not _is_local(spark):
-        scheme = path.split(":", 1)[0] if ":" in path else None
-        if scheme is None:
-            scheme = (spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:").split(":", 1)[0]
-        if scheme == "file":
+    """``path`` if all executors can see it: on a cluster a ``file:`` path, or
+    one that the default file system resolves to the local disk, is accepted
+    only inside the folder that the platform has named, and only if that
+    folder turns out to be shared."""
+    local = None if _is_local(spark) else _local_part(spark, path)
+    if local is not None:
+        named = named_folder(spark)
+        folder = _local_part(spark, named) if named else None
+        if folder is None or not f"{local}/".startswith(f"{folder}/") or not _is_mounted(spark, folder):
             raise RuntimeError(f"{path} is on each machine's own disk; name a folder in shared storage")
     return path.rstrip("/")
 

@@ -13,8 +13,9 @@ from riskspark.sources.driver_adapter import driver_tables
 from .conftest import SF_SMALL
 
 _PICK = random.Random(5)
-_WORDS = ["the", "dog", "and", "cat", "sat", "by", "a", "door", "idiot", "THE", "old", "house.", "red\n", "trash!"]
-DOCS = [(i, " ".join(_PICK.choices(_WORDS, k=_PICK.randint(8, 60))), "en", ["web", "news"][i % 2]) for i in range(120)]
+_WORDS = ["the", "dog", "and", "cat", "sat", "by", "a", "door", "THE", "old", "house.", "red\n", "tree!"]
+_RUDE = ["you", "idiot", "you", "scum", "filthy", "trash"]
+DOCS = [(i, " ".join(_PICK.choices(_WORDS, k=_PICK.randint(8, 60)) + _RUDE * (i % 5 == 0)), "en", ["web", "news"][i % 2]) for i in range(120)]
 DOCS[7] = (7, DOCS[6][1], "en", "web")
 
 
@@ -23,7 +24,7 @@ def cluster(spark, monkeypatch):
     """The session, as if its master were a cluster's."""
     monkeypatch.setattr(session, "_is_local", lambda _: False)
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
-    monkeypatch.setattr(session, "_proven", set())
+    monkeypatch.setattr(session, "_proven", set(), raising=False)
     return spark
 
 
@@ -35,7 +36,7 @@ def sf_dir(spark, tmp_path):
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     spark.createDataFrame([(i, f"http://a.b/{i}", "<p>x</p>") for i in range(3)], "page_id long, url string, html string") \
         .write.parquet(f"{tmp_path}/pages.parquet")
-    labels = [(i, int(len(text) > 150), int("idiot" in text)) for i, text, _, _ in DOCS]
+    labels = [(i, int(len(text) > 150), int(i % 5 == 0)) for i, text, _, _ in DOCS]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
         f"{tmp_path}/labels.parquet")
     return str(tmp_path)
@@ -77,9 +78,6 @@ def test_a_folder_of_each_machine_is_refused(cluster, monkeypatch):
     "op8_best_fit_packing", "op9_quality_rules", "op10_toxicity_chain", "op11_embedding_near_dedup",
     "op12_phrase_collocations", "op13_source_divergence"])
 def test_operators_run_on_a_cluster_with_a_mount(cluster, sf_dir, name):
-    if name == "op10_toxicity_chain":  # learns nothing from so few texts
-        assert E.queries()[name](cluster, SF_SMALL).count() == cluster.read.parquet(f"{SF_SMALL}/documents.parquet").count()
-        return
     rows = E.queries()[name](cluster, sf_dir).count()
     if name in ("op8_best_fit_packing", "op12_phrase_collocations", "op13_source_divergence"):
         assert rows > 0
